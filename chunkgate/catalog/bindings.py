@@ -15,14 +15,23 @@ from chunkgate.operators.models import fit_lines, line_columns
 from chunkgate.operators.ranking import cut_points, with_range_bucket, with_row_number
 from chunkgate.operators.split import held_out_rows, train_rows, with_split
 from chunkgate.operators.validate import validated
+from chunkgate.sources.tables import read_table, stored
 
 MIN_KEY_CHARS = 60
 R_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 ROLLBACK_TIME = "2024-02-01 00:00:00"
 
 
+_IDS = {
+    "documents": ["doc_id"],
+    "events": ["event_id"],
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
+    "orders": ["o_orderkey"],
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", _IDS.get(name, ()))
 
 
 def r4(column: Column | str) -> Column:
@@ -53,7 +62,9 @@ def e_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def e_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_split(e_valid(spark, sf_dir), "k").withColumn("x", F.size(F.split("k", " ")).cast("double"))
+    """Stored, for fitting and judging read it one after the other."""
+    split = with_split(e_valid(spark, sf_dir), "k").withColumn("x", F.size(F.split("k", " ")).cast("double"))
+    return stored(split.select("ord", "k", "target", "x", "is_test"), "documents-split", ["is_test"])
 
 
 E_RAW = """e_raw AS (
@@ -91,7 +102,9 @@ def r_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def r_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_split(r_valid(spark, sf_dir), "k")
+    """Stored like ``e_split``."""
+    split = with_split(r_valid(spark, sf_dir), "k").drop(*R_ORDER)
+    return stored(split, "lines-split", ["is_test"])
 
 
 R_VALID = """r_raw AS (
@@ -108,17 +121,19 @@ r_split AS (
 
 
 def e_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored, since the gate reads the errors for its statistics and for its interval."""
     split = e_split(spark, sf_dir)
     line = line_columns(fit_lines(train_rows(split), "x", "target"))
     judged = held_out_rows(split).withColumn("_line", line)
     candidate = F.col("_line.intercept") + F.col("_line.slope") * F.col("x")
-    return judged.select(
+    errors = judged.select(
         "ord", "k", "target",
         candidate.alias("candidate"),
         F.col("_line.mean_target").alias("champion"),
         F.abs(candidate - F.col("target")).alias("candidate_error"),
         F.abs(F.col("_line.mean_target") - F.col("target")).alias("champion_error"),
     )
+    return stored(errors, "documents-errors")
 
 
 E_ERRORS = E_SPLIT + """,
@@ -135,15 +150,16 @@ e_errors AS (
 
 def r_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both models fitted for each return flag, judged on the same held-out rows."""
-    split = r_split(spark, sf_dir).select("k", "target", "l_quantity", "l_returnflag", "is_test")
+    split = r_split(spark, sf_dir)
     lines = fit_lines(train_rows(split), "l_quantity", "target", by=["l_returnflag"])
     judged = held_out_rows(split).join(lines, "l_returnflag")
     candidate = F.col("intercept") + F.col("slope") * F.col("l_quantity")
-    return judged.select(
+    errors = judged.select(
         "l_returnflag", "k",
         F.abs(candidate - F.col("target")).alias("candidate_error"),
         F.abs(F.col("mean_target") - F.col("target")).alias("champion_error"),
     )
+    return stored(errors, "lines-errors")
 
 
 R_ERRORS = R_SPLIT + """,

@@ -132,7 +132,8 @@ def q_bootstrap_replicates(spark, sf):
 
 def q_percentile_summary(spark, sf):
     found = quantile_table(table(spark, sf, "orders"), ["o_totalprice"], [0.025, 0.25, 0.5, 0.75, 0.975])
-    return found.select("column_name", "share", r4("value").alias("value"))
+    # Cents between two prices at these shares end after five decimals.
+    return found.select("column_name", "share", F.round("value", 6).alias("value"))
 
 
 def _decision(decided, *by):
@@ -328,7 +329,7 @@ QUERIES = {
     "bootstrap_replicates": (q_bootstrap_replicates, f"""WITH {E_ERRORS}{boot_sql('e_errors')}
         SELECT b AS replicate, round(delta, 4) AS delta FROM boot"""),
     "percentile_summary": (q_percentile_summary, """SELECT 'o_totalprice' AS column_name, share,
-        round(value, 4) AS value FROM (SELECT unnest([0.025::DOUBLE, 0.25, 0.5, 0.75, 0.975]) AS share,
+        round(value, 6) AS value FROM (SELECT unnest([0.025::DOUBLE, 0.25, 0.5, 0.75, 0.975]) AS share,
           unnest(quantile_cont(o_totalprice, [0.025, 0.25, 0.5, 0.75, 0.975])) AS value FROM orders)"""),
     "gate_decision": (q_gate_decision, f"{_DECIDED_E} SELECT {_DECISION_COLUMNS} FROM decided"),
     "gate_abstain": (q_gate_abstain, f"""WITH {E_ERRORS},

@@ -152,12 +152,12 @@ def _arrivals(spark, sf):
 
 def q_novel_rows(spark, sf):
     incoming, reference = _arrivals(spark, sf)
-    return novelty.novel_rows(incoming, reference, "k", "ord", True, e_rule).select("ord", F.md5("k").alias("raw_md5"))
+    return novelty.novel_rows(incoming, reference, "k", True, e_rule).select("ord", F.md5("k").alias("raw_md5"))
 
 
 def q_known_rows(spark, sf):
     incoming, reference = _arrivals(spark, sf)
-    return novelty.known_rows(incoming, reference, "k", "ord", True, e_rule).select("ord", F.md5("k").alias("raw_md5"))
+    return novelty.known_rows(incoming, reference, "k", True, e_rule).select("ord", F.md5("k").alias("raw_md5"))
 
 
 def q_novelty_facts(spark, sf):

@@ -15,9 +15,11 @@ UNIT_DIVISOR = 4294967295
 
 
 def collapsed_text(value: Column) -> Column:
-    """Default canonical form of a text key: lower case, single spaces, no outer blanks."""
-    text = F.lower(F.trim(F.regexp_replace(value, r"\s+", " ")))
-    return F.when(text != "", text)
+    """Default canonical form of a text key: lower case, single spaces, no outer blanks.
+
+    A text of blanks only does not parse.
+    """
+    return F.when(value.rlike(r"\S"), F.lower(F.trim(F.regexp_replace(value, r"\s+", " "))))
 
 
 def canonical_key(df: DataFrame, key: str, rule: Rule | None = None) -> Column:

@@ -6,42 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkgate.functions.keys import Rule, canonical_key, compact_key
-from chunkgate.operators.skew import spread_join
 
 
 def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None) -> DataFrame:
+    """Rows with a key, and its compact form ``_ck`` (computed once, see parsed_rows)."""
     value = canonical_key(df, key, rule) if canonical else F.col(key)
-    return df.withColumn("_ck", compact_key(value)).filter(F.col("_ck").isNotNull())
+    return df.select("*", F.explode(F.array_compact(F.array(compact_key(value)))).alias("_ck"))
 
 
-def _split_rows(incoming, reference, key, row_id, how, canonical, rule):
+def _split_rows(incoming, reference, key, how, canonical, rule):
+    # The reference side has one row for each key. When a hot key fills an incoming
+    # partition, adaptive execution splits that partition and repeats the other side.
     arrived = _known(incoming, key, canonical, rule)
     seen = _known(reference, key, canonical, rule).select("_ck").distinct()
-    return spread_join(arrived, seen, "_ck", row_id, how).drop("_ck")
+    return arrived.join(seen, "_ck", how).drop("_ck")
 
 
 def novel_rows(
     incoming: DataFrame,
     reference: DataFrame,
     key: str,
-    row_id: str,
     canonical: bool = False,
     rule: Rule | None = None,
 ) -> DataFrame:
     """Incoming rows whose key the reference lacks; repeats count each time."""
-    return _split_rows(incoming, reference, key, row_id, "left_anti", canonical, rule)
+    return _split_rows(incoming, reference, key, "left_anti", canonical, rule)
 
 
 def known_rows(
     incoming: DataFrame,
     reference: DataFrame,
     key: str,
-    row_id: str,
     canonical: bool = False,
     rule: Rule | None = None,
 ) -> DataFrame:
     """Incoming rows whose key the reference has."""
-    return _split_rows(incoming, reference, key, row_id, "left_semi", canonical, rule)
+    return _split_rows(incoming, reference, key, "left_semi", canonical, rule)
 
 
 def novelty_facts(

@@ -35,6 +35,17 @@ def drop_unparseable(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key).isNotNull())
 
 
+def parsed_rows(df: DataFrame, key: str, rule: Rule | None = None) -> DataFrame:
+    """Both steps above at once, each key canonicalised once.
+
+    A filter on the new key would be pushed below it and repeat the work. Exploding
+    an array that holds the key, or nothing, drops the row without a filter.
+    """
+    names = [F.col(c) if c != key else F.col("_key").alias(key) for c in df.columns]
+    found = F.array_compact(F.array(canonical_key(df, key, rule)))
+    return df.select("*", F.explode(found).alias("_key")).select(*names)
+
+
 def keep_first(df: DataFrame, key: str, order_by: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """The first row of each key in the given order, per chunk if ``by`` is set.
 
@@ -58,8 +69,7 @@ def validated(
     """Null rows out, key canonicalised, unparseable out, first spelling kept."""
     check_schema(df, key, target)
     complete = drop_null_rows(df, key, target)
-    parsed = drop_unparseable(canonicalise(complete, key, rule), key)
-    return keep_first(parsed, key, order_by, by)
+    return keep_first(parsed_rows(complete, key, rule), key, order_by, by)
 
 
 def require_rows(valid: DataFrame, raw_rows: int) -> None:

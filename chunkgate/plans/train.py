@@ -8,7 +8,6 @@ import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,6 +23,7 @@ from chunkgate.plans.settings import Settings
 from chunkgate.sources.arrivals import arrival_digest
 from chunkgate.sources.chunks import read_chunk
 from chunkgate.sources.ledger import Ledger
+from chunkgate.sources.tables import stored
 
 logger = logging.getLogger(__name__)
 
@@ -103,21 +103,20 @@ def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline)
     valid = validated(raw, settings.key, settings.target, ["ord"], settings.rule)
     split = with_split(valid, settings.key, settings.test_fraction, settings.split_seed)
-    split = split.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        require_rows(split, raw.count())
-        featured = settings.with_features(split)
-        candidate = models.fit(train_rows(featured), settings.target, settings.kind, settings.params)
-        champion = load_champion(ledger, settings.model_name)
-        errors = held_out_errors(held_out_rows(featured), settings, candidate, champion)
-        decision = gate(
-            errors, settings.key, (), settings.min_samples, settings.margin, settings.n_boot, settings.gate_seed
-        ).first()
-        if decision is None:
-            raise ValueError("no held-out rows to judge the candidate on")
-        content = content_digest(split, settings.key).first()["content_digest"]
-    finally:
-        split.unpersist()
+    # Validation, split and features are computed once; fitting makes many passes.
+    columns = [settings.key, settings.target, models.FEATURES, "is_test"]
+    featured = stored(settings.with_features(split).select(columns), "train", ["is_test"])
+    if featured.isEmpty():
+        require_rows(featured, raw.count())
+    candidate = models.fit(train_rows(featured), settings.target, settings.kind, settings.params)
+    champion = load_champion(ledger, settings.model_name)
+    errors = stored(held_out_errors(held_out_rows(featured), settings, candidate, champion), "errors")
+    decision = gate(
+        errors, settings.key, (), settings.min_samples, settings.margin, settings.n_boot, settings.gate_seed
+    ).first()
+    if decision is None:
+        raise ValueError("no held-out rows to judge the candidate on")
+    content = content_digest(featured, settings.key).first()["content_digest"]
     return digest, content, candidate, decision
 
 
