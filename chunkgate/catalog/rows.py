@@ -8,7 +8,7 @@ from chunkgate.catalog.bindings import (
     E_RAW, E_SPLIT, E_VALID, R_ORDER, R_SPLIT, R_VALID, e_raw, e_rule, e_split, e_valid, r4, r_raw, r_split,
     r_valid, table,
 )
-from chunkgate.functions.fingerprint import fingerprint_bits
+from chunkgate.functions.fingerprint import LEFT, PRIME, RIGHT, SELF, STEP, fingerprint_bits
 from chunkgate.functions.keys import canonical_key
 from chunkgate.operators import identity, novelty, sampling, validate
 from chunkgate.operators.split import held_out_rows, train_rows, with_split
@@ -215,15 +215,21 @@ def _lane_sql(column: str) -> str:
     return f"count(*) AS n_keys, sha256(concat_ws(':', count(*), {lanes})) AS content_digest"
 
 
+def _round_sql(r: int) -> str:
+    order = "(PARTITION BY ord ORDER BY i)"
+    return f"""round{r} AS (SELECT ord, i, (coalesce(lag(id) OVER {order}, 0) * {LEFT} + id * {SELF}
+  + coalesce(lead(id) OVER {order}, 0) * {RIGHT} + {r * STEP}) % {PRIME} AS id FROM round{r - 1})"""
+
+
 _PICK = """md5('7:' || o_orderkey), o_orderkey"""
-_FINGERPRINT = """,
+_FINGERPRINT = f""",
 words AS (SELECT ord, string_split(k, ' ') AS t FROM e_valid),
-places AS (SELECT ord, t, unnest(range(1, len(t) + 1)) AS i FROM words),
-marks AS (
-  SELECT ord, ('0x' || substr(md5(r || ':' || array_to_string(t[greatest(i - r, 1) : i + r], ' ')), 1, 8))::BIGINT
-    % 2048 AS bit
-  FROM places, range(3) q(r)),
-bits AS (SELECT DISTINCT ord, bit FROM marks)"""
+places AS (SELECT ord, unnest(t) AS word, generate_subscripts(t, 1) AS i FROM words),
+round0 AS (SELECT ord, i, ('0x' || substr(md5(word), 1, 8))::BIGINT % {PRIME} AS id FROM places),
+{_round_sql(1)},
+{_round_sql(2)},
+bits AS (SELECT DISTINCT ord, id % 2048 AS bit FROM (
+  SELECT ord, id FROM round0 UNION ALL SELECT ord, id FROM round1 UNION ALL SELECT ord, id FROM round2))"""
 _LINES = "WITH lines AS (SELECT l_orderkey || ':' || l_linenumber AS k, l_returnflag AS f FROM lineitem)"
 
 

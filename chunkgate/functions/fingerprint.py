@@ -2,38 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from chunkgate.functions.keys import hash32
 
+# A token's identifier is its hash modulo the prime; a round mixes it with its two
+# neighbours' identifiers. The factors keep the sum of three products in a bigint.
+PRIME = 2**31 - 1
+LEFT, SELF, RIGHT, STEP = 363118201, 488117773, 252790403, 104729
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
 
-def _bits_at(tokens: Column, r: int, n_bits: int) -> Column:
-    """The bit of every position's neighbourhood at one radius."""
+def _next_round(ids: Column, r: int) -> Column:
+    """Every position's identifier at radius r, from those at radius r - 1."""
 
-    def bit(_, i: Column) -> Column:
-        start = F.greatest(i + 1 - r, F.lit(1))
-        near = F.slice(tokens, start, i + 2 + r - start)
-        return hash32(F.concat(F.lit(f"{r}:"), F.array_join(near, " "))) % n_bits
+    def mixed(x: Column, i: Column) -> Column:
+        left = F.coalesce(F.get(ids, i - 1), F.lit(0))
+        right = F.coalesce(F.get(ids, i + 1), F.lit(0))
+        return (left * F.lit(LEFT) + x * F.lit(SELF) + right * F.lit(RIGHT) + F.lit(r * STEP)) % F.lit(PRIME)
 
-    if r == 0:
-        return F.transform(tokens, lambda t: hash32(F.concat(F.lit("0:"), t)) % n_bits)
-    return F.transform(tokens, bit)
+    return F.transform(ids, mixed)
 
 
 def fingerprint_bits(tokens: Column, radius: int, n_bits: int) -> Column:
-    """Sorted distinct on-bits: one per position and radius 0..radius.
+    """Sorted distinct on-bits: one for each position and radius 0..radius.
 
-    The neighbourhood of position i at radius r is the tokens i-r..i+r, clipped at
-    both ends. All of it is row-local, so no document leaves its partition.
+    The identifier of a position at radius r depends on the tokens i-r..i+r, absent
+    ones counting as 0. All of it is row-local, so no document leaves its partition.
     """
     if radius < 0 or n_bits <= 0:
         raise ValueError("radius must be 0 or greater and n_bits greater than 0")
 
-    def all_bits(bound: Column) -> Column:
-        return F.concat(*[_bits_at(bound, r, n_bits) for r in range(radius + 1)])
+    def rounds(ids: Column, r: int) -> Column:
+        if r == radius:
+            return ids
+        return F.concat(ids, _bound(_next_round(ids, r + 1), lambda grown: rounds(grown, r + 1)))
 
-    # The outer transform binds the tokens once; named inside the inner lambdas they
-    # would be split again for every position.
-    every = F.transform(F.array(tokens), all_bits)[0]
-    return F.array_sort(F.array_distinct(F.transform(every, lambda b: b.cast("int"))))
+    first = F.transform(tokens, lambda t: hash32(t) % F.lit(PRIME))
+    every = _bound(first, lambda ids: rounds(ids, 0))
+    return F.array_sort(F.array_distinct(F.transform(every, lambda x: (x % n_bits).cast("int"))))
