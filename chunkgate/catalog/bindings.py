@@ -148,10 +148,15 @@ e_errors AS (
   SELECT *, abs(candidate - target) AS candidate_error, abs(champion - target) AS champion_error FROM e_pred)"""
 
 
+def r_lines(split: DataFrame) -> DataFrame:
+    """The fitted lines of every return flag, stored as a model is."""
+    return stored(fit_lines(train_rows(split), "l_quantity", "target", by=["l_returnflag"]), "lines-models")
+
+
 def r_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both models fitted for each return flag, judged on the same held-out rows."""
     split = r_split(spark, sf_dir)
-    lines = fit_lines(train_rows(split), "l_quantity", "target", by=["l_returnflag"])
+    lines = r_lines(split)
     judged = held_out_rows(split).join(lines, "l_returnflag")
     candidate = F.col("intercept") + F.col("slope") * F.col("l_quantity")
     errors = judged.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chunkgate.catalog.bindings import (
-    E_ERRORS, E_SPLIT, L_RUNS, R_ERRORS, R_SPLIT, boot_sql, e_errors, e_split, l_runs, r4, r_errors, r_split, table,
+    E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, table,
 )
 from chunkgate.functions import text
 from chunkgate.operators import evaluate, models, score
@@ -83,7 +83,7 @@ def q_paired_errors(spark, sf):
 
 def q_mae(spark, sf):
     split = r_split(spark, sf)
-    lines = models.fit_lines(train_rows(split), "l_quantity", "target", by=["l_returnflag"])
+    lines = r_lines(split)
     judged = held_out_rows(split).join(lines, "l_returnflag")
     found = evaluate.mae(judged, "mean_target", "target", ["l_returnflag"])
     return found.select("l_returnflag", "n_rows", r4("mae").alias("mae"))
@@ -202,7 +202,7 @@ def q_champion_or_cold_start(spark, sf):
 def _scored(spark, sf):
     """Every valid line with the prediction of its return flag's ridge line."""
     split = r_split(spark, sf).select("k", "target", "l_quantity", "l_tax", "l_returnflag", "is_test")
-    lines = models.fit_lines(train_rows(split), "l_quantity", "target", by=["l_returnflag"])
+    lines = r_lines(split)
     joined = split.join(lines, "l_returnflag")
     prediction = F.col("intercept") + F.col("slope") * F.col("l_quantity") - 1000 * F.col("l_tax")
     return joined.select("k", "l_returnflag", "target", r4(prediction).alias("predicted_target"))

@@ -63,8 +63,8 @@ def _describe_sql(source: str, column: str) -> str:
 
 
 QUERIES = {
-    "distinct_keys": (q_distinct_keys, """WITH t AS (SELECT nullif(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), '')
-          AS k FROM documents WHERE doc_id % 23 <> 0)
+    "distinct_keys": (q_distinct_keys, f"""WITH {E_RAW},
+        t AS (SELECT nullif(lower(trim(regexp_replace(raw, '\\s+', ' ', 'g'))), '') AS k FROM e_raw)
         SELECT count(k) AS n_keys, count(DISTINCT k) AS distinct_keys FROM t"""),
     "dup_spread": (q_dup_spread, f"""{_DUPS} SELECT k, copies,
         {', '.join(f'round({c}, 4) AS {c}' for c in SPREAD_COLUMNS)} FROM d"""),

@@ -10,6 +10,7 @@ from chunkgate.functions import text
 from chunkgate.operators import ledger
 from chunkgate.session import scratch_dir
 from chunkgate.sources.ledger import Ledger
+from chunkgate.sources.tables import stored
 
 
 def _arrivals(spark, sf):
@@ -70,18 +71,18 @@ def q_outcome_counts(spark, sf):
 
 
 def q_eligible_versions(spark, sf):
-    state = v_state(spark, sf)
-    return ledger.eligible_versions(state, v_champions(state))
+    state = stored(v_state(spark, sf), "versions")
+    return ledger.eligible_versions(state, stored(v_champions(state), "champions"))
 
 
 def q_rollback_target(spark, sf):
-    state = v_state(spark, sf)
-    return ledger.rollback_target(state, v_champions(state))
+    state = stored(v_state(spark, sf), "versions")
+    return ledger.rollback_target(state, stored(v_champions(state), "champions"))
 
 
 def q_rollback_state(spark, sf):
-    state = v_state(spark, sf)
-    targets = ledger.rollback_target(state, v_champions(state))
+    state = stored(v_state(spark, sf), "versions")
+    targets = ledger.rollback_target(state, stored(v_champions(state), "champions"))
     return ledger.rollback_state(targets, F.lit(ROLLBACK_TIME).cast("timestamp_ntz"), "held-out errors rose")
 
 
@@ -92,7 +93,7 @@ def q_previous_champion(spark, sf):
 def _promoted(spark, sf):
     """A ledger in which every promotion of the registry was written in order."""
     book = Ledger(spark, scratch_dir(spark, "registry"))
-    state = v_state(spark, sf)
+    state = stored(v_state(spark, sf), "versions")
     book.append("versions", state.select("model_name", "version", "run_id", F.lit(None).alias("model_path")))
     stamps = state.filter(F.col("promoted_at").isNotNull())
     book.append("version_tags", stamps.select(
@@ -134,7 +135,7 @@ def q_champion_lineage(spark, sf):
 
 def q_version_state(spark, sf):
     """Stamps of every version folded from its tag events."""
-    state = v_state(spark, sf)
+    state = stored(v_state(spark, sf), "versions")
     tags = state.filter("promoted_at IS NOT NULL").select(
         "model_name", "version", F.lit("promoted_at").alias("tag"), F.col("promoted_at").alias("stamp"),
         F.lit(None).cast("string").alias("note"), F.col("promoted_at").alias("event_time"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkgate import defaults
+from chunkgate.operators.skew import key_set
 
 FINISHED = "FINISHED"
 FAILED = "FAILED"
@@ -13,7 +14,7 @@ VERSION_BLOCK = 4096
 
 
 def finished_digests(runs: DataFrame, digest: str = "raw_data_hash") -> DataFrame:
-    return runs.filter(F.col("status") == FINISHED).select(digest).distinct()
+    return key_set(runs.filter(F.col("status") == FINISHED), digest)
 
 
 def already_trained(arrivals: DataFrame, runs: DataFrame, digest: str = "raw_data_hash") -> DataFrame:
@@ -89,7 +90,10 @@ def eligible() -> Column:
 
 
 def eligible_versions(state: DataFrame, current: DataFrame) -> DataFrame:
-    """Eligible versions older than each model's current one."""
+    """Eligible versions older than each model's current one.
+
+    ``current`` has one row for each model; see ``skew`` on why to pass it stored.
+    """
     champion = current.select("model_name", F.col("version").alias("_current"))
     older = state.join(champion, "model_name").filter(F.col("version").cast("bigint") < F.col("_current"))
     return older.filter(eligible()).drop("_current")

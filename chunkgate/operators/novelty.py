@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkgate.functions.keys import Rule, canonical_key, compact_key
+from chunkgate.operators.skew import key_set
 
 
 def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None) -> DataFrame:
@@ -15,11 +16,8 @@ def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None) -> DataF
 
 
 def _split_rows(incoming, reference, key, how, canonical, rule):
-    # The reference side has one row for each key. When a hot key fills an incoming
-    # partition, adaptive execution splits that partition and repeats the other side.
     arrived = _known(incoming, key, canonical, rule)
-    seen = _known(reference, key, canonical, rule).select("_ck").distinct()
-    return arrived.join(seen, "_ck", how).drop("_ck")
+    return arrived.join(key_set(_known(reference, key, canonical, rule), "_ck"), "_ck", how).drop("_ck")
 
 
 def novel_rows(

@@ -14,7 +14,7 @@ from chunkgate.operators.ranking import cut_points, with_range_bucket
 def exact_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float | None]:
     """Quantiles with linear interpolation, ignoring null and NaN.
 
-    Approximate cuts split the values into about a thousand ranges. One count for
+    Approximate cuts split the values into ranges, at most 16,384. One count for
     each range tells which ranges hold the wanted order statistics, and only the
     values of those few ranges are grouped and sorted. Equal values are counted
     before they meet, so one value may hold any share of the rows.

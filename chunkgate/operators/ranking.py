@@ -10,15 +10,24 @@ from pyspark.sql import functions as F
 
 from chunkgate.functions.keys import hash32
 
-N_CUTS = 1023
-HASH_BUCKETS = 4096
+MIN_BUCKETS, MAX_BUCKETS = 256, 65536
 
 
-def cut_points(df: DataFrame, column: str, n_cuts: int = N_CUTS) -> list[float]:
+def n_buckets(df: DataFrame, per_partition: int = 2) -> int:
+    """A power of two that follows the session's shuffle partitions, between fixed bounds.
+
+    The upper bound keeps tables with one row for each bucket small enough to broadcast.
+    """
+    wanted = per_partition * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, 1 << (wanted - 1).bit_length()))
+
+
+def cut_points(df: DataFrame, column: str, n_cuts: int | None = None) -> list[float]:
     """At most ``n_cuts`` increasing values that split the column about evenly.
 
     They only set the bucket sizes; the ranks built on them are exact.
     """
+    n_cuts = n_cuts or min(n_buckets(df), 16384) - 1
     value = F.col(column).cast("double")
     shares = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
     row = df.agg(F.percentile_approx(value, shares, 4 * n_cuts).alias("cuts")).first()
@@ -39,7 +48,7 @@ def with_hash_bucket(df: DataFrame, row_id: str, seed: int, bucket: str = "_buck
     """Add a uniform bucket and the order ``_hash`` of a seeded shuffle of the rows."""
     text = F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string"))
     hashed = df.withColumn("_hash", F.md5(text))
-    return hashed.withColumn(bucket, (hash32(text) / (2**32 // HASH_BUCKETS)).cast("int"))
+    return hashed.withColumn(bucket, F.floor(hash32(text) / (2**32 // n_buckets(df, 16))).cast("int"))
 
 
 def bucket_offsets(bucketed: DataFrame, by: Sequence[str] = (), bucket: str = "_bucket") -> DataFrame:

@@ -1,4 +1,9 @@
-"""Joins whose left side may hold a third of its rows under one key."""
+"""Joins whose left side may hold a third of its rows under one key.
+
+A join against a table of one row for each group (fitted lines, champions) takes that
+table stored: Spark then knows its size and broadcasts a small one, and for a large one
+splits hot partitions as below.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +14,18 @@ HOT_KEYS = 2048
 SALTS = 64
 
 
+def key_set(df: DataFrame, key: str) -> DataFrame:
+    """The keys of a table for a semi or anti join, each at most SALTS times.
+
+    Repeats are collapsed by key and salt, so that a hot key is spread over the tasks.
+    The join then shuffles this set itself instead of taking over the grouping's
+    shuffle, and adaptive execution can split a hot partition of the other side: it
+    does so only for a join that reads both sides straight from a shuffle.
+    """
+    salted = df.select(key).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    return salted.distinct().select(key)
+
+
 def hot_keys(df: DataFrame, key: str, counts: str | None = None) -> DataFrame:
     """The most frequent keys, at most HOT_KEYS rows whatever the input holds.
 

@@ -36,15 +36,13 @@ def _block_digester() -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFram
     return digest
 
 
-def arrival_digests(
-    spark: SparkSession, directory: str, pattern: str = "*.csv", whole_file_bytes: int = WHOLE_FILE_BYTES
-) -> DataFrame:
-    """One row for each file below ``directory``: path, length and SHA-256.
+def file_digests(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) -> DataFrame:
+    """Path, length and SHA-256 of ``binaryFile`` rows, batch or streaming.
 
-    Files are hashed in parallel. Files of up to 256 MB are hashed inside the JVM; a
-    larger one is read block by block, so its size does not matter to memory.
+    Files of up to 256 MB are hashed inside the JVM; a larger one is read block by
+    block, so its size does not matter to memory. The filters on the length keep each
+    branch from loading the other's files.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
     small = files.filter(F.col("length") <= whole_file_bytes)
     hashed = small.select("path", "length", F.sha2("content", 256).alias("digest"))
     large = files.select("path", "length").filter(F.col("length") > whole_file_bytes)
@@ -52,6 +50,11 @@ def arrival_digests(
     return hashed.unionByName(blocks)
 
 
+def arrival_digests(spark: SparkSession, directory: str, pattern: str = "*.csv") -> DataFrame:
+    """One row for each file below ``directory``: path, length and SHA-256."""
+    return file_digests(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory))
+
+
 def arrival_digest(spark: SparkSession, path: str) -> str:
     """The digest of one file."""
     return arrival_digests(spark, path, "*").first()["digest"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -88,8 +89,7 @@ class Ledger:
 
     def point_alias(self, model_name: str, version: int, when: datetime) -> None:
         """Move the champion alias. Written last, so no reader sees half a promotion."""
-        seq = self.read("alias_events").count()
         self.append_row(
             "alias_events", model_name=model_name, alias=defaults.CHAMPION_ALIAS, version=version,
-            event_time=when, seq=seq,
+            event_time=when, seq=time.time_ns(),
         )

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from chunkgate.sources.arrivals import file_digests
+
 BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -21,7 +22,7 @@ def stream_arrivals(
     )
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(directory).select("path", "length", F.sha2("content", 256).alias("digest"))
+    return file_digests(reader.load(directory))
 
 
 def stream_distinct_arrivals(arrivals: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from chunkgate.functions.fingerprint import LEFT, PRIME, RIGHT, SELF, STEP, fing
 from chunkgate.operators import novelty, profile, sampling, score
 from chunkgate.operators.quantiles import exact_quantiles
 from chunkgate.operators.ranking import cut_points, with_range_bucket, with_row_number
-from chunkgate.sources.arrivals import arrival_digest, arrival_digests, distinct_arrivals
+from chunkgate.sources.arrivals import arrival_digest, arrival_digests, distinct_arrivals, file_digests
 from chunkgate.sources.chunks import read_chunk, read_text_chunk
 
 
@@ -109,6 +109,31 @@ def test_segment_shortlist_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in text[text.index("Exchange"):]
 
 
+def test_a_hot_key_is_split_when_rows_are_matched(spark):
+    """A third of the incoming rows share one key; the join spreads them over many tasks."""
+    incoming = spark.range(60000).selectExpr("id", "if(id % 3 = 0, 'hot', cast(id % 5000 as string)) k", "repeat('x', 50) pad")
+    reference = spark.range(4000).selectExpr("cast(id as string) k")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        novel = novelty.novel_rows(incoming.repartition(8), reference, "k")
+        want = sum(1 for i in range(60000) if i % 3 == 0 or i % 5000 >= 4000)
+        assert len(novel.select("id", "pad").collect()) == want
+        rows = novel.select("id", "pad")
+        rows.collect()
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_histogram_equals_numpy(spark):
     values = np.random.default_rng(2).gamma(2.0, 3.0, 2000)
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
@@ -125,7 +150,8 @@ def test_files_are_known_by_their_bytes(spark, folder):
             out.write(data)
     want = {n: hashlib.sha256(d).hexdigest() for n, d in contents.items() if n.endswith(".csv")}
     for limit in (1 << 20, 0):  # inside the JVM, and block by block
-        found = arrival_digests(spark, folder, whole_file_bytes=limit)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+        found = file_digests(files, limit)
         assert {os.path.basename(r["path"]): r["digest"] for r in found.collect()} == want
     first = distinct_arrivals(arrival_digests(spark, folder)).collect()
     assert sorted(os.path.basename(r["path"]) for r in first) == ["a.csv", "c.csv"]
