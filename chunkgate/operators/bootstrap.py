@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chunkgate import defaults
 from chunkgate.functions.keys import hash32
+from chunkgate.operators.skew import hot_keys
 
 PRIME = 2**31 - 1
 MAX_WEIGHT = 8
@@ -39,6 +40,23 @@ def _constant_array(numbers: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
 
 
+def _dealt_out(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows spread evenly, those of a small group together.
+
+    Every row becomes n_boot draws, so this cheap shuffle sets how well the costly part
+    runs in parallel. A group that lies in one task leaves it as n_boot partial sums;
+    the largest groups, known by count, are spread over SALTS tasks each.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not by:
+        return rows.repartition(n, "_h1")
+    grouped = rows.withColumn("_g", F.xxhash64(*by))
+    large = F.broadcast(hot_keys(grouped, "_g"))
+    salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod("_h1", "_salts"))
+    salted = grouped.join(large, "_g", "left").withColumn("_salt", salt)
+    return salted.repartition(n, *by, "_salt").drop("_g", "_salts", "_salt")
+
+
 def bootstrap_deltas(
     errors: DataFrame,
     key: str,
@@ -65,7 +83,7 @@ def bootstrap_deltas(
         (hash32(F.col(key).cast("string"), 0) % PRIME).alias("_h1"),
         (hash32(F.col(key).cast("string"), 1) % PRIME).alias("_h2"),
     )
-    drawn = hashed.select("*", F.posexplode(a).alias("replicate", "_a"))
+    drawn = _dealt_out(hashed, by).select("*", F.posexplode(a).alias("replicate", "_a"))
     index = F.col("replicate")
     mixed = (F.col("_a") * F.col("_h1") + b[index] * F.col("_h2") + c[index]) % PRIME
     weight = F.lit(MAX_WEIGHT)

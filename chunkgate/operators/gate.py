@@ -60,7 +60,9 @@ def gate(
     compared = errors.filter(F.col("champion_error").isNotNull()).withColumn(
         "_d", F.col("champion_error") - F.col("candidate_error")
     )
-    interval = bootstrap_ci(compared, key, "_d", n_boot, seed, groups)
+    interval = bootstrap_ci(compared, key, "_d", n_boot, seed, by)
+    if not by:
+        interval = interval.withColumn("_all", F.lit(0))
 
     n, cold, low = F.col("n_rows"), F.col("_cold"), F.col("ci_low")
     enough = n >= min_samples
