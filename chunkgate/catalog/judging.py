@@ -337,9 +337,12 @@ QUERIES = {
         SELECT n_rows, candidate_mae, FALSE AS promote, CAST(1 AS BIGINT) AS n_checks, {_NO_CI},
           'insufficient evidence: ' || n_rows || ' below floor of 1000000000' AS reason, cold
         FROM t, (SELECT unnest([TRUE, FALSE]) AS cold)"""),
-    "gate_cold_start": (q_gate_cold_start, f"""WITH {R_ERRORS} SELECT count(*) AS n_rows,
-        round(avg(candidate_error), 4) AS candidate_mae, TRUE AS promote, CAST(2 AS BIGINT) AS n_checks, {_NO_CI},
-        'no champion - candidate becomes first champion' AS reason FROM r_errors"""),
+    "gate_cold_start": (q_gate_cold_start, f"""WITH {R_ERRORS}, t AS (
+          SELECT count(*) AS n_rows, round(avg(candidate_error), 4) AS candidate_mae FROM r_errors)
+        SELECT n_rows, candidate_mae, n_rows >= 1000 AS promote,
+          CAST(CASE WHEN n_rows >= 1000 THEN 2 ELSE 1 END AS BIGINT) AS n_checks, {_NO_CI},
+          CASE WHEN n_rows >= 1000 THEN 'no champion - candidate becomes first champion'
+            ELSE 'insufficient evidence: ' || n_rows || ' below floor of 1000' END AS reason FROM t"""),
     "gate_by_segment": (q_gate_by_segment, f"{_DECIDED_R} SELECT l_returnflag, {_DECISION_COLUMNS} FROM decided"),
     "gate_checks": (q_gate_checks, f"""{_DECIDED_R}
         SELECT l_returnflag, CAST(0 AS BIGINT) AS check_no, 'sample_floor' AS name, enough AS passed,
