@@ -208,11 +208,9 @@ def q_params_hash(spark, sf):
 
 
 def _lane_sql(column: str) -> str:
-    words = [f"('0x' || substr(sha256({column}), {1 + 8 * i}, 8))::BIGINT" for i in range(8)]
-    lanes = ", ".join(
-        f"CAST(sum({w} // 65536) AS BIGINT), CAST(sum({w} % 65536) AS BIGINT)" for w in words
-    )
-    return f"count(*) AS n_keys, sha256(concat_ws(':', count(*), {lanes})) AS content_digest"
+    words = [f"('0x' || substr(sha256({column}), {1 + 15 * i}, 15))::BIGINT" for i in range(4)]
+    lanes = [f"CAST(sum(({w} >> {shift}) & 1048575) AS BIGINT)" for w in words for shift in (40, 20, 0)]
+    return f"count(*) AS n_keys, sha256(concat_ws(':', count(*), {', '.join(lanes)})) AS content_digest"
 
 
 def _round_sql(r: int) -> str:

@@ -107,11 +107,11 @@ def validation_report(df: DataFrame, key: str, target: str, rule: Rule | None =
 
 
 def duplicate_rows(df: DataFrame, key: str, row_id: str) -> DataFrame:
-    """Every member of a key group with two or more rows.
+    """Every member of a key group with two or more rows; rows without a key have no group.
 
     Counting collapses a hot key on the map side; joining the rows back to the
     repeated keys spreads it over many tasks.
     """
-    keyed = df.withColumn("_ck", compact_key(F.col(key)))
+    keyed = df.filter(F.col(key).isNotNull()).withColumn("_ck", compact_key(F.col(key)))
     repeated = keyed.groupBy("_ck").agg(F.count("*").alias("copies")).filter("copies > 1")
     return spread_join(keyed, repeated, "_ck", row_id, "inner", counts="copies").drop("_ck")

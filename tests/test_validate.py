@@ -127,9 +127,8 @@ def test_content_digest_ignores_order_and_packaging(spark):
     whole = content_digest(df, "k").first()
     shuffled = content_digest(df.orderBy(F.rand(3)).repartition(5), "k").first()
     assert whole == shuffled
-    lanes = []
-    for i in range(16):
-        lanes.append(sum(int(hashlib.sha256(k.encode()).hexdigest()[4 * i : 4 * i + 4], 16) for k in keys))
+    words = [[int(hashlib.sha256(k.encode()).hexdigest()[15 * i : 15 * i + 15], 16) for k in keys] for i in range(4)]
+    lanes = [sum(w >> shift & 0xFFFFF for w in word) for word in words for shift in (40, 20, 0)]
     text = ":".join(map(str, [len(keys), *lanes]))
     assert whole["content_digest"] == hashlib.sha256(text.encode()).hexdigest()
     assert content_digest(df.limit(199), "k").first() != whole
