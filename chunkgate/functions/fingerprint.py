@@ -38,7 +38,7 @@ def fingerprint_bits(tokens: Column, radius: int, n_bits: int) -> Column:
     ones counting as 0. All of it is row-local, so no document leaves its partition.
     """
     if radius < 0 or n_bits <= 0:
-        raise ValueError("radius must be 0 or greater and n_bits greater than 0")
+        raise ValueError("radius cannot be negative, nor n_bits below 1")
 
     def rounds(ids: Column, r: int) -> Column:
         if r == radius:

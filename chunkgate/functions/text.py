@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Check names and reasons as they appear in audit records.
+# Check names, reasons and run lines as they appear in audit records.
 SAMPLE_FLOOR = "sample_floor"
 COLD_START = "cold_start"
 BOOTSTRAP_CI = "bootstrap_ci"
@@ -16,6 +16,10 @@ HAS_CHAMPION = "champion exists - proceed to comparison"
 CI_REASON = "ci_low %.3f %s margin %s"
 CLEARS = "clears"
 FALLS_SHORT = "does not clear"
+PASS, FAIL = "PASS", "FAIL"
+CANDIDATE_LINE = "candidate mae: %.3f"
+PROMOTE_LINE = "promote=%s  reason: %s"
+CHECK_LINE = "  [%s] %s: %s"
 
 
 def floor_reason(n: Column, min_samples: int) -> Column:
@@ -31,22 +35,16 @@ def ci_reason(ci_low: Column, margin: float) -> Column:
 
 def decision_text(mae: Column, promote: Column, reason: Column, checks: Column) -> Column:
     """The run summary: candidate error, verdict, then one line for each check."""
-    lines = F.transform(
-        checks,
-        lambda c: F.concat(
-            F.lit("  ["),
-            F.when(c["passed"], F.lit("PASS")).otherwise(F.lit("FAIL")),
-            F.lit("] "),
-            c["name"],
-            F.lit(": "),
-            c["reason"],
-        ),
-    )
+
+    def line(check: Column) -> Column:
+        mark = F.when(check["passed"], F.lit(PASS)).otherwise(F.lit(FAIL))
+        return F.format_string(CHECK_LINE, mark, check["name"], check["reason"])
+
     return F.concat_ws(
         "\n",
-        F.format_string("candidate mae: %.3f", mae),
-        F.concat(F.lit("promote="), F.initcap(promote.cast("string")), F.lit("  reason: "), reason),
-        F.array_join(lines, "\n"),
+        F.format_string(CANDIDATE_LINE, mae),
+        F.format_string(PROMOTE_LINE, F.initcap(promote.cast("string")), reason),
+        F.array_join(F.transform(checks, line), "\n"),
     )
 
 

@@ -74,7 +74,7 @@ def bootstrap_deltas(
     folds its rows into one partial sum for each replicate before the shuffle.
     """
     if n_boot < 1:
-        raise ValueError("n_boot must be greater than 0")
+        raise ValueError("n_boot cannot be below 1")
     terms = replicate_terms(n_boot, seed)
     a, b, c = (_constant_array(column) for column in zip(*terms))
     hashed = errors.select(

@@ -26,7 +26,7 @@ def _check(name, passed, observed, threshold, reason):
 
 def check_settings(min_samples: int, margin: float, n_boot: int) -> None:
     if min_samples < 0 or margin < 0 or n_boot < 1:
-        raise ValueError("min_samples and margin must be 0 or greater, n_boot greater than 0")
+        raise ValueError("min_samples and margin cannot be negative, nor n_boot below 1")
 
 
 def gate(

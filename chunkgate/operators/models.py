@@ -90,18 +90,22 @@ def _fit_boosted(train: DataFrame, target: str, params: dict) -> PipelineModel:
     return PipelineModel([estimator.fit(train)])
 
 
-ESTIMATORS: dict[str, Callable[[DataFrame, str, dict], PipelineModel]] = {
+BUILDERS: dict[str, Callable[[DataFrame, str, dict], PipelineModel]] = {
     "dummy": _fit_dummy,
     "hist_gbr": _fit_boosted,
     "ridge": _fit_ridge,
 }
 
 
+def check_kind(kind: str) -> None:
+    if kind not in BUILDERS:
+        raise ValueError(f"no estimator is called {kind}; there are {', '.join(sorted(BUILDERS))}")
+
+
 def fit(train: DataFrame, target: str, kind: str = defaults.MODEL_KIND, params: dict | None = None) -> PipelineModel:
     """Fit the named estimator on the ``features`` and target columns."""
-    if kind not in ESTIMATORS:
-        raise ValueError(f"unknown model kind {kind!r}; choose from {sorted(ESTIMATORS)}")
-    return ESTIMATORS[kind](train, target, dict(params or {}))
+    check_kind(kind)
+    return BUILDERS[kind](train, target, dict(params or {}))
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ def seeded_sample(df: DataFrame, row_id: str, n: int, seed: int = defaults.SPLIT
     any shuffle, and only the one bucket on the border is ranked.
     """
     if n < 1:
-        raise ValueError("n must be greater than 0")
+        raise ValueError("n cannot be below 1")
     bucketed = with_hash_bucket(df, row_id, seed)
     offsets = bucket_offsets(bucketed).filter(F.col("_offset") < n)
     placed = bucketed.join(F.broadcast(offsets), "_bucket")

@@ -32,7 +32,7 @@ def shortlist(
 ) -> DataFrame:
     """The best ``size`` rows; each task sends on only its own best ``size``."""
     if size < 1:
-        raise ValueError("size must be greater than 0")
+        raise ValueError("size cannot be below 1")
     return scored.orderBy(*_ranking(scored, prediction, key, ascending)).limit(size)
 
 

@@ -18,7 +18,7 @@ def with_split(
     """Add ``is_test``. Membership depends on the key alone, so it never changes
     as chunks arrive or are repackaged."""
     if not 0 < fraction < 1:
-        raise ValueError("fraction must be between 0 and 1 exclusive")
+        raise ValueError("fraction lies strictly between 0 and 1")
     return df.withColumn("is_test", unit_hash(seed, F.col(key)) < fraction)
 
 

@@ -14,11 +14,12 @@ from chunkgate.operators.skew import spread_join
 
 def check_schema(df: DataFrame, key: str, target: str) -> None:
     """Raise unless both columns exist and the target is numeric (a boolean counts)."""
-    missing = sorted({key, target} - set(df.columns))
-    if missing:
-        raise ValueError(f"raw frame missing required columns: {missing}")
-    if not isinstance(df.schema[target].dataType, (T.NumericType, T.BooleanType)):
-        raise ValueError(f"target column {target!r} is not numeric")
+    absent = [name for name in sorted([key, target]) if name not in df.columns]
+    if absent:
+        raise ValueError(f"the chunk lacks {absent}; it has {df.columns}")
+    kind = df.schema[target].dataType
+    if not isinstance(kind, (T.NumericType, T.BooleanType)):
+        raise ValueError(f"{target} must hold numbers, not {kind.simpleString()}")
 
 
 def drop_null_rows(df: DataFrame, key: str, target: str) -> DataFrame:
@@ -75,7 +76,7 @@ def validated(
 def require_rows(valid: DataFrame, raw_rows: int) -> None:
     """A chunk with no valid row left is malformed and raises."""
     if valid.isEmpty():
-        raise ValueError(f"no valid rows remain after validation ({raw_rows} raw rows, all dropped)")
+        raise ValueError(f"none of the chunk's {raw_rows} rows is valid")
 
 
 def validation_report(df: DataFrame, key: str, target: str, rule: Rule | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ def rollback(ledger: Ledger, model_name: str, reason: str) -> int:
     current = state.filter(F.col("version") == champion["version"])
     target = questions.rollback_target(state, current).first()["target_version"]
     if target is None:
-        raise ValueError(f"no eligible previous champion for {model_name!r}")
+        raise ValueError(f"{model_name!r} has no earlier version to go back to")
     when = datetime.now(UTC)
     ledger.point_alias(model_name, target, when)
     ledger.tag(model_name, champion["version"], "rolled_back_at", when)
@@ -76,7 +76,7 @@ def explain_run(ledger: Ledger, run_id: str | None = None) -> str:
     chosen = runs.filter(F.col("run_id") == run_id) if run_id else runs.orderBy(F.desc("start_time"), "run_id").limit(1)
     row = narratives(chosen).select("run_id", "narrative").first()
     if row is None:
-        raise ValueError("no such run" if run_id else "no runs in the ledger")
+        raise ValueError("no such run" if run_id else "the ledger is empty")
     ledger.append_row(
         "annotations", run_id=row["run_id"], name="rationale", text=row["narrative"], event_time=datetime.now(UTC)
     )

@@ -17,7 +17,7 @@ from chunkgate.sources.ledger import Ledger
 def scored(valid: DataFrame, champion: PipelineModel | None, settings: Settings) -> DataFrame:
     """All valid rows with ``predicted_<target>``; scoring without a champion is an error."""
     if champion is None:
-        raise ValueError("no champion model - train and promote one first")
+        raise ValueError("there is no champion to score with; train one first")
     featured = settings.with_features(valid)
     added = [c for c in featured.columns if c not in valid.columns]
     return models.predict(champion, featured, predicted_name(settings.target)).drop(*added)

@@ -48,13 +48,12 @@ class Settings:
 
     def __post_init__(self) -> None:
         if not self.model_name.strip():
-            raise ValueError("model_name must not be empty")
-        if self.kind not in models.ESTIMATORS:
-            raise ValueError(f"unknown model kind {self.kind!r}; choose from {sorted(models.ESTIMATORS)}")
+            raise ValueError("a model needs a name")
+        models.check_kind(self.kind)
         if not 0 < self.test_fraction < 1:
-            raise ValueError("test_fraction must be between 0 and 1 exclusive")
+            raise ValueError("test_fraction lies strictly between 0 and 1")
         if self.fp_radius < 0 or self.fp_bits < 1 or self.shortlist_size < 1:
-            raise ValueError("fp_radius must be 0 or greater, fp_bits and shortlist_size greater than 0")
+            raise ValueError("fp_radius cannot be negative, nor fp_bits or shortlist_size below 1")
         check_settings(self.min_samples, self.margin, self.n_boot)
 
     def numeric_columns(self) -> list[str]:
