@@ -12,7 +12,10 @@ from chunkgate.plans.score import score_chunk
 from chunkgate.plans.settings import Settings
 from chunkgate.plans.train import load_champion, train_chunk
 from chunkgate.sources.chunks import read_text_chunk
+from chunkgate.session import scratch_dir
+from chunkgate.sources.arrivals import file_digests
 from chunkgate.sources.ledger import Ledger
+from chunkgate.streaming.arrivals import BINARY_SCHEMA, append_stream, stream_distinct_arrivals
 from chunkgate.streaming.watch import watch_scoring, watch_training
 
 WORDS = ["ring", "chain", "acid", "salt", "gold", "iron", "zinc", "lead"]
@@ -121,6 +124,37 @@ def test_lost_champion_is_not_a_cold_start(spark, book, folder):
         load_champion(book, "m")
 
 
+@pytest.mark.parametrize("whole_file_bytes", [1 << 20, 0])
+def test_streamed_digests_of_small_and_large_files(spark, folder, whole_file_bytes):
+    landing = f"{folder}/landing"
+    os.mkdir(landing)
+    for i in range(3):
+        write_csv(f"{landing}/{i}.csv", rows(i % 2, 3))  # the first and the last are alike
+    files = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("maxFilesPerTrigger", 1).load(landing)
+    found = stream_distinct_arrivals(file_digests(files, whole_file_bytes))
+    append_stream(found, f"{folder}/out", f"{folder}/state").awaitTermination()
+    want = {hashlib.sha256(open(f"{landing}/{i}.csv", "rb").read()).hexdigest() for i in range(3)}
+    got = [r["digest"] for r in spark.read.parquet(f"{folder}/out").collect()]
+    assert len(got) == 2 and set(got) == want
+
+
+def test_a_cluster_must_name_a_shared_folder():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Fake(), "x")
+    Fake.sparkContext.master = "local[4]"
+    assert os.path.basename(scratch_dir(Fake(), "x")).startswith("x-")
+
+
 def stamp(hour):
     return datetime(2024, 8, 24, hour)
 
