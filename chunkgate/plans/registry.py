@@ -12,7 +12,7 @@ from chunkgate.operators import ledger as questions
 from chunkgate.operators.gate import CHECK_TYPE
 from chunkgate.operators.novelty import novelty_facts, retrain_rule
 from chunkgate.plans.settings import Settings
-from chunkgate.sources.chunks import read_text_chunk
+from chunkgate.sources.chunks import read_chunk
 from chunkgate.sources.ledger import Ledger
 
 
@@ -51,7 +51,7 @@ def chunk_facts(incoming: DataFrame, reference: DataFrame, settings: Settings, l
 
 def retrain_advice(spark, raw_path: str, reference: DataFrame, settings: Settings, ledger: Ledger) -> DataFrame:
     """The facts about an arriving file with ``retrain`` and ``reason``. Triggers nothing."""
-    incoming = read_text_chunk(spark, raw_path, settings.multiline)
+    incoming = read_chunk(spark, raw_path, [], settings.multiline, settings.file_format)
     facts = chunk_facts(incoming, reference, settings, ledger)
     return retrain_rule(facts, settings.retrain_threshold, F.col("champion_version").isNotNull())
 

@@ -42,6 +42,7 @@ class Settings:
     retrain_threshold: float = 0.5
     numeric: tuple[str, ...] = ()
     multiline: bool = False
+    file_format: str = "csv"
     code_version: str = "unknown"
     rule: Rule | None = None
     features: Callable[[DataFrame], DataFrame] | None = None

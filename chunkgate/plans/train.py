@@ -100,7 +100,7 @@ def promote(ledger: Ledger, settings: Settings, run_id: str, model: PipelineMode
 
 def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     digest = arrival_digest(spark, raw_path)
-    raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline)
+    raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline, settings.file_format)
     valid = validated(raw, settings.key, settings.target, ["ord"], settings.rule)
     split = with_split(valid, settings.key, settings.test_fraction, settings.split_seed)
     # Validation, split and features are computed once; fitting makes many passes.

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chunkgate.operators.identity import content_digest
+
 WHOLE_FILE_BYTES = 256 * 1024 * 1024
 BLOCK_BYTES = 1024 * 1024
 
@@ -56,8 +58,12 @@ def arrival_digests(spark: SparkSession, directory: str, pattern: str = "*.csv")
 
 
 def arrival_digest(spark: SparkSession, path: str) -> str:
-    """The digest of one file."""
-    return arrival_digests(spark, path, "*").first()["digest"]
+    """The identity of an arrived chunk: a file's digest, or that of a folder's set of files."""
+    files = spark.read.format("binaryFile").load(path)
+    digests = file_digests(files)
+    if files.select("path").limit(2).count() == 1:
+        return digests.first()["digest"]
+    return content_digest(digests, "digest").first()["content_digest"]
 
 
 def distinct_arrivals(arrivals: DataFrame) -> DataFrame:

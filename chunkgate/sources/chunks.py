@@ -1,4 +1,4 @@
-"""Reading arriving CSV chunks and writing shortlists."""
+"""Reading arriving chunks and writing shortlists."""
 
 from __future__ import annotations
 
@@ -19,15 +19,11 @@ def _present(name: str) -> Column:
     return F.when(~F.col(name).isin(NULL_TOKENS), F.col(name))
 
 
-def read_text_chunk(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
-    """A CSV chunk with all columns as text, missing values as null, and ``ord``.
+def _with_order(raw: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """Add ``ord``, a row's place: file, block of the file, row in the block.
 
-    ``ord`` is the place in the file: file, block and row inside the block. It orders
-    rows as the file does however the file is split. Set ``multiline`` only for values
-    with line breaks, since such a file cannot be split.
+    It orders rows as the files do, however they are split into tasks.
     """
-    raw = spark.read.csv(path, header=True, multiLine=multiline, escape='"')
-    columns = [_present(f"`{c}`").alias(c) for c in raw.columns]
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -36,6 +32,15 @@ def read_text_chunk(spark: SparkSession, path: str | Sequence[str], multiline: b
     return raw.select(*columns, place.alias("ord"))
 
 
+def read_text_chunk(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """A CSV file or folder with all columns as text, missing values as null, and ``ord``.
+
+    Set ``multiline`` only for values with line breaks, since such a file cannot be split.
+    """
+    raw = spark.read.csv(path, header=True, multiLine=multiline, escape='"')
+    return _with_order(raw, [_present(f"`{c}`").alias(c) for c in raw.columns])
+
+
 def with_numbers(chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Turn text columns into doubles; a column with any other text stays text.
 
@@ -61,8 +66,18 @@ def read_chunk(
     path: str | Sequence[str],
     numeric: Sequence[str],
     multiline: bool = False,
+    file_format: str = "csv",
 ) -> DataFrame:
-    """A CSV chunk with the named columns as doubles where they hold numbers."""
+    """A chunk, one file or a folder of them, with ``ord`` as its arrival order.
+
+    CSV has texts only: the named columns become doubles where they hold numbers.
+    Parquet brings its own types.
+    """
+    if file_format == "parquet":
+        raw = spark.read.parquet(path)
+        return _with_order(raw, [F.col(f"`{c}`") for c in raw.columns])
+    if file_format != "csv":
+        raise ValueError(f"chunks are csv or parquet, not {file_format}")
     chunk = read_text_chunk(spark, path, multiline)
     return with_numbers(chunk, [c for c in numeric if c in chunk.columns])
 

@@ -13,7 +13,7 @@ from chunkgate.plans.settings import Settings
 from chunkgate.plans.train import load_champion, train_chunk
 from chunkgate.sources.chunks import read_text_chunk
 from chunkgate.session import scratch_dir
-from chunkgate.sources.arrivals import file_digests
+from chunkgate.sources.arrivals import arrival_digest, file_digests
 from chunkgate.sources.ledger import Ledger
 from chunkgate.streaming.arrivals import BINARY_SCHEMA, append_stream, stream_distinct_arrivals
 from chunkgate.streaming.watch import watch_scoring, watch_training
@@ -97,6 +97,25 @@ def test_same_keys_in_other_packaging_have_the_same_content(spark, book, folder)
     assert len({r[0] for r in found}) == 2 and len({r[1] for r in found}) == 1
 
 
+def test_a_folder_of_parquet_files_is_a_chunk(spark, book, folder):
+    data = rows(0, 600)
+    df = spark.createDataFrame(data, "name string, energy double")
+    df.repartition(3).write.parquet(f"{folder}/wide")
+    df.repartition(3).write.parquet(f"{folder}/again")
+    df.limit(599).repartition(3).write.parquet(f"{folder}/less")
+    change = settings(file_format="parquet")
+    assert train_chunk(spark, f"{folder}/wide", change, book).version == 1
+    train_chunk(spark, write_csv(f"{folder}/one.csv", data), settings(), book)
+    one, two = book.read("runs").orderBy("start_time").collect()
+    assert one["dataset_content_hash"] == two["dataset_content_hash"]
+    assert one["candidate_mae"] == pytest.approx(two["candidate_mae"])
+    assert arrival_digest(spark, f"{folder}/less") != one["raw_data_hash"] != two["raw_data_hash"]
+    assert score_chunk(spark, f"{folder}/wide", change, book).count() == 100
+    assert retrain_advice(spark, f"{folder}/wide", df, change, book).first()["novel_rows"] == 0
+    with pytest.raises(ValueError, match="csv or parquet"):
+        score_chunk(spark, f"{folder}/wide", settings(file_format="orc"), book)
+
+
 def test_crash_leaves_one_failed_run(spark, book, folder):
     bad = write_csv(f"{folder}/bad.csv", [("", 1.0), ("x", None)])
     with pytest.raises(ValueError, match="none of the chunk"):
