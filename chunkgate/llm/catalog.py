@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from chunkgate.llm import codes, packing, quality
+from chunkgate.llm import codes, mixing, packing, quality
 from chunkgate.session import scratch_dir
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -20,6 +20,10 @@ def op2_token_codes(spark, sf):
     return codes.read_documents(files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_mixing(spark, sf):
+    return mixing.taken_words(mixing.mix(table(spark, sf, "documents")))
+
+
 def op4_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(BYTE_VOCABULARY), BYTE_END)
 
@@ -31,6 +35,7 @@ def op6_quality(spark, sf):
 
 QUERIES = {
     "op2_token_codes": (op2_token_codes, None),
+    "op3_mixing": (op3_mixing, None),
     "op4_packing": (op4_packing, None),
     "op6_quality": (op6_quality, None),
 }
