@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, mixing, packing, quality
+from chunkgate.llm import chat, codes, mixing, neardup_vectors, packing, quality
 from chunkgate.session import scratch_dir
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -32,6 +32,10 @@ def op4_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path(BYTE_VOCABULARY), BYTE_END)
 
 
+def op5_vector_dedup(spark, sf):
+    return neardup_vectors.link_vectors(table(spark, sf, "embeddings"))
+
+
 def op6_quality(spark, sf):
     documents = table(spark, sf, "documents")
     return quality.judge_quality(documents, quality.fit_quality(documents, table(spark, sf, "labels")), columns=["doc_id"])
@@ -49,6 +53,7 @@ QUERIES = {
     "op2_token_codes": (op2_token_codes, None),
     "op3_mixing": (op3_mixing, None),
     "op4_packing": (op4_packing, None),
+    "op5_vector_dedup": (op5_vector_dedup, None),
     "op6_quality": (op6_quality, None),
     "op7_chat": (op7_chat, None),
 }
