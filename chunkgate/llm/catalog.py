@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, mixing, neardup_vectors, packing, quality
+from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality
 from chunkgate.session import scratch_dir
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -49,6 +49,10 @@ def op7_chat(spark, sf):
     return chat.digests(chat.format_paths(chosen)).withColumnRenamed("tree", "conv_id")
 
 
+def op9_near_duplicates(spark, sf):
+    return neardup_texts.near_duplicates(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op2_token_codes": (op2_token_codes, None),
     "op3_mixing": (op3_mixing, None),
@@ -56,4 +60,5 @@ QUERIES = {
     "op5_vector_dedup": (op5_vector_dedup, None),
     "op6_quality": (op6_quality, None),
     "op7_chat": (op7_chat, None),
+    "op9_near_duplicates": (op9_near_duplicates, None),
 }

@@ -20,6 +20,8 @@ IS_BLANK[list(BLANKS)] = True
 
 #: Rows are handled in slices of about so many bytes of text; one longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
+#: And of at most so many rows.
+SLICE_ROWS = 4000
 
 _U = np.uint64
 _LONG = 64
@@ -116,9 +118,8 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 
 def windows(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Names of all windows of n words that lie in one row, and the word at which each begins."""
-    names, width = None, 0
-    power, size, bits, at = h, 1, n, 0
-    while bits:
+    names, power, size, at, bits = None, h, 1, 0, n
+    while bits:  # n as a sum of powers of two, whose names come from doubling
         if bits & 1:
             tail = power[at:]
             if names is None:
@@ -131,9 +132,7 @@ def windows(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
         if bits:
             power = join(power[: max(0, len(power) - size)], power[size:])
             size *= 2
-        width = at
     names = names[: max(0, len(h) - n + 1)]
-    inside = np.zeros(len(h) + 1, bool)
     count = np.maximum(np.diff(first) - n + 1, 0)
     begin = first[:-1][count > 0]
     inside = np.zeros(len(h) + 1, np.int32)
@@ -150,7 +149,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
     at = 0
     while at < batch.num_rows:
         base = done[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(done, base + max_bytes, "right")))
+        to = min(max(at + 1, int(np.searchsorted(done, base + max_bytes, "right"))), at + SLICE_ROWS)
         yield batch.slice(at, to - at)
         at = to
 
