@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality
+from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality, substrings
 from chunkgate.session import scratch_dir
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -19,6 +19,11 @@ def table(spark, sf, name):
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_substring_dedup(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(documents, with_text=False)
+
+
 def op2_token_codes(spark, sf):
     files = codes.write_files(table(spark, sf, "documents"), scratch_dir(spark, "codes"), public_tokenizers.path(WORD_VOCABULARY), WORD_END)
     return codes.read_documents(files).select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -54,6 +59,7 @@ def op9_near_duplicates(spark, sf):
 
 
 QUERIES = {
+    "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_token_codes": (op2_token_codes, None),
     "op3_mixing": (op3_mixing, None),
     "op4_packing": (op4_packing, None),
