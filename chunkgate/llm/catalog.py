@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality, substrings
+from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality, substrings, toxicity
 from chunkgate.session import scratch_dir
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
@@ -58,6 +58,11 @@ def op9_near_duplicates(spark, sf):
     return neardup_texts.near_duplicates(table(spark, sf, "documents"))
 
 
+def op10_toxicity(spark, sf):
+    documents = table(spark, sf, "documents")
+    return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, table(spark, sf, "labels")))
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_token_codes": (op2_token_codes, None),
@@ -67,4 +72,5 @@ QUERIES = {
     "op6_quality": (op6_quality, None),
     "op7_chat": (op7_chat, None),
     "op9_near_duplicates": (op9_near_duplicates, None),
+    "op10_toxicity": (op10_toxicity, None),
 }
