@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, mixing, neardup_texts, neardup_vectors, packing, quality, substrings, toxicity
+from chunkgate.llm import chat, codes, counts, mixing, neardup_texts, neardup_vectors, packing, quality, substrings, toxicity
 from chunkgate.session import scratch_dir
+from chunkgate.sources.tables import stored
 
 WORD_VOCABULARY, WORD_END = "word_bpe_49k.json", 2
 BYTE_VOCABULARY, BYTE_END = "byte_bpe_50k.json", 1
@@ -54,6 +55,27 @@ def op7_chat(spark, sf):
     return chat.digests(chat.format_paths(chosen)).withColumnRenamed("tree", "conv_id")
 
 
+def op8_edited_counts(spark, sf):
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path(BYTE_VOCABULARY)
+    trees = stored(counts.build_trees(documents, vocabulary), "count-trees")
+    size = F.length("text")
+    # Three edits for each document, made from it: a swap near its start, words put in, a piece taken out.
+    edits = documents.select(
+        "doc_id",
+        F.explode(F.array(*[
+            F.struct(F.lit(k).alias("seq"), at.cast("long").alias("pos"), F.lit(gone).cast("long").alias("removed"), put.alias("inserted"))
+            for k, at, gone, put in (
+                (1, F.floor(size / 7), 3, F.reverse(F.expr("substring(text, cast(floor(length(text) / 7) as int) + 1, 3)"))),
+                (2, F.floor(size / 2), 0, F.concat(F.lit(" "), F.substring("text", 1, 24), F.lit(" 42 "))),
+                (3, F.floor(size * 4 / 5), 17, F.lit("")),
+            )
+        ])).alias("e"),
+    ).where("text is not null").select("doc_id", "e.*")
+    edited = counts.apply_edits(documents, trees, edits, vocabulary)
+    return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_chars", "n_reencoded")
+
+
 def op9_near_duplicates(spark, sf):
     return neardup_texts.near_duplicates(table(spark, sf, "documents"))
 
@@ -71,6 +93,7 @@ QUERIES = {
     "op5_vector_dedup": (op5_vector_dedup, None),
     "op6_quality": (op6_quality, None),
     "op7_chat": (op7_chat, None),
+    "op8_edited_counts": (op8_edited_counts, None),
     "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_toxicity": (op10_toxicity, None),
 }

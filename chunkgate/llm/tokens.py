@@ -112,14 +112,17 @@ class Encoder:
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if uneven(text) if self.blanks else _SEPARATORS.search(text):
+            # A blank before the first word is part of that word's piece.
+            led = self.blanks and len(text) > 1 and text[0] == " "
+            if uneven(text[1:] if led else text) if self.blanks else _SEPARATORS.search(text):
                 whole[i] = self._ids(text)
                 continue
             if not self.blanks:
                 own = text.split()  # white space never lies inside an id of this kind
             else:
                 head, *own = text.split(" ")
-                whole[i] = head
+                if not led:
+                    whole[i] = head
                 own = [" " + x for x in own]
             pieces += own
             counts[i] = len(own)
