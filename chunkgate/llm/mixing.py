@@ -60,7 +60,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most_repeats: int = MOST_R
     return t.select("source", "place", "source_size", "weight", "target")
 
 
-def schedule(spark, targets: DataFrame, block: Column, slots: Column) -> DataFrame:
+def schedule(targets: DataFrame, slots: DataFrame) -> DataFrame:
     """Slots of the mix: slot, place of the source, rank among the slots of that source."""
     ordered = Window.orderBy("place")
     upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,7 +85,7 @@ def schedule(spark, targets: DataFrame, block: Column, slots: Column) -> DataFra
 
 
 def layout(sizes: DataFrame, targets: DataFrame, buckets: int) -> DataFrame:
-    """Documents with the words of their source before them, in the shuffled order."""
+    """Documents with the words of their source before them, in the shuffled order, and their source's row of ``targets``."""
     named = sizes.withColumn("mixed", F.xxhash64("doc_id", F.lit("mix")))
     named = named.withColumn("bucket", F.pmod("mixed", F.lit(buckets)))
     inside = Window.partitionBy("source", "bucket").orderBy("mixed", "doc_id", "size")
@@ -96,10 +96,10 @@ def layout(sizes: DataFrame, targets: DataFrame, buckets: int) -> DataFrame:
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("base", F.coalesce(F.sum("all").over(before), F.lit(0)))
     totals = totals.join(targets, totals["source"].eqNullSafe(targets["source"])).select(
-        totals["source"].alias("s"), totals["bucket"].alias("b"), "base", "place", "source_size", "target"
+        totals["source"].alias("s"), totals["bucket"].alias("b"), "base", "place", "source_size", "target", "end"
     )
     return rows.join(totals, rows["source"].eqNullSafe(totals["s"]) & (rows["bucket"] == totals["b"])).select(
-        "doc_id", "size", "bucket", "pos", (F.col("base") + F.col("own")).alias("begin"), "place", "source_size", "target"
+        "doc_id", "size", "bucket", "pos", (F.col("base") + F.col("own")).alias("begin"), "place", "source_size", "target", "end"
     )
 
 
@@ -114,12 +114,11 @@ def mix(documents: DataFrame, weights=WEIGHTS, most_repeats: int = MOST_REPEATS,
     total, rows = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
     block = max(1, -(-total // slots))
     n_slots = -(-total // block)
-    docs = layout(sizes, targets, max(1, -(-rows // BUCKET)))
-    drawn = schedule(spark, targets, block, spark.range(n_slots).withColumnRenamed("id", "slot"))
+    drawn = stored(schedule(targets, spark.range(n_slots).withColumnRenamed("id", "slot")), "mix-slots")
     # A source's stream ends at its last block or at its cap.
     ends = drawn.groupBy("place").agg((F.count(F.lit(1)) * block).alias("end"))
-    docs = docs.join(targets.select("place").join(ends, "place", "left").select("place", F.coalesce("end", F.lit(0)).alias("end")), "place")
-    docs = docs.withColumn("end", F.least(F.col("end"), F.col("source_size") * most_repeats))
+    targets = targets.join(ends, "place", "left").withColumn("end", F.least(F.coalesce("end", F.lit(0)), F.col("source_size") * most_repeats))
+    docs = layout(sizes, targets, max(1, -(-rows // BUCKET)))
     epochs = F.filter(F.sequence(F.lit(0), F.lit(most_repeats - 1)), lambda e: e * F.col("source_size") + F.col("begin") < F.col("end"))
     docs = docs.withColumn("epoch", F.explode_outer(F.when(F.col("size") > 0, epochs)))
     docs = docs.withColumn("from", F.col("epoch") * F.col("source_size") + F.col("begin"))
