@@ -14,8 +14,9 @@ window's words alone. The longest of them (by hash among equals) is the window's
    is crowded, more windows come through and the result is the same.
 3. A window that a document with a smaller id has too marks its 13 words.
 
-Groupings combine before the shuffle, and joins have plain shuffles on both sides, so a passage that
-a third of the documents share is split by adaptive execution.
+What a slice of texts sends is combined and packed before the shuffle. Of a window that is common in
+the slice only the smallest doc_id is sent to its bucket, so no bucket holds a group of copies; such
+windows' rows are joined afterwards, in a join that adaptive execution can split.
 
 Defined results: null, empty and blank texts have no words. Rows with a null doc_id lose nothing and
 take nothing from others. Documents with equal ids don't count as earlier than each other. Repeated
@@ -32,13 +33,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkgate.llm.words import Words, hash_words, join, mix, slices, split_words, windows
+from chunkgate.llm.tiles import compare
+from chunkgate.llm.words import Words, groups, hash_words, join, mix, slices, split_words, windows
 from chunkgate.sources.tables import stored
 
 WINDOW = 13
 PAIR_ROUNDS = 4
 #: Bits of the map of shared anchors (16 MB).
 MAP_BITS = 1 << 27
+#: A window that more rows of a slice have takes the way for common windows.
+HOT_ROWS = 8
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -116,74 +120,181 @@ def _windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return names, at, anchors(h, words.first, at, names)
 
 
-def _places(anchor: np.ndarray) -> np.ndarray:
-    return mix(anchor.copy()) % _U(MAP_BITS)
+def _buckets(documents: DataFrame) -> int:
+    """A power of two, at least the session's number of shuffle partitions."""
+    return 1 << max(4, (int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
-def shared_anchors(rows: DataFrame) -> DataFrame:
-    """Places in the map of the anchors that documents with different ids have."""
+def _bucket(name: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(name.copy()) >> _U(64 - (buckets.bit_length() - 1))).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = split_words(part.column("text"))
-                _, at, anchor = _windows(words)
-                row = np.searchsorted(words.first, at, "right") - 1
-                # One document's equal anchors mostly stand side by side; the rest is combined by the grouping.
-                new = np.flatnonzero(np.append(True, (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1]))) if len(at) else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[new].view(np.int64)), part.column("doc_id").take(pa.array(row[new]))], ["anchor", "doc_id"])
 
-    found = rows.select("doc_id", "text").mapInArrow(run, "anchor long, doc_id long")
-    return found.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("anchor")
+def _place(anchor: np.ndarray) -> np.ndarray:
+    """Places in the map; a bucket owns a stretch of them."""
+    return mix(anchor.copy()) >> _U(64 - (MAP_BITS.bit_length() - 1))
 
 
-def anchor_map(shared: DataFrame) -> np.ndarray:
-    """A bit for each place that a shared anchor falls on: as large at every size of the corpus."""
+def _tagged(documents: DataFrame) -> DataFrame:
+    """With 15 bits of the text's hash, which tell rows with one doc_id apart."""
+    return documents.withColumn("_tag", F.pmod(F.xxhash64("text"), F.lit(1 << 15)).cast("int"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _planes(values: np.ndarray) -> bytes:
+    """Integers as planes of their bytes, so that shuffles and files compress the high ones away."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.dtype.itemsize).T.tobytes()
+
+
+def _from_planes(blobs: list[bytes], kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    parts = [np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(size, -1).T).view(kind).reshape(-1) for x in blobs if x]
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
+
+
+def _by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[bytes]]]:
+    """The columns' entries of each bucket, in their order, as bytes."""
+    order, begins = groups(bucket)
+    columns = [c[order] for c in columns]
+    for a, b in zip(begins[:-1], begins[1:]):
+        yield int(bucket[order[a]]), [_planes(c[a:b]) for c in columns]
+
+
+def anchor_map(rows: DataFrame, buckets: int) -> np.ndarray:
+    """A bit for each place that an anchor falls on which documents with different ids have.
+
+    As large at every size of the corpus. A slice of texts sends an anchor with its smallest and
+    largest doc_id only, packed by bucket; the bucket's task returns its stretch of the map.
+    """
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = _places(batch.column("anchor").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_pydict({"word": (place >> _U(6)).astype(np.int64), "bit": (_U(1) << (place & _U(63))).view(np.int64)})
+            for part in slices(batch, "text"):
+                words = split_words(part.column("text"))
+                _, at, anchor = _windows(words)
+                doc = part.column("doc_id").to_numpy()[np.searchsorted(words.first, at, "right") - 1]
+                order = np.lexsort((doc, anchor))
+                anchor, doc = anchor[order], doc[order]
+                ends = np.append(anchor[1:] != anchor[:-1], True) if len(anchor) else np.zeros(0, bool)
+                begins = np.append(True, ends[:-1]) if len(anchor) else ends
+                last = np.zeros(len(anchor), bool)
+                last[ends] = doc[ends] != doc[begins]
+                some = begins | last
+                sent = list(_by_bucket(_bucket(anchor[some], buckets), anchor[some], doc[some]))
+                yield pa.RecordBatch.from_pydict(
+                    {"cell": [k for k, _ in sent], "anchors": [x[0] for _, x in sent], "docs": [x[1] for _, x in sent]}, schema=_ANCHORS
+                )
 
-    rows = shared.mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(MAP_BITS // 64, np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
+    def find(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        anchor = _from_planes(cell.column("anchors").to_pylist(), np.uint64)
+        doc = _from_planes(cell.column("docs").to_pylist(), np.int64)
+        order, begins = groups(anchor)
+        doc = doc[order]
+        shared = np.minimum.reduceat(doc, begins[:-1]) < np.maximum.reduceat(doc, begins[:-1])
+        k = cell.column("cell")[0].as_py()
+        size = MAP_BITS // buckets
+        own = np.zeros(size, np.uint8)
+        own[_place(anchor[order[begins[:-1][shared]]]).astype(np.int64) - k * size] = 1
+        yield pa.RecordBatch.from_pydict({"cell": [k], "bits": [np.packbits(own, bitorder="little").tobytes()]})
 
+    sent = rows.select("doc_id", "text").mapInArrow(send, "cell long, anchors binary, docs binary")
+    out = np.zeros((buckets, MAP_BITS // buckets // 8), np.uint8)
+    for row in compare(sent, find, "cell long, bits binary").toLocalIterator():
+        out[row["cell"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1).view(np.uint64)
 
-def _keyed(documents: DataFrame) -> DataFrame:
-    """With a key for each row that is the same whenever the table is read."""
-    return documents.withColumn("_key", F.xxhash64("doc_id", "text"))
+
+_ANCHORS = pa.schema([("cell", pa.int64()), ("anchors", pa.binary()), ("docs", pa.binary())])
+_WINDOWS = pa.schema([("cell", pa.int64()), *((c, pa.binary()) for c in ("names", "docs", "tags", "places")), ("low_only", pa.bool_())])
+#: Marked rows have doc_id, _tag and places; rows of common windows these and a name; what is found for a name has name and low.
+_MARKS = pa.schema([("doc_id", pa.int64()), ("_tag", pa.int32()), ("places", pa.list_(pa.int32())), ("name", pa.int64()), ("low", pa.int64())])
 
 
 def repeated_windows(documents: DataFrame) -> DataFrame:
-    """_key, places: for each row the first words of its windows that a smaller doc_id has too."""
-    rows = _keyed(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).where("doc_id is not null")
-    seen = documents.sparkSession.sparkContext.broadcast(anchor_map(shared_anchors(rows)))
+    """doc_id, _tag, places: for each row the first words of its windows that a smaller doc_id has too.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Windows with a shared anchor are sent to the bucket of their name, packed, with row and place. Of
+    a window that more than ``HOT_ROWS`` rows of a slice have, only the smallest doc_id goes there;
+    its rows are dealt out evenly and joined with what the bucket finds for its name.
+    """
+    rows = _tagged(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).where("doc_id is not null")
+    buckets = _buckets(documents)
+    seen = documents.sparkSession.sparkContext.broadcast(anchor_map(rows, buckets))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = seen.value
         for batch in batches:
             for part in slices(batch, "text"):
                 words = split_words(part.column("text"))
                 names, at, anchor = _windows(words)
-                place = _places(anchor)
+                place = _place(anchor)
                 some = np.flatnonzero(bits[place >> _U(6)] >> (place & _U(63)) & _U(1))
-                row = np.searchsorted(words.first, at[some], "right") - 1
-                row_at = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names[some].view(np.int64)), part.column("doc_id").take(row_at), part.column("_key").take(row_at),
-                        pa.array((at[some] - words.first[row]).astype(np.int32)),
-                    ],
-                    ["name", "doc_id", "_key", "place"],
-                )
+                if not len(some):
+                    continue
+                name, at = names[some], at[some]
+                row = np.searchsorted(words.first, at, "right") - 1
+                doc, tag = part.column("doc_id").to_numpy()[row], part.column("_tag").to_numpy()[row].astype(np.int16)
+                inside = (at - words.first[row]).astype(np.int32)
+                hot = _common(name, row)
+                columns = name, doc, tag, inside
+                yield _packed(_by_bucket(_bucket(name[~hot], buckets), *[c[~hot] for c in columns]), False)
+                if not hot.any():
+                    continue
+                order = np.lexsort((doc[hot], name[hot]))
+                n, d = name[hot][order], doc[hot][order]
+                least = np.flatnonzero(np.append(True, n[1:] != n[:-1]))
+                yield _packed(_by_bucket(_bucket(n[least], buckets), n[least], d[least]), True)
+                dealt = -1 - _bucket(join(doc[hot].view(np.uint64), inside[hot].astype(np.uint64)), buckets)
+                yield _packed(_by_bucket(dealt, *[c[hot] for c in columns]), False)
+
+    sent = rows.mapInArrow(send, "cell long, names binary, docs binary, tags binary, places binary, low_only boolean")
+    marks = stored(compare(sent, _mark, "doc_id long, _tag int, places array<int>, name long, low long"), "marks")
+    low = marks.where("low is not null").select("name", "low")
+    late = marks.where("name is not null and doc_id is not null").select("name", "doc_id", "_tag", "places").join(low, "name").where("doc_id > low")
+    both = marks.where("name is null").select("doc_id", "_tag", "places").unionByName(late.select("doc_id", "_tag", "places"))
+    return both.groupBy("doc_id", "_tag").agg(F.flatten(F.collect_list("places")).alias("places"))
+
+
+def _common(name: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """For each window: do more than ``HOT_ROWS`` rows have it?"""
+    order = np.lexsort((row, name))
+    starts = np.append(True, name[order][1:] != name[order][:-1])
+    new_row = starts | np.append(True, row[order][1:] != row[order][:-1])
+    group = np.cumsum(starts) - 1
+    out = np.empty(len(name), bool)
+    out[order] = (np.bincount(group[new_row]) > HOT_ROWS)[group]
+    return out
+
+
+def _packed(sent: Iterator[tuple[int, list[bytes]]], low_only: bool) -> pa.RecordBatch:
+    sent = list(sent)
+    columns = {c: [x[k] if k < len(x) else b"" for _, x in sent] for k, c in enumerate(("names", "docs", "tags", "places"))}
+    return pa.RecordBatch.from_pydict({"cell": [k for k, _ in sent], **columns, "low_only": [low_only] * len(sent)}, schema=_WINDOWS)
+
+
+def _marks(**columns) -> pa.RecordBatch:
+    n = max(len(x) for x in columns.values())
+    return pa.RecordBatch.from_pydict({c: columns.get(c, [None] * n) for c in _MARKS.names}, schema=_MARKS)
+
 
-    found = stored(rows.mapInArrow(run, "name long, doc_id long, _key long, place int"), "windows")
-    repeated = stored(
-        found.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("name", "low"), "repeated"
-    )
-    return found.join(repeated, "name").where("doc_id > low").groupBy("_key").agg(F.collect_set("place").alias("places"))
+def _mark(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Which entries of a bucket have a smaller doc_id beside them, and for common windows the smallest of all."""
+    blobs = {c: cell.column(c).to_pylist() for c in ("names", "docs", "tags", "places")}
+    name, doc = _from_planes(blobs["names"], np.uint64), _from_planes(blobs["docs"], np.int64)
+    tag, place = _from_planes(blobs["tags"], np.int16), _from_planes(blobs["places"], np.int32)
+    if cell.column("cell")[0].as_py() < 0:  # rows of common windows, on their way to a join
+        yield _marks(doc_id=doc, _tag=tag.astype(np.int32), places=place[:, None].tolist(), name=name.view(np.int64))
+        return
+    low_only = np.repeat(cell.column("low_only").to_numpy(zero_copy_only=False), [len(x) // 8 for x in blobs["names"]])
+    own = np.cumsum(~low_only) - 1  # tag and place of an entry
+    order, begins = groups(name)
+    low = np.repeat(np.minimum.reduceat(doc[order], begins[:-1]), np.diff(begins))
+    hits = order[(doc[order] > low) & ~low_only[order]]
+    by_row, edges = groups(join(doc[hits].view(np.uint64), tag[own[hits]].astype(np.uint64)))
+    hits = hits[by_row]
+    first = hits[edges[:-1]]
+    yield _marks(doc_id=doc[first], _tag=tag[own[first]].astype(np.int32), places=[place[own[hits[a:b]]] for a, b in zip(edges[:-1], edges[1:])])
+    asked = low_only[order]
+    names, at = np.unique(name[order][asked], return_index=True)
+    yield _marks(name=names.view(np.int64), low=low[asked][at])
 
 
 RESULTS = "n_words long, n_removed long, kept_sha256 string"
@@ -196,9 +307,10 @@ def remove_repeats(documents: DataFrame, with_text: bool = True) -> DataFrame:
     """
     new = [x.split()[0] for x in RESULTS.split(", ")]
     columns = [c for c in documents.columns if c not in new and (with_text or c != "text")]
-    marked = repeated_windows(documents).withColumnRenamed("_key", "_marked")
-    base = _keyed(documents.select(*dict.fromkeys([*columns, "doc_id", "text"])).withColumn("doc_id", F.col("doc_id").cast("long")))
-    rows = base.join(marked, F.col("_key") == F.col("_marked"), "left").drop("_key", "_marked")
+    marked = repeated_windows(documents).withColumnsRenamed({"doc_id": "_id", "_tag": "_of"})
+    base = _tagged(documents.select(*dict.fromkeys([*columns, "doc_id", "text"])))
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_tag") == F.col("_of"))
+    rows = base.join(marked, same, "left").drop("_tag", "_id", "_of")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
