@@ -16,7 +16,8 @@ window's words alone. The longest of them (by hash among equals) is the window's
 
 What a slice of texts sends is combined and packed before the shuffle. Of a window that is common in
 the slice only the smallest doc_id is sent to its bucket, so no bucket holds a group of copies; such
-windows' rows are joined afterwards, in a join that adaptive execution can split.
+windows' rows are joined afterwards, a run of windows at a time, in a join that adaptive execution
+can split.
 
 Defined results: null, empty and blank texts have no words. Rows with a null doc_id lose nothing and
 take nothing from others. Documents with equal ids don't count as earlier than each other. Repeated
@@ -43,6 +44,8 @@ PAIR_ROUNDS = 4
 MAP_BITS = 1 << 27
 #: A window that more rows of a slice have takes the way for common windows.
 HOT_ROWS = 8
+#: Windows in a run of common windows, on average.
+RUN = 16
 _U = np.uint64
 _NONE = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -203,17 +206,24 @@ def anchor_map(rows: DataFrame, buckets: int) -> np.ndarray:
 
 
 _ANCHORS = pa.schema([("cell", pa.int64()), ("anchors", pa.binary()), ("docs", pa.binary())])
-_WINDOWS = pa.schema([("cell", pa.int64()), *((c, pa.binary()) for c in ("names", "docs", "tags", "places")), ("low_only", pa.bool_())])
-#: Marked rows have doc_id, _tag and places; rows of common windows these and a name; what is found for a name has name and low.
-_MARKS = pa.schema([("doc_id", pa.int64()), ("_tag", pa.int32()), ("places", pa.list_(pa.int32())), ("name", pa.int64()), ("low", pa.int64())])
+_BLOBS = ("names", "docs", "tags", "places")
+_WINDOWS = pa.schema([("cell", pa.int64()), *((c, pa.binary()) for c in _BLOBS), ("kind", pa.int32())])
+#: What a row of packed entries holds: windows, the smallest doc_id of common windows, runs of rows, windows of runs, marked windows.
+_OWN, _LOW, _RUN, _PART, _MARK = range(5)
+_FOUND = pa.schema([
+    ("kind", pa.int32()), ("name", pa.int64()), ("run", pa.int64()), ("doc_id", pa.int64()), ("_tag", pa.int32()), ("place", pa.int32()),
+    ("cell", pa.int64()), *((c, pa.binary()) for c in _BLOBS[1:]),
+])
 
 
 def repeated_windows(documents: DataFrame) -> DataFrame:
     """doc_id, _tag, places: for each row the first words of its windows that a smaller doc_id has too.
 
     Windows with a shared anchor are sent to the bucket of their name, packed, with row and place. Of
-    a window that more than ``HOT_ROWS`` rows of a slice have, only the smallest doc_id goes there;
-    its rows are dealt out evenly and joined with what the bucket finds for its name.
+    a window that more than ``HOT_ROWS`` rows of a slice have, only the smallest doc_id goes there.
+    Its rows go another way, dealt out evenly: neighbouring common windows form runs, which end after
+    every window with a certain hash, so that copies have the same runs. The windows of a run are
+    looked up once for each run, and rows are joined with runs, not with windows.
     """
     rows = _tagged(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).where("doc_id is not null")
     buckets = _buckets(documents)
@@ -234,23 +244,34 @@ def repeated_windows(documents: DataFrame) -> DataFrame:
                 doc, tag = part.column("doc_id").to_numpy()[row], part.column("_tag").to_numpy()[row].astype(np.int16)
                 inside = (at - words.first[row]).astype(np.int32)
                 hot = _common(name, row)
-                columns = name, doc, tag, inside
-                yield _packed(_by_bucket(_bucket(name[~hot], buckets), *[c[~hot] for c in columns]), False)
+                yield _packed(_by_bucket(_bucket(name[~hot], buckets), name[~hot], doc[~hot], tag[~hot], inside[~hot]), _OWN)
                 if not hot.any():
                     continue
-                order = np.lexsort((doc[hot], name[hot]))
-                n, d = name[hot][order], doc[hot][order]
-                least = np.flatnonzero(np.append(True, n[1:] != n[:-1]))
-                yield _packed(_by_bucket(_bucket(n[least], buckets), n[least], d[least]), True)
-                dealt = -1 - _bucket(join(doc[hot].view(np.uint64), inside[hot].astype(np.uint64)), buckets)
-                yield _packed(_by_bucket(dealt, *[c[hot] for c in columns]), False)
-
-    sent = rows.mapInArrow(send, "cell long, names binary, docs binary, tags binary, places binary, low_only boolean")
-    marks = stored(compare(sent, _mark, "doc_id long, _tag int, places array<int>, name long, low long"), "marks")
-    low = marks.where("low is not null").select("name", "low")
-    late = marks.where("name is not null and doc_id is not null").select("name", "doc_id", "_tag", "places").join(low, "name").where("doc_id > low")
-    both = marks.where("name is null").select("doc_id", "_tag", "places").unionByName(late.select("doc_id", "_tag", "places"))
-    return both.groupBy("doc_id", "_tag").agg(F.flatten(F.collect_list("places")).alias("places"))
+                name, doc, tag, inside, row = (c[hot] for c in (name, doc, tag, inside, row))
+                order = np.lexsort((doc, name))
+                least = order[np.append(True, name[order][1:] != name[order][:-1])]
+                yield _packed(_by_bucket(_bucket(name[least], buckets), name[least], doc[least]), _LOW)
+                begins, offset, run = _runs(name, row, inside)
+                dealt = _bucket(join(doc[begins].view(np.uint64), run), buckets)
+                yield _packed(_by_bucket(dealt, run, doc[begins], tag[begins], inside[begins]), _RUN)
+                _, first = np.unique(run, return_index=True)
+                sizes = np.diff(np.append(begins, len(name)))[first]
+                parts = np.repeat(begins[first] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                of = np.repeat(run[first], sizes)
+                dealt = _bucket(join(of, name[parts]), buckets)
+                yield _packed(_by_bucket(dealt, name[parts], of.view(np.int64), tag[parts], offset[parts]), _PART)
+
+    sent = rows.mapInArrow(send, "cell long, names binary, docs binary, tags binary, places binary, kind int")
+    schema = "kind int, name long, run long, doc_id long, _tag int, place int, cell long, docs binary, tags binary, places binary"
+    found = stored(compare(sent, _search(buckets), schema), "windows", ["kind"])
+    gathered = compare(found.where(F.col("kind") == _MARK).select("cell", "docs", "tags", "places"), _gather, "doc_id long, _tag int, places array<int>")
+    low = found.where(F.col("kind") == _LOW).select("name", F.col("doc_id").alias("low"))
+    parts = found.where(F.col("kind") == _PART).select("run", "place", "name").distinct().join(low, "name")
+    lows = stored(parts.groupBy("run").agg(F.collect_list(F.struct("place", "low")).alias("lows")), "runs")
+    late = found.where(F.col("kind") == _RUN).select("run", "doc_id", "_tag", "place").join(lows, "run").select(
+        "doc_id", "_tag", F.transform(F.filter("lows", lambda x: x["low"] < F.col("doc_id")), lambda x: F.col("place") + x["place"]).alias("places")
+    )
+    return gathered.unionByName(late).groupBy("doc_id", "_tag").agg(F.flatten(F.collect_list("places")).alias("places"))
 
 
 def _common(name: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -264,37 +285,71 @@ def _common(name: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
-def _packed(sent: Iterator[tuple[int, list[bytes]]], low_only: bool) -> pa.RecordBatch:
+def _runs(name: np.ndarray, row: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of neighbouring windows: where they begin, each window's place in its run, the name of each run."""
+    ends = mix(name.copy()) % _U(RUN) == 0
+    begin = np.append(True, (row[1:] != row[:-1]) | (inside[1:] != inside[:-1] + 1) | ends[:-1])
+    begins = np.flatnonzero(begin)
+    sizes = np.diff(np.append(begins, len(name)))
+    offset = (np.arange(len(name)) - np.repeat(begins, sizes)).astype(np.int32)
+    return begins, offset, join(np.add.reduceat(join(name, offset.astype(np.uint64)), begins), sizes.astype(np.uint64))
+
+
+def _packed(sent: Iterator[tuple[int, list[bytes]]], kind: int) -> pa.RecordBatch:
     sent = list(sent)
-    columns = {c: [x[k] if k < len(x) else b"" for _, x in sent] for k, c in enumerate(("names", "docs", "tags", "places"))}
-    return pa.RecordBatch.from_pydict({"cell": [k for k, _ in sent], **columns, "low_only": [low_only] * len(sent)}, schema=_WINDOWS)
+    columns = {c: [x[k] if k < len(x) else b"" for _, x in sent] for k, c in enumerate(_BLOBS)}
+    return pa.RecordBatch.from_pydict({"cell": [k for k, _ in sent], **columns, "kind": [kind] * len(sent)}, schema=_WINDOWS)
 
 
-def _marks(**columns) -> pa.RecordBatch:
+def _found(kind: int, **columns) -> pa.RecordBatch:
     n = max(len(x) for x in columns.values())
-    return pa.RecordBatch.from_pydict({c: columns.get(c, [None] * n) for c in _MARKS.names}, schema=_MARKS)
-
-
-def _mark(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Which entries of a bucket have a smaller doc_id beside them, and for common windows the smallest of all."""
-    blobs = {c: cell.column(c).to_pylist() for c in ("names", "docs", "tags", "places")}
-    name, doc = _from_planes(blobs["names"], np.uint64), _from_planes(blobs["docs"], np.int64)
-    tag, place = _from_planes(blobs["tags"], np.int16), _from_planes(blobs["places"], np.int32)
-    if cell.column("cell")[0].as_py() < 0:  # rows of common windows, on their way to a join
-        yield _marks(doc_id=doc, _tag=tag.astype(np.int32), places=place[:, None].tolist(), name=name.view(np.int64))
-        return
-    low_only = np.repeat(cell.column("low_only").to_numpy(zero_copy_only=False), [len(x) // 8 for x in blobs["names"]])
-    own = np.cumsum(~low_only) - 1  # tag and place of an entry
-    order, begins = groups(name)
-    low = np.repeat(np.minimum.reduceat(doc[order], begins[:-1]), np.diff(begins))
-    hits = order[(doc[order] > low) & ~low_only[order]]
-    by_row, edges = groups(join(doc[hits].view(np.uint64), tag[own[hits]].astype(np.uint64)))
-    hits = hits[by_row]
-    first = hits[edges[:-1]]
-    yield _marks(doc_id=doc[first], _tag=tag[own[first]].astype(np.int32), places=[place[own[hits[a:b]]] for a, b in zip(edges[:-1], edges[1:])])
-    asked = low_only[order]
-    names, at = np.unique(name[order][asked], return_index=True)
-    yield _marks(name=names.view(np.int64), low=low[asked][at])
+    return pa.RecordBatch.from_pydict({"kind": [kind] * n} | {c: columns.get(c, [None] * n) for c in _FOUND.names[1:]}, schema=_FOUND)
+
+
+def _search(buckets: int):
+    def kernel(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Which entries of a bucket have a smaller doc_id beside them, and for common windows the smallest of all."""
+        kinds = cell.column("kind").to_numpy()
+
+        def read(*wanted: int) -> tuple[np.ndarray, ...]:
+            own = cell.filter(pa.array(np.isin(kinds, wanted)))
+            return tuple(_from_planes(own.column(c).to_pylist(), k) for c, k in zip(_BLOBS, (np.uint64, np.int64, np.int16, np.int32)))
+
+        run, doc, tag, place = read(_RUN)
+        if len(run):
+            yield _found(_RUN, run=run.view(np.int64), doc_id=doc, _tag=tag.astype(np.int32), place=place)
+        name, run, _, place = read(_PART)
+        if len(name):
+            yield _found(_PART, run=run, name=name.view(np.int64), place=place)
+        own, others = read(_OWN), read(_LOW)
+        n, (name, doc) = len(own[0]), (np.concatenate([a, b]) for a, b in zip(own[:2], others[:2]))
+        if not len(name):
+            return
+        tag, place = own[2:]
+        order, begins = groups(name)
+        low = np.repeat(np.minimum.reduceat(doc[order], begins[:-1]), np.diff(begins))
+        hits = order[(doc[order] > low) & (order < n)]
+        to = _bucket(doc[hits].view(np.uint64), buckets)
+        sent = list(_by_bucket(to, doc[hits], tag[hits], place[hits]))
+        if sent:
+            yield _found(_MARK, cell=[k for k, _ in sent], docs=[x[0] for _, x in sent], tags=[x[1] for _, x in sent], places=[x[2] for _, x in sent])
+        asked = order >= n
+        if asked.any():
+            names, at = np.unique(name[order][asked], return_index=True)
+            yield _found(_LOW, name=names.view(np.int64), doc_id=low[asked][at])
+
+    return kernel
+
+
+def _gather(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The marked places of each row of a bucket of documents."""
+    doc, tag, place = (_from_planes(cell.column(c).to_pylist(), k) for c, k in zip(_BLOBS[1:], (np.int64, np.int16, np.int32)))
+    order, edges = groups(join(doc.view(np.uint64), tag.astype(np.uint64)))
+    first = order[edges[:-1]]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(doc[first]), pa.array(tag[first].astype(np.int32)), pa.array([place[order[a:b]] for a, b in zip(edges[:-1], edges[1:])], pa.list_(pa.int32()))],
+        ["doc_id", "_tag", "places"],
+    )
 
 
 RESULTS = "n_words long, n_removed long, kept_sha256 string"
