@@ -319,7 +319,9 @@ def _search(buckets: int):
         if len(run):
             yield _found(_RUN, run=run.view(np.int64), doc_id=doc, _tag=tag.astype(np.int32), place=place)
         name, run, _, place = read(_PART)
-        if len(name):
+        if len(name):  # other slices sent the same runs
+            order, begins = groups(join(join(run.view(np.uint64), name), place.astype(np.uint64)))
+            run, name, place = (c[order[begins[:-1]]] for c in (run, name, place))
             yield _found(_PART, run=run, name=name.view(np.int64), place=place)
         own, others = read(_OWN), read(_LOW)
         n, (name, doc) = len(own[0]), (np.concatenate([a, b]) for a, b in zip(own[:2], others[:2]))
