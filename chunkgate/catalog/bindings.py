@@ -22,16 +22,8 @@ R_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 ROLLBACK_TIME = "2024-02-01 00:00:00"
 
 
-_IDS = {
-    "documents": ["doc_id"],
-    "events": ["event_id"],
-    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
-    "orders": ["o_orderkey"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", _IDS.get(name, ()))
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def r4(column: Column | str) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -77,7 +79,10 @@ def gate(
         .when(cold, F.array(floor, start).cast(CHECK_TYPE))
         .otherwise(F.array(floor, start, ci).cast(CHECK_TYPE))
     )
-    decided = stats.join(interval, groups, "left").select(
+    # Null is a group like any other.
+    interval = interval.withColumnsRenamed({c: f"_of_{c}" for c in groups})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups])
+    decided = stats.join(interval, same, "left").select(
         *by,
         n,
         "candidate_mae",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +21,18 @@ def distinct_keys(df: DataFrame, key: str, approximate: bool = False) -> DataFra
     return df.agg(F.count(key).alias("n_keys"), count(compact_key(F.col(key))).alias("distinct_keys"))
 
 
+def given(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null."""
+    value = F.col(column)
+    return F.when(~F.isnan(value), value) if isinstance(df.schema[column].dataType, T.FractionalType) else value
+
+
 def dup_spread(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Max minus min of each column within every repeated key."""
-    spreads = [(F.max(c) - F.min(c)).alias(c) for c in columns]
-    groups = df.groupBy(compact_key(F.col(key)).alias(key)).agg(F.count("*").alias("copies"), *spreads)
-    return groups.filter(F.col("copies") > 1)
+    """Max minus min of each column within every repeated key; null keys repeat nothing, NaN spreads nothing."""
+    spreads = [(F.max(given(df, c)) - F.min(given(df, c))).alias(c) for c in columns]
+    keyed = df.filter(F.col(key).isNotNull())
+    groups = keyed.groupBy(compact_key(F.col(key)).alias("_compact")).agg(F.min(key).alias(key), F.count("*").alias("copies"), *spreads)
+    return groups.filter(F.col("copies") > 1).drop("_compact")
 
 
 def long_form(row: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:
@@ -41,7 +48,7 @@ def max_dup_spread(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Type and number of nulls of each column, from one scan."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count_if(given(df, c).isNull()).alias(c) for c in df.columns])
     types = F.create_map(*[F.lit(x) for name, kind in df.dtypes for x in (name, kind)])
     return long_form(counts, df.columns, "column_name", "null_rows").withColumn(
         "column_type", types[F.col("column_name")]
@@ -94,6 +101,6 @@ def histogram(df: DataFrame, column: str, bins: int = 80) -> DataFrame:
 
 
 def mean_abs_ranked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Mean magnitude of each column, largest first."""
-    means = df.agg(*[F.avg(F.abs(F.col(c).cast("double"))).alias(c) for c in columns])
+    """Mean magnitude of each column without its nulls and NaN, largest first."""
+    means = df.agg(*[F.avg(F.abs(given(df, c).cast("double"))).alias(c) for c in columns])
     return long_form(means, columns, "column_name", "mean_abs").orderBy(F.desc("mean_abs"), "column_name")

@@ -27,9 +27,10 @@ def rollback(ledger: Ledger, model_name: str, reason: str) -> int:
     if target is None:
         raise ValueError(f"{model_name!r} has no earlier version to go back to")
     when = datetime.now(UTC)
-    ledger.point_alias(model_name, target, when)
+    # The alias last: a crash before it leaves a demoted version that nothing chooses again.
     ledger.tag(model_name, champion["version"], "rolled_back_at", when)
     ledger.tag(model_name, champion["version"], "rollback_reason", when, reason)
+    ledger.point_alias(model_name, target, when)
     return target
 
 

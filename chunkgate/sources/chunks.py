@@ -41,6 +41,10 @@ def read_text_chunk(spark: SparkSession, path: str | Sequence[str], multiline: b
     return _with_order(raw, [_present(f"`{c}`").alias(c) for c in raw.columns])
 
 
+#: Texts that count as numbers; a cast alone also takes 1f, 2D and 0x1p3.
+NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
+
+
 def with_numbers(chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Turn text columns into doubles; a column with any other text stays text.
 
@@ -49,7 +53,8 @@ def with_numbers(chunk: DataFrame, columns: Sequence[str]) -> DataFrame:
     tests = []
     for c in columns:
         given = F.col(c).isNotNull()
-        tests.append(F.count_if(given & F.trim(c).try_cast("double").isNull()).alias(f"{c}|number"))
+        number = F.trim(c).rlike(NUMBER) & F.trim(c).try_cast("double").isNotNull()
+        tests.append(F.count_if(given & ~number).alias(f"{c}|number"))
         tests.append(F.count_if(given & ~F.col(c).isin(list(BOOLEANS))).alias(f"{c}|boolean"))
     bad = chunk.agg(*tests).first().asDict() if tests else {}
     truth = F.create_map(*[F.lit(x) for pair in BOOLEANS.items() for x in pair])

@@ -9,16 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from chunkgate.session import scratch_dir
 
 
-def read_table(spark: SparkSession, path: str, spread_by: Sequence[str] = ()) -> DataFrame:
-    """A parquet table. One in fewer pieces than there are cores is dealt out by key.
-
-    A large table comes in more pieces than that and is left as it lies.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *spread_by)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A parquet table as it lies; ``spark.sql.files.maxPartitionBytes`` sets the size of its pieces."""
+    return spark.read.parquet(path)
 
 
 def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -68,7 +68,7 @@ def watch_training(
             if outcomes is not None:
                 outcomes(row["path"], outcome)
 
-    arrivals = stream_distinct_arrivals(stream_arrivals(spark, directory, files_per_trigger=1))
+    arrivals = stream_distinct_arrivals(stream_arrivals(spark, directory, f"*.{settings.file_format}", files_per_trigger=1))
     return for_each_batch(arrivals, work, checkpoint, interval)
 
 
@@ -91,5 +91,5 @@ def watch_scoring(
             except Exception as error:
                 logger.warning("%s: %s - parked", row["path"], error)
 
-    arrivals = stream_distinct_arrivals(stream_arrivals(spark, directory, files_per_trigger=1))
+    arrivals = stream_distinct_arrivals(stream_arrivals(spark, directory, f"*.{settings.file_format}", files_per_trigger=1))
     return for_each_batch(arrivals, work, checkpoint, interval)
