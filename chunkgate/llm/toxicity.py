@@ -7,9 +7,9 @@ a bound on the share of false ones), the examples and the calibration; document
 counted over all documents.
 
 The index keeps, for each feature and block of examples, the largest weight in the block. A query adds
-these up to a bound for each block, opens blocks from the highest bound down and stops when no bound
-can reach the worst of its ``NEIGHBOURS`` best: the result is that of comparing with every example.
-Their votes, weighted by cosine and drawn to the rate of texts without any feature, are mapped to
+these up to a bound for each block, opens blocks from the highest bound down, in growing groups, and
+stops when no bound can reach the worst of its ``NEIGHBOURS`` best: the result is that of comparing
+with every example. Their votes, weighted by cosine and drawn to the rate of texts without any feature, are mapped to
 probabilities by an isotonic fit on the examples, each without itself.
 
 Defined results: null and empty texts, and texts without features of the vocabulary, get the rate of
@@ -39,6 +39,8 @@ PREFIXES = (4, 5, 6)
 LEAST, FALSE_SHARE = 3, 0.05
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are opened first; then twice as many each time.
+OPENED = 4
 #: Pseudo-votes for the rate of texts without features.
 PRIOR_VOTES = 0.25
 HELD_OUT = 2
@@ -94,6 +96,12 @@ class Vocabulary:
         return row[first], number[hit][first], np.diff(begins)
 
 
+def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All numbers from each begin up to its end, one range after another."""
+    sizes = end - begin
+    return np.repeat(begin - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 class Index:
     """Examples by feature, in blocks with their largest weights."""
 
@@ -128,26 +136,31 @@ class Index:
     def nearest(self, number: np.ndarray, count: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The examples nearest to a text and their cosines, the highest first (ties: the earlier example)."""
         w = self.weights(number, count)
-        bound = np.zeros(self.n_blocks)
-        runs_of: dict[int, list[tuple[float, int]]] = {}
-        for f, q in zip(number, w):
-            for r in range(self.runs[f], self.runs[f + 1]):
-                b = int(self.block[r])
-                bound[b] += q * self.most[r]
-                runs_of.setdefault(b, []).append((q, r))
+        first, last = self.runs[number], self.runs[number + 1]
+        run, q = _spread(first, last), np.repeat(w, last - first)
+        block = self.block[run]
+        bound = np.bincount(block, q * self.most[run], self.n_blocks)
+        ranked = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
         best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in sorted(runs_of, key=lambda b: (-bound[b], b)):
-            if len(best) >= self.k and bound[b] < cosine[-1] - 1e-12:
+        done, step = 0, OPENED
+        while True:
+            # Bounds fall along ranked: blocks from here on can't reach the worst of the best.
+            stop = np.count_nonzero(bound >= cosine[-1] - 1e-12) if len(best) >= self.k else len(ranked)
+            stop = min(stop, len(ranked), done + step)
+            if stop <= done:
                 break
-            score = np.zeros(BLOCK)
-            for q, r in runs_of[b]:
-                own = slice(self.begin[r], self.end[r])
-                score[self.example[own] - b * BLOCK] += q * self.weight[own]
-            found = np.flatnonzero(score > 0) + b * BLOCK
+            opened = np.zeros(self.n_blocks, bool)
+            opened[ranked[done:stop]] = True
+            mine = opened[block]
+            begin, end = self.begin[run[mine]], self.end[run[mine]]
+            at = _spread(begin, end)
+            score = np.bincount(self.example[at], np.repeat(q[mine], end - begin) * self.weight[at], len(self.docs))
+            found = np.flatnonzero(score > 0)
             found = found[found != without]
-            best, cosine = np.append(best, found), np.append(cosine, score[found - b * BLOCK])
+            best, cosine = np.append(best, found), np.append(cosine, score[found])
             order = np.lexsort((best, -cosine))[: self.k]
             best, cosine = best[order], cosine[order]
+            done, step = stop, 2 * step
         return best, cosine
 
 
