@@ -285,10 +285,10 @@ QUERIES = {
         AND k IN (SELECT k FROM e_key WHERE chunk <> 3 AND k IS NOT NULL)"""),
     "novelty_facts": (q_novelty_facts, f"""WITH {E_RAW},
         i AS (SELECT k IN (SELECT k FROM e_key WHERE chunk <> 3 AND k IS NOT NULL) AS known
-          FROM e_key WHERE chunk = 3 AND k IS NOT NULL)
+          FROM e_key WHERE chunk = 3)
         SELECT count(*) AS incoming_rows, count(*) FILTER (NOT known) AS novel_rows,
           round(count(*) FILTER (NOT known) / greatest(count(*), 1), 4) AS novel_fraction,
-          (SELECT count(k) FROM e_key WHERE chunk <> 3) AS reference_rows FROM i"""),
+          (SELECT count(*) FROM e_key WHERE chunk <> 3) AS reference_rows FROM i"""),
     "novelty_facts_raw": (q_novelty_facts_raw, f"""{_LINES}, t AS ({_fact_sql('R')})
         SELECT n AS incoming_rows, novel AS novel_rows, round(novel / greatest(n, 1), 4) AS novel_fraction,
           (SELECT count(*) FROM lines WHERE f <> 'R') AS reference_rows FROM t"""),

@@ -130,7 +130,8 @@ def previous_champion(state: DataFrame) -> DataFrame:
 
     A model's history is cut into blocks of VERSION_BLOCK versions. A running maximum
     over the blocks and one inside each block give the answer together, so a model
-    that holds a third of all versions is spread over its blocks.
+    that holds a third of all versions is spread over its blocks. A null model name is
+    a model like any other.
     """
     number = F.col("version").cast("bigint")
     blocks = state.withColumn("_block", F.floor(number / VERSION_BLOCK)).withColumn(
@@ -141,14 +142,15 @@ def previous_champion(state: DataFrame) -> DataFrame:
         blocks.groupBy("model_name", "_block")
         .agg(F.max("_eligible").alias("_top"))
         .withColumn("_before", F.max("_top").over(earlier))
-        .drop("_top")
+        .select(F.col("model_name").alias("_model"), F.col("_block").alias("_place"), "_before")
     )
     inside = (
         Window.partitionBy("model_name", "_block").orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = blocks.join(tops, ["model_name", "_block"])
+    same = F.col("model_name").eqNullSafe(F.col("_model")) & F.col("_block").eqNullSafe(F.col("_place"))
+    joined = blocks.join(tops, same)
     found = F.coalesce(F.max("_eligible").over(inside), F.col("_before"))
-    return joined.withColumn("previous_version", found).drop("_block", "_eligible", "_before")
+    return joined.withColumn("previous_version", found).drop("_block", "_eligible", "_before", "_model", "_place")
 
 
 def champion_lineage(champions: DataFrame, runs: DataFrame) -> DataFrame:

@@ -9,10 +9,11 @@ from chunkgate.functions.keys import Rule, canonical_key, compact_key
 from chunkgate.operators.skew import key_set
 
 
-def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None) -> DataFrame:
-    """Rows with a key, and its compact form ``_ck`` (computed once, see parsed_rows)."""
+def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None, all_rows: bool = False) -> DataFrame:
+    """Rows with a key (or all), and its compact form ``_ck`` (computed once, see parsed_rows)."""
     value = canonical_key(df, key, rule) if canonical else F.col(key)
-    return df.select("*", F.explode(F.array_compact(F.array(compact_key(value)))).alias("_ck"))
+    explode = F.explode_outer if all_rows else F.explode
+    return df.select("*", explode(F.array_compact(F.array(compact_key(value)))).alias("_ck"))
 
 
 def _split_rows(incoming, reference, key, how, canonical, rule):
@@ -52,14 +53,15 @@ def novelty_facts(
     """One row: incoming rows, novel rows and their share, reference rows.
 
     Both sides are counted by key in a single grouping, which is combined on the map
-    side, so neither a join nor a set of reference keys is needed.
+    side, so neither a join nor a set of reference keys is needed. Rows without a key
+    count as rows; being comparable with nothing, they are not novel.
     """
-    arrived = _known(incoming, key, canonical, rule).select("_ck", F.lit(1).alias("_in"), F.lit(0).alias("_ref"))
-    seen = _known(reference, key, canonical, rule).select("_ck", F.lit(0).alias("_in"), F.lit(1).alias("_ref"))
+    arrived = _known(incoming, key, canonical, rule, all_rows=True).select("_ck", F.lit(1).alias("_in"), F.lit(0).alias("_ref"))
+    seen = _known(reference, key, canonical, rule, all_rows=True).select("_ck", F.lit(0).alias("_in"), F.lit(1).alias("_ref"))
     per_key = arrived.unionByName(seen).groupBy("_ck").agg(F.sum("_in").alias("_in"), F.sum("_ref").alias("_ref"))
     facts = per_key.agg(
         F.coalesce(F.sum("_in"), F.lit(0)).alias("incoming_rows"),
-        F.coalesce(F.sum(F.when(F.col("_ref") == 0, F.col("_in"))), F.lit(0)).alias("novel_rows"),
+        F.coalesce(F.sum(F.when(F.col("_ck").isNotNull() & (F.col("_ref") == 0), F.col("_in"))), F.lit(0)).alias("novel_rows"),
         F.coalesce(F.sum("_ref"), F.lit(0)).alias("reference_rows"),
     )
     share = F.bround(F.col("novel_rows") / F.greatest("incoming_rows", F.lit(1)), 4)

@@ -74,7 +74,7 @@ def narratives(runs: DataFrame) -> DataFrame:
 def explain_run(ledger: Ledger, run_id: str | None = None) -> str:
     """Write the narrative of a run (by default the last one) and keep it as a note."""
     runs = ledger.read("runs")
-    chosen = runs.filter(F.col("run_id") == run_id) if run_id else runs.orderBy(F.desc("start_time"), "run_id").limit(1)
+    chosen = runs.filter(F.col("run_id") == run_id) if run_id else runs.orderBy(F.desc("start_time"), F.desc("run_id")).limit(1)
     row = narratives(chosen).select("run_id", "narrative").first()
     if row is None:
         raise ValueError("no such run" if run_id else "the ledger is empty")

@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from chunkgate.operators import profile
+from chunkgate.operators import ledger, novelty, profile, ranking, sampling
 from chunkgate.operators.gate import gate
 from chunkgate.sources.chunks import with_numbers
 
@@ -36,3 +36,33 @@ def test_only_written_numbers_are_numbers(spark):
     got = with_numbers(df, ["a", "b", "c", "d"])
     assert dict(got.dtypes) == {"a": "double", "b": "string", "c": "string", "d": "double"}
     assert got.agg(F.sum("d")).first()[0] == 7.5
+
+
+def test_rows_without_an_order_or_id_stay(spark):
+    df = spark.createDataFrame([(None,), *((float(k),) for k in range(50)), (float("nan"),)], "v double")
+    got = sampling.sequential_chunks(df, "v", 10).collect()
+    assert len(got) == 52 and [r.chunk for r in got if r.v is None] == [0] and [r.chunk for r in got if r.v and math.isnan(r.v)] == [5]
+    assert sampling.sequential_chunks(df.limit(1), "v", 10).count() == 1
+    assert sampling.seeded_sample(df, "v", 60).count() == 52
+
+
+def test_cuts_come_from_a_sample_of_bounded_size(spark):
+    df = spark.range(400_000).select(F.col("id").cast("double").alias("v"))
+    cuts = ranking.cut_points(df, "v", 100)
+    assert 90 <= len(cuts) <= 100
+    sizes = [r["count"] for r in ranking.with_range_bucket(df, "v", cuts).groupBy("_bucket").count().collect()]
+    assert sum(sizes) == 400_000 and max(sizes) < 5 * 4_000
+
+
+def test_versions_of_a_null_model_stay(spark):
+    rows = [(m, v, f"2024-01-0{v}", None) for m in (None, "m") for v in (1, 2, 3)]
+    state = spark.createDataFrame(rows, "model_name string, version string, promoted_at string, rolled_back_at string")
+    got = {(r.model_name, r.version): r.previous_version for r in ledger.previous_champion(state).collect()}
+    assert got == {(m, str(v)): v - 1 or None for m in (None, "m") for v in (1, 2, 3)}
+
+
+def test_rows_without_a_key_count_as_rows(spark):
+    incoming, reference = (spark.createDataFrame([(k,) for k in keys], "k string") for keys in (["a", "b", None, None], ["a", None]))
+    assert novelty.novelty_facts(incoming, reference, "k").first().asDict() == {
+        "incoming_rows": 4, "novel_rows": 1, "novel_fraction": 0.25, "reference_rows": 2,
+    }
