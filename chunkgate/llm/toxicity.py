@@ -1,19 +1,20 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Features are words (runs of letters, digits and bytes above 127, ASCII capitals made small) and the
-first 4, 5 and 6 bytes of longer ones, so that inflected forms meet. From at most ``SAMPLE_ROWS``
-labelled documents come the vocabulary (features that are in toxic examples too often for chance, by
-a bound on the share of false ones), the examples and the calibration; document frequencies are
-counted over all documents.
+first 4, 5 and 6 bytes of longer ones, so that inflected forms meet. At most ``SAMPLE_ROWS`` labelled
+documents, clean ones too, are the examples, each with all its features; document frequencies are
+counted over all documents. A text's features that no example has count in its norm, with the document
+frequency of their hashed bucket; they are in no product, so the order of examples is exact.
 
 The index keeps, for each feature and block of examples, the largest weight in the block. A query adds
 these up to a bound for each block, opens blocks from the highest bound down, in growing groups, and
 stops when no bound can reach the worst of its ``NEIGHBOURS`` best: the result is that of comparing
-with every example. Their votes, weighted by cosine and drawn to the rate of texts without any feature, are mapped to
-probabilities by an isotonic fit on the examples, each without itself.
+with every example. Their votes, weighted by cosine and drawn to the base rate, are pooled (as odds) with
+those of a second index over the telling features only (in toxic examples too often for chance, by a bound
+on the share of false ones) and mapped to probabilities by an isotonic fit on the examples, each without itself.
 
-Defined results: null and empty texts, and texts without features of the vocabulary, get the rate of
-such texts among the examples. Labels that are null are left out; several for one document count as
+Defined results: null and empty texts, and texts without words, get the rate of examples without telling
+features. Labels that are null are left out; several for one document count as
 the largest. Repeated rows are scored alike; a null doc_id is never held out and never an example.
 Extra columns are ignored. Without labels of both kinds every score is the base rate.
 """
@@ -33,7 +34,10 @@ from chunkgate.sources.tables import stored
 
 #: Labelled documents that examples, vocabulary and calibration come from, at most: those with the smallest hash of their id.
 SAMPLE_ROWS = 20_000
+#: Telling features, at most.
 VOCABULARY = 4096
+#: Hashed buckets in which document frequencies of features that no example has are counted.
+REST_BUCKETS = 1 << 21
 PREFIXES = (4, 5, 6)
 #: A feature must be in so many toxic examples; of those chosen, so small a share may be there by chance.
 LEAST, FALSE_SHARE = 3, 0.05
@@ -72,28 +76,41 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(names), np.concatenate(at)
 
 
+def row_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, name and count of the distinct features of each text, by row."""
+    words = split_words(texts, _SEPARATES)
+    name, at = features(words)
+    row = np.searchsorted(words.first, at, "right") - 1
+    order = np.lexsort((name, row))
+    row, name = row[order], name[order]
+    begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1]))) if len(row) else np.zeros(0, np.int64)
+    return row[begins], name[begins], np.diff(np.append(begins, len(row)))
+
+
+def places(names: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """The number of each name among ``names``, which are in order; for others ``len(names)`` and their bucket."""
+    number = np.searchsorted(names, name)
+    known = names[np.minimum(number, len(names) - 1)] == name if len(names) else np.zeros(len(name), bool)
+    return np.where(known, number, len(names) + (name % _U(REST_BUCKETS)).astype(np.int64))
+
+
 @dataclass
 class Vocabulary:
-    """Features by name, in order, with a small map that most other names fail."""
+    """Features of the examples by name, in order; idf of each and then of each bucket of other features."""
 
     names: np.ndarray
     idf: np.ndarray
 
-    def __post_init__(self) -> None:
-        self.map = np.zeros(1 << 16, bool)
-        self.map[(self.names >> _U(48)).astype(np.int64)] = True
-
-    def count(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, feature number and count of the vocabulary's features in each row, by row."""
-        name, at = features(words)
-        some = np.flatnonzero(self.map[(name >> _U(48)).astype(np.int64)])
-        name, at = name[some], at[some]
-        number = np.searchsorted(self.names, name)
-        hit = self.names[np.minimum(number, len(self.names) - 1)] == name if len(self.names) else np.zeros(len(name), bool)
-        row = np.searchsorted(words.first, at[hit], "right") - 1
-        order, begins = groups(row * np.int64(1 << 32) + number[hit])
-        first = order[begins[:-1]]
-        return row[first], number[hit][first], np.diff(begins)
+    def vectors(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+        """For each text the numbers and counts of features that examples have, and the square of the other weights."""
+        row, name, count = row_features(texts)
+        number = places(self.names, name)
+        known = number < len(self.names)
+        rest = np.bincount(row[~known], ((1 + np.log(count[~known])) * self.idf[number[~known]]) ** 2, len(texts))
+        row, number, count = row[known], number[known], count[known]
+        begins = np.searchsorted(row, np.arange(len(texts) + 1))
+        for r, (a, b) in enumerate(zip(begins[:-1], begins[1:])):
+            yield number[a:b], count[a:b], float(rest[r])
 
 
 def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -105,37 +122,40 @@ def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 class Index:
     """Examples by feature, in blocks with their largest weights."""
 
-    def __init__(self, idf: np.ndarray, rows: list[tuple[int, int, np.ndarray, np.ndarray]], k: int = NEIGHBOURS) -> None:
+    def __init__(self, idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS) -> None:
         self.idf, self.k = idf, k
         # Examples with the same strongest feature stand together, so that few blocks have high bounds.
         weighted = []
-        for doc, label, number, count in rows:
-            w = self.weights(number, count)
+        for doc, label, number, count, *_ in rows:
+            w = self.weights(number, count).astype(np.float32)
             weighted.append((int(number[w.argmax()]), doc, label, number, w))
         weighted.sort(key=lambda x: x[:3])
         self.docs = np.array([x[1] for x in weighted], np.int64)
         self.labels = np.array([x[2] for x in weighted], np.float64)
-        number = np.concatenate([x[3] for x in weighted]) if weighted else np.zeros(0, np.int64)
-        weight = np.concatenate([x[4] for x in weighted]) if weighted else np.zeros(0)
-        example = np.repeat(np.arange(len(weighted)), [len(x[3]) for x in weighted])
-        order = np.lexsort((example, number))
+        number = np.concatenate([x[3] for x in weighted]).astype(np.int32) if weighted else np.zeros(0, np.int32)
+        weight = np.concatenate([x[4] for x in weighted]) if weighted else np.zeros(0, np.float32)
+        example = np.repeat(np.arange(len(weighted), dtype=np.int32), [len(x[3]) for x in weighted])
+        order = np.argsort(number, kind="stable")  # examples stay in order
         self.example, self.weight, number = example[order], weight[order], number[order]
         # Runs of one feature in one block: the block, where it begins, its largest weight.
         key = number * np.int64(1 << 32) + self.example // BLOCK
-        self.begin = np.flatnonzero(np.diff(key, prepend=-1)) if len(key) else np.zeros(0, np.int64)
-        self.end = np.append(self.begin[1:], len(key))
+        self.begin = np.flatnonzero(np.diff(key, prepend=-1)).astype(np.int32) if len(key) else np.zeros(0, np.int32)
+        self.end = np.append(self.begin[1:], np.int32(len(key)))
         self.block = self.example[self.begin] // BLOCK
-        self.most = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0)
+        self.most = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0, np.float32)
         self.runs = np.searchsorted(number[self.begin], np.arange(len(idf) + 1))
         self.n_blocks = -(-len(weighted) // BLOCK)
 
-    def weights(self, number: np.ndarray, count: np.ndarray) -> np.ndarray:
+    def weights(self, number: np.ndarray, count: np.ndarray, rest: float = 0.0) -> np.ndarray:
         w = (1 + np.log(count)) * self.idf[number]
-        return w / np.sqrt((w * w).sum())
+        return w / np.sqrt((w * w).sum() + rest)
+
+    def nearest(self, number: np.ndarray, count: np.ndarray, without: int = -1, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """The examples nearest to a text and their cosines, the highest first (ties: the earlier example).
 
-    def nearest(self, number: np.ndarray, count: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The examples nearest to a text and their cosines, the highest first (ties: the earlier example)."""
-        w = self.weights(number, count)
+        ``rest``: the square of the weights of the text's features that are in no example.
+        """
+        w = self.weights(number, count, rest)
         first, last = self.runs[number], self.runs[number + 1]
         run, q = _spread(first, last), np.repeat(w, last - first)
         block = self.block[run]
@@ -180,12 +200,26 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     vocabulary: Vocabulary
     index: Index
+    #: For each feature its number among the telling ones, or -1.
+    telling: np.ndarray
+    telling_index: Index
+    base: float
     empty_rate: float
     steps: np.ndarray
     rates: np.ndarray
 
-    def vote(self, best: np.ndarray, cosine: np.ndarray) -> float:
-        return float(((cosine * self.index.labels[best]).sum() + PRIOR_VOTES * self.empty_rate) / (cosine.sum() + PRIOR_VOTES))
+    def __post_init__(self) -> None:
+        self.at, self.telling_at = ({int(d): k for k, d in enumerate(x.docs)} for x in (self.index, self.telling_index))
+
+    def vote(self, number: np.ndarray, count: np.ndarray, rest: float, own: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        """The vote on a text, its nearest examples and their cosines. ``own``: a doc_id that is left out."""
+        best, cosine = self.index.nearest(number, count, self.at.get(own, -1), rest)
+        whole = _share(self.index, best, cosine, self.base)
+        some = self.telling[number] >= 0
+        if not some.any():
+            return _pooled(whole, self.empty_rate), best, cosine
+        near = self.telling_index.nearest(self.telling[number[some]], count[some], self.telling_at.get(own, -1))
+        return _pooled(whole, _share(self.telling_index, *near, self.empty_rate)), best, cosine
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
         if not len(self.steps):
@@ -193,17 +227,22 @@ class Model:
         return np.interp(votes, self.steps, self.rates)
 
 
+def _share(index: Index, best: np.ndarray, cosine: np.ndarray, rate: float) -> float:
+    return float(((cosine * index.labels[best]).sum() + PRIOR_VOTES * rate) / (cosine.sum() + PRIOR_VOTES))
+
+
+def _pooled(p: float, q: float) -> float:
+    """The share whose odds are the product of both odds."""
+    return p * q / (p * q + (1 - p) * (1 - q))
+
+
 def _vocabulary_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            words = split_words(part.column("text"), _SEPARATES)
-            name, at = features(words)
-            row = np.searchsorted(words.first, at, "right") - 1
-            order, begins = groups(name ^ mix(row.astype(np.uint64)))  # one for each row and feature
-            first = order[begins[:-1]]
-            toxic = part.column("toxic").to_numpy().astype(np.int64)[row[first]]
-            order, begins = groups(name[first])
-            keys = name[first][order[begins[:-1]]]
+            row, name, _ = row_features(part.column("text"))
+            toxic = part.column("toxic").to_numpy().astype(np.int64)[row]
+            order, begins = groups(name)
+            keys = name[order[begins[:-1]]]
             total = np.concatenate([[0], np.cumsum(toxic[order])])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.view(np.int64)), pa.array(np.diff(begins)), pa.array(total[begins[1:]] - total[begins[:-1]])], ["name", "n", "n_toxic"]
@@ -225,53 +264,54 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     n, n_toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = n_toxic / n if n else 0.0
     counts = texts.mapInArrow(_vocabulary_counts, "name long, n long, n_toxic long").groupBy("name").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("t"))
-    names = np.zeros(0, np.uint64)
+    names = chosen_names = np.zeros(0, np.uint64)
     if 0 < n_toxic < n:
-        tried = stored(counts.where(F.col("n") >= LEAST), "features")
+        counts = stored(counts, "features")
+        names = np.sort(counts.select("name").toPandas()["name"].to_numpy(np.int64).view(np.uint64))
+        tried = counts.where(F.col("n") >= LEAST)
         above = tried.where((F.col("t") >= LEAST) & (F.col("t") > F.col("n") * base)).withColumn("surprise", _surprise(F.col("t"), F.col("n"), base))
         chosen = above.orderBy(F.desc("surprise"), "name").limit(VOCABULARY).toPandas()
         by_chance = tried.count() * np.exp(-chosen["surprise"].to_numpy())
         fine = np.flatnonzero(by_chance <= FALSE_SHARE * np.arange(1, len(chosen) + 1))
-        names = np.sort(chosen["name"].to_numpy(np.int64)[: fine[-1] + 1 if len(fine) else 0].view(np.uint64))
-    vocabulary = Vocabulary(names, np.ones(len(names)))
+        chosen_names = np.sort(chosen["name"].to_numpy(np.int64)[: fine[-1] + 1 if len(fine) else 0].view(np.uint64))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(len(names), np.int64), 0
+        found, rows = np.zeros(len(names) + REST_BUCKETS, np.int64), 0
         for batch in batches:
             for part in slices(batch, "text"):
-                _, number, _ = vocabulary.count(split_words(part.column("text"), _SEPARATES))
-                found += np.bincount(number, minlength=len(names))
+                found += np.bincount(places(names, row_features(part.column("text"))[1]), minlength=len(found))
                 rows += part.num_rows
-        yield pa.RecordBatch.from_pydict({"number": np.arange(-1, len(names)), "n": np.append(rows, found)})
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_pydict({"number": np.append(some, -1), "n": np.append(found[some], rows)})
 
-    rows = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
-    df = np.zeros(len(names) + 1, np.int64)
-    df[rows["number"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    df = np.zeros(len(names) + REST_BUCKETS + 1, np.int64)
+    if len(names):
+        rows = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
+        df[rows["number"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    vocabulary = Vocabulary(names, np.log((1 + df[-1]) / (1 + df[:-1])) + 1)
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                row, number, count = vocabulary.count(split_words(part.column("text"), _SEPARATES))
-                begins = np.searchsorted(row, np.arange(part.num_rows + 1))
-                ints = pa.list_(pa.int64())
+                found = [(number.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()) for number, count, _ in vocabulary.vectors(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int64())]
-                    + [pa.array([x[a:b] for a, b in zip(begins[:-1], begins[1:])], ints) for x in (number, count)],
+                    + [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)],
                     ["doc_id", "toxic", "number", "count"],
                 )
 
-    got = texts.mapInArrow(examples, "doc_id long, toxic long, number array<long>, count array<long>").toPandas()
-    rows_ = [(d, t, np.array(a, np.int64), np.array(c, np.int64)) for d, t, a, c in zip(got["doc_id"], got["toxic"], got["number"], got["count"])]
-    bare = [t for _, t, a, _ in rows_ if not len(a)]
+    got = texts.mapInArrow(examples, "doc_id long, toxic long, number binary, count binary").toPandas()
+    full = [(d, t, np.frombuffer(a, np.int32), np.frombuffer(c, np.int32)) for d, t, a, c in zip(got["doc_id"], got["toxic"], got["number"], got["count"])]
+    full.sort(key=lambda x: x[:2])
+    telling = np.full(len(names), -1, np.int64)
+    telling[np.searchsorted(names, chosen_names)] = np.arange(len(chosen_names))
+    told = [(d, t, telling[a[telling[a] >= 0]], c[telling[a] >= 0]) for d, t, a, c in full]
+    bare = [t for _, t, a, _ in told if not len(a)]
     empty_rate = (sum(bare) + base) / (len(bare) + 1)
-    full = sorted((x for x in rows_ if len(x[2])), key=lambda x: x[:2])
-    model = Model(vocabulary, Index(idf, full), float(empty_rate), np.zeros(0), np.zeros(0))
-    at = {int(d): k for k, d in enumerate(model.index.docs)}
-    if full:
-        spark = documents.sparkSession
-        asked = spark.createDataFrame([(at[x[0]], float(x[1]), x[2].tolist(), x[3].tolist()) for x in full], "own int, label double, number array<long>, count array<long>")
-        votes = asked.repartition(max(1, -(-len(full) // 500)), "own").mapInArrow(_own_votes(model), "vote double, label double").toPandas()
+    index, telling_index = Index(vocabulary.idf, [x for x in full if len(x[2])]), Index(vocabulary.idf[: len(names)][telling >= 0], [x for x in told if len(x[2])])
+    model = Model(vocabulary, index, telling, telling_index, float(base), float(empty_rate), np.zeros(0), np.zeros(0))
+    if len(names):
+        votes = texts.repartition(max(1, -(-n // 500)), "doc_id").mapInArrow(_own_votes(model), "vote double, label double").toPandas()
         model.steps, model.rates = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
     return model
 
@@ -279,10 +319,11 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
 def _own_votes(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            votes = [
-                model.vote(*model.index.nearest(np.array(x["number"]), np.array(x["count"]), without=x["own"])) for x in batch.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch.column("label")], ["vote", "label"])
+            for part in slices(batch, "text"):
+                ids = part.column("doc_id").cast(pa.int64()).to_pylist()
+                vectors = zip(ids, part.column("toxic").to_pylist(), model.vocabulary.vectors(part.column("text")))
+                found = [(model.vote(*x, own=i)[0], float(t)) for i, t, x in vectors if len(x[0])]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)], ["vote", "label"])
 
     return run
 
@@ -293,15 +334,14 @@ def score_toxicity(documents: DataFrame, model: Model, evidence: int = 3) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                row, number, count = model.vocabulary.count(split_words(part.column("text"), _SEPARATES))
-                begins = np.searchsorted(row, np.arange(part.num_rows + 1))
                 score = np.full(part.num_rows, model.empty_rate)
                 near: list = [[]] * part.num_rows
                 cosines: list = [[]] * part.num_rows
-                for r in np.flatnonzero(np.diff(begins)):
-                    best, cosine = model.index.nearest(number[begins[r] : begins[r + 1]], count[begins[r] : begins[r + 1]])
-                    score[r] = model.calibrated(np.array([model.vote(best, cosine)]))[0]
-                    near[r], cosines[r] = model.index.docs[best[:evidence]].tolist(), cosine[:evidence].tolist()
+                for r, (number, count, rest) in enumerate(model.vocabulary.vectors(part.column("text"))):
+                    if len(model.vocabulary.names) and (len(number) or rest):
+                        vote, best, cosine = model.vote(number, count, rest)
+                        score[r] = model.calibrated(np.array([vote]))[0]
+                        near[r], cosines[r] = model.index.docs[best[:evidence]].tolist(), cosine[:evidence].tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(score), pa.array((score >= PREDICT_FROM).astype(np.int32)),

@@ -356,3 +356,17 @@ def test_blocks_left_closed_hold_nothing_nearer():
         q[n] = index.weights(n, c)
         best, cosine = index.nearest(n, c)
         assert np.allclose(cosine, np.sort(dense @ q)[::-1][: len(cosine)]) and len(best) == index.k
+
+
+def test_toxicity_compares_by_words_of_a_single_example(spark):
+    rng = np.random.default_rng(11)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 300, 30)), int(k % 4 == 0)) for k in range(400)]
+    rare = " ".join(f"onlyhere{x}" for x in range(20))
+    taught, asked, clean = (next(k for k in range(n, n + 100) if (zlib.crc32(str(k).encode()) % 4 == toxicity.HELD_OUT) == kept) for n, kept in ((1000, False), (1100, True), (1200, False)))
+    rows += [(taught, rare, 1), (asked, rare + " w1", 1), (clean, "quiet " + " ".join(f"calm{x}" for x in range(20)), 0)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(documents.select("doc_id", "text"), documents.select("doc_id", "toxic"))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(documents.select("doc_id", "text"), model).where(F.col("doc_id") >= 1000).collect()}
+    assert {taught, clean} <= set(model.index.docs.tolist())
+    assert got[asked].evidence[0] == taught and 0.8 < got[asked].evidence_cosine[0] < 1
+    assert got[clean].evidence[0] == clean and got[clean].evidence_cosine[0] == pytest.approx(1)
