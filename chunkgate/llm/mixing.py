@@ -4,7 +4,9 @@ Documents of a source are shuffled by a hash of their id and laid end to end, as
 allows (``MOST_REPEATS``); this stream is cut into blocks of equal size. The schedule has slots of
 one block each: slot i is the point ``frac((i + 1/2) * golden ratio)``, mapped through the cumulative
 target weights to a source, and the slots of a source are ranked, so its r-th slot takes its r-th
-block. The join of slots and blocks gives the words that the mix takes of each document.
+block. A source's stream ends at its rounded target, whatever the size of a block: its last block may be
+shorter, and blocks for which the schedule has no slot go where they are due, as guests of a slot. The
+join of slots and blocks gives the words that the mix takes of each document.
 
 No window holds a whole source: running sums and ranks are taken inside buckets of documents or
 runs of slots, and their totals are summed in a second, small step. Small tables by contract are
@@ -115,9 +117,12 @@ def mix(documents: DataFrame, weights=WEIGHTS, most_repeats: int = MOST_REPEATS,
     block = max(1, -(-total // slots))
     n_slots = -(-total // block)
     drawn = stored(schedule(targets, spark.range(n_slots).withColumnRenamed("id", "slot")), "mix-slots")
-    # A source's stream ends at its last block or at its cap.
-    ends = drawn.groupBy("place").agg((F.count(F.lit(1)) * block).alias("end"))
-    targets = targets.join(ends, "place", "left").withColumn("end", F.least(F.coalesce("end", F.lit(0)), F.col("source_size") * most_repeats))
+    # A source's stream ends at its target; blocks beyond its slots are spread evenly over the mix.
+    targets = targets.withColumn("end", F.least(F.round("target").cast("long"), F.col("source_size") * most_repeats))
+    ends = targets.join(drawn.groupBy("place").count(), "place", "left").withColumn("need", F.ceil(F.col("end") / block))
+    ends = ends.withColumn("have", F.coalesce("count", F.lit(0))).where("have < need")
+    guests = ends.withColumn("rank", F.explode(F.expr("sequence(have, need - 1)")))
+    drawn = drawn.unionByName(guests.select(F.floor((F.col("rank") + 0.5) * n_slots / F.col("need")).alias("slot"), "place", "rank"))
     docs = layout(sizes, targets, max(1, -(-rows // BUCKET)))
     epochs = F.filter(F.sequence(F.lit(0), F.lit(most_repeats - 1)), lambda e: e * F.col("source_size") + F.col("begin") < F.col("end"))
     docs = docs.withColumn("epoch", F.explode_outer(F.when(F.col("size") > 0, epochs)))

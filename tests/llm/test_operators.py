@@ -370,3 +370,12 @@ def test_toxicity_compares_by_words_of_a_single_example(spark):
     assert {taught, clean} <= set(model.index.docs.tolist())
     assert got[asked].evidence[0] == taught and 0.8 < got[asked].evidence_cosine[0] < 1
     assert got[clean].evidence[0] == clean and got[clean].evidence_cosine[0] == pytest.approx(1)
+
+
+def test_mixing_reaches_targets_of_tiny_sources(spark):
+    rows = [(k, "big", "w " * 100) for k in range(200)] + [(1000 + k, f"tiny{k}", "w " * 30) for k in range(6)] + [(2000, None, "w")]
+    got = mixing.taken_words(mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), slots=16)).toPandas()
+    sources = {i: s for i, s, _ in rows}
+    by_source = got.assign(source=got["doc_id"].map(sources)).groupby("source", dropna=False).agg(taken=("taken", "sum"), target=("target", "first"))
+    assert len(got) == len(rows) and len(by_source) == 8
+    assert (by_source["taken"] == by_source["target"].round()).all() and (by_source["taken"] > 0).all()
