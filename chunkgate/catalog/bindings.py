@@ -22,6 +22,11 @@ R_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 ROLLBACK_TIME = "2024-02-01 00:00:00"
 
 
+def table_file(path):
+    """A file's name, or for a table that is a folder the table's and the file's."""
+    return F.regexp_extract(path, r"([^/]+\.parquet(/.*)?)$", 1)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 

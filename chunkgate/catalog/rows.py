@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from chunkgate.catalog.bindings import (
     E_RAW, E_SPLIT, E_VALID, R_ORDER, R_SPLIT, R_VALID, e_raw, e_rule, e_split, e_valid, r4, r_raw, r_split,
-    r_valid, table,
+    r_valid, table, table_file,
 )
 from chunkgate.functions.fingerprint import LEFT, PRIME, RIGHT, SELF, STEP, fingerprint_bits
 from chunkgate.functions.keys import canonical_key
@@ -35,13 +35,13 @@ def q_read_chunk(spark, sf):
 
 
 def q_arrival_digest(spark, sf):
-    files = arrival_digests(spark, sf, "*.parquet")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "digest")
+    files = arrival_digests(spark, sf, "*.parquet", recursive=True)
+    return files.select(table_file("path").alias("file_name"), "length", "digest")
 
 
 def q_distinct_arrivals(spark, sf):
-    files = distinct_arrivals(arrival_digests(spark, sf, "*.parquet"))
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "digest")
+    files = distinct_arrivals(arrival_digests(spark, sf, "*.parquet", recursive=True))
+    return files.select(table_file("path").alias("file_name"), "length", "digest")
 
 
 def q_drop_null_rows(spark, sf):

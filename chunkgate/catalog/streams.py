@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chunkgate.catalog.bindings import R_ORDER, l_runs, r4, r_raw, table
+from chunkgate.catalog.bindings import R_ORDER, l_runs, r4, r_raw, table, table_file
 from chunkgate.catalog.registers import PENDING_SQL
 from chunkgate.operators import ledger, models, score
 from chunkgate.operators.validate import validated
@@ -22,22 +22,22 @@ def _collected(spark, rows, label):
 
 
 def _named(rows):
-    return rows.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "digest")
+    return rows.select(table_file("path").alias("file_name"), "length", "digest")
 
 
 def q_stream_arrivals(spark, sf):
-    return _named(_collected(spark, stream_arrivals(spark, sf, "*.parquet"), "arrivals"))
+    return _named(_collected(spark, stream_arrivals(spark, sf, "*.parquet", recursive=True), "arrivals"))
 
 
 def q_stream_distinct_arrivals(spark, sf):
-    arrivals = stream_distinct_arrivals(stream_arrivals(spark, sf, "*.parquet"))
+    arrivals = stream_distinct_arrivals(stream_arrivals(spark, sf, "*.parquet", recursive=True))
     return _named(_collected(spark, arrivals, "distinct-arrivals"))
 
 
 def q_stream_pending(spark, sf):
     """Arrivals streamed from the ledger's files and checked, batch by batch, against finished runs."""
     schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    events = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{sf}/events.parquet")
     runs = l_runs(spark, sf)
     out, checkpoint = scratch_dir(spark, "pending"), scratch_dir(spark, "pending-state")
 

@@ -52,9 +52,10 @@ def file_digests(files: DataFrame, whole_file_bytes: int = WHOLE_FILE_BYTES) ->
     return hashed.unionByName(blocks)
 
 
-def arrival_digests(spark: SparkSession, directory: str, pattern: str = "*.csv") -> DataFrame:
-    """One row for each file below ``directory``: path, length and SHA-256."""
-    return file_digests(spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory))
+def arrival_digests(spark: SparkSession, directory: str, pattern: str = "*.csv", recursive: bool = False) -> DataFrame:
+    """One row for each file in ``directory`` (``recursive``: in folders below it too): path, length and SHA-256."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    return file_digests(reader.option("recursiveFileLookup", recursive).load(directory))
 
 
 def arrival_digest(spark: SparkSession, path: str) -> str:

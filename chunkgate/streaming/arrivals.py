@@ -11,15 +11,17 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 
 
 def stream_arrivals(
-    spark: SparkSession, directory: str, pattern: str = "*.csv", files_per_trigger: int | None = None
+    spark: SparkSession, directory: str, pattern: str = "*.csv", files_per_trigger: int | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
-    """One streaming row for each landed file: path, length and SHA-256 of its bytes.
+    """One streaming row for each landed file (``recursive``: in folders too): path, length and SHA-256 of its bytes.
 
     Land files by rename or under another name first; the source takes a file once.
     """
     reader = (
         spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", pattern)
     )
+    reader = reader.option("recursiveFileLookup", recursive)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return file_digests(reader.load(directory))
