@@ -242,7 +242,7 @@ def _compare_exactly(threshold: float):
 
 
 def shingle_sets(documents: DataFrame, members: DataFrame, weights: np.ndarray) -> DataFrame:
-    """rep, names, weights, counts of the members' texts. ``members`` has rep (a doc_id) and exact."""
+    """rep, names, weights, counts of the members' texts. ``members`` has rep, exact and id (a document with that text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +258,7 @@ def shingle_sets(documents: DataFrame, members: DataFrame, weights: np.ndarray)
                     [ids, *[pa.array([c[a:b].tobytes() for _, a, b in out], pa.binary()) for c in columns]], ["rep", "names", "weights", "counts"]
                 )
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members, "rep")
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text").join(members, "id")
     return texts.select("rep", "text", "exact").mapInArrow(run, "rep long, names binary, weights binary, counts binary").dropDuplicates(["rep"])
 
 
@@ -266,9 +266,9 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     """doc_id, component_id (the smallest doc_id of its group), kept, for each document."""
     weights = bucket_weights(*word_frequencies(documents))
     sketches = stored(sketch(documents, weights), "sketches")
-    classes = stored(
-        sketches.groupBy("exact").agg(F.min("doc_id").alias("rep"), F.first("samples").alias("samples"), F.first("bands").alias("bands")), "text-classes"
-    )
+    # Each text has a number of its own, fixed when the table is written; no result depends on it.
+    classes = sketches.groupBy("exact").agg(F.min("doc_id").alias("id"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "text-classes")
     entries = classes.select("rep", F.explode("bands").alias("bucket"))
     placed = cells(entries, "bucket", "rep", SAMPLE_TILE, "text-buckets").join(classes.select("rep", "samples"), "rep")
     candidates = components(compare(placed, _compare_samples, "a long, b long"))
@@ -276,14 +276,19 @@ def near_duplicates(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         candidates.select(F.col("component").alias("rep"), "component").distinct()
     )
     members = stored(members, "members")
-    sets = stored(shingle_sets(documents, classes.join(members, "rep", "left_semi").select("rep", "exact"), weights), "shingle-sets")
+    sets = stored(shingle_sets(documents, classes.join(members, "rep", "left_semi").select("rep", "exact", "id"), weights), "shingle-sets")
     placed = cells(members, "component", "rep", EXACT_TILE, "candidate-sets").join(sets, "rep")
     verified = components(compare(placed, _compare_exactly(threshold), "a long, b long"))
-    grouped = stored(
-        classes.select("exact", "rep").join(verified.withColumnRenamed("node", "rep"), "rep", "left").select("exact", F.coalesce("component", "rep").alias("component")),
-        "text-groups",
-    )
-    per_row = sketches.select("doc_id", "exact").join(grouped, "exact").groupBy("doc_id").agg(F.min("component").alias("component"))
+    texts = stored(sketches.select("doc_id", "exact").join(classes.select("exact", "rep"), "exact").select("doc_id", "rep"), "texts-of-ids")
+    several = stored(texts.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b < last").select("doc_id", "b"), "ids-of-texts")
+    if not several.isEmpty():  # texts of one id belong together
+        same = texts.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
+        verified = components(verified.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same))
+    linked = verified.unionByName(verified.select(F.col("component").alias("node"), "component").distinct())
+    least = linked.join(classes.select(F.col("rep").alias("node"), "id"), "node").groupBy("component").agg(F.min("id").alias("least"))
+    named = stored(linked.join(stored(least, "least-ids"), "component").select(F.col("node").alias("rep"), "least"), "linked-texts")
+    grouped = classes.select("rep", "id").join(named, "rep", "left").select("rep", F.coalesce("least", "id").alias("component"))
+    per_row = texts.join(stored(grouped, "text-groups"), "rep").groupBy("doc_id").agg(F.min("component").alias("component"))
     ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"))
     out = ids.join(per_row, "doc_id", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -379,3 +379,13 @@ def test_mixing_reaches_targets_of_tiny_sources(spark):
     by_source = got.assign(source=got["doc_id"].map(sources)).groupby("source", dropna=False).agg(taken=("taken", "sum"), target=("target", "first"))
     assert len(got) == len(rows) and len(by_source) == 8
     assert (by_source["taken"] == by_source["target"].round()).all() and (by_source["taken"] > 0).all()
+
+
+def test_near_copies_of_each_text_of_one_id_are_found(spark):
+    def text(n, change=""):
+        return " ".join(f"t{n}w{k}" for k in range(200)) + change
+
+    rows = [(1, text(1)), (1, text(2)), (7, text(1, " more")), (8, text(2, " more")), (9, text(3))]
+    rows += [(20, text(4)), (21, text(5)), (22, text(4, " more")), (22, text(5, " more"))]
+    got = neardup_texts.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 7: 1, 8: 1, 9: 9, 20: 20, 21: 20, 22: 20} and len(got) == len(rows)
