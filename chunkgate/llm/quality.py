@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkgate.llm.words import IS_BLANK, at_bounds, groups, hash_spans, hash_words, join, slices, split_words, windows
+from chunkgate.llm.words import IS_BLANK, at_bounds, groups, hash_spans, hash_words, join, sampled_texts, slices, split_words, windows
 
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -213,7 +213,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMP
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
     rows = (
-        documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "quality")
+        sampled_texts(documents, sample).select("text", "quality")
         .mapInArrow(_labelled, "x array<double>, quality int").toPandas()
     )
     if rows.empty:

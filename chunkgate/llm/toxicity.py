@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkgate.llm.words import Words, groups, hash_words, mix, slices, split_words
+from chunkgate.llm.words import Words, groups, hash_words, mix, sampled_texts, slices, split_words
 from chunkgate.sources.tables import stored
 
 #: Labelled documents that examples, vocabulary and calibration come from, at most: those with the smallest hash of their id.
@@ -260,7 +260,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     """Vocabulary, index and calibration from the labelled rows that may be learned from."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     sample = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    texts = stored(documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "labelled")
+    texts = stored(sampled_texts(documents, sample), "labelled")
     n, n_toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = n_toxic / n if n else 0.0
     counts = texts.mapInArrow(_vocabulary_counts, "name long, n long, n_toxic long").groupBy("name").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("t"))

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLANKS = (9, 10, 11, 12, 13, 32)
 IS_BLANK = np.zeros(256, bool)
@@ -154,6 +156,14 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
         at = to
 
 
+def sampled_texts(documents: DataFrame, sample: DataFrame) -> DataFrame:
+    """doc_id, text and the label of ``sample`` (doc_id and a label), one row for each doc_id: the text with the smallest hash."""
+    label = next(c for c in sample.columns if c != "doc_id")
+    rows = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    rows = rows.groupBy("doc_id", label).agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
+    return rows.select("doc_id", F.col("least.text").alias("text"), label)
+
+
 def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that brings equal keys together, and where each run of equal keys begins (and the end)."""
     order = np.argsort(keys, kind="stable")

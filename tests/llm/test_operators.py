@@ -389,3 +389,15 @@ def test_near_copies_of_each_text_of_one_id_are_found(spark):
     rows += [(20, text(4)), (21, text(5)), (22, text(4, " more")), (22, text(5, " more"))]
     got = neardup_texts.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 7: 1, 8: 1, 9: 9, 20: 20, 21: 20, 22: 20} and len(got) == len(rows)
+
+
+def test_repeated_rows_of_a_sampled_id_are_learned_from_once(spark, monkeypatch):
+    rows = [(k, f"some words of text {k} " * 30, k % 2) for k in range(20)]
+    rows += [(3, rows[3][1], 1)] * 200 + [(5, "another text of the same id " * 9, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int").withColumn("toxic", F.col("quality"))
+    documents, labels = df.select("doc_id", "text"), df.select("doc_id", "quality", "toxic")
+    sizes = []
+    monkeypatch.setattr(quality, "grow_trees", lambda x, y, directions: sizes.append(len(x)))
+    quality.fit_quality(documents, labels)
+    model = toxicity.fit_toxicity(documents, labels)
+    assert sizes == [20] and len(model.index.docs) == sum(zlib.crc32(str(k).encode()) % 4 != toxicity.HELD_OUT for k in range(20))
