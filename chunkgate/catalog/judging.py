@@ -53,7 +53,7 @@ def q_gbt_fit(spark, sf):
     """Boosted trees on three columns: held-out error for each return flag."""
     split = r_split(spark, sf).select("target", "is_test", "l_returnflag", *LINE_FEATURES)
     featured = models.column_features(split, LINE_FEATURES)
-    fitted = models.fit(train_rows(featured), "target", "hist_gbr", {"max_iter": 5, "max_depth": 3, "max_bins": 32})
+    fitted = models.fit(train_rows(featured), "target", "hist_gbr")
     judged = models.predict(fitted, held_out_rows(featured), "prediction")
     return evaluate.mae(judged, "prediction", "target", ["l_returnflag"])
 
