@@ -135,16 +135,22 @@ class Index:
         number = np.concatenate([x[3] for x in weighted]).astype(np.int32) if weighted else np.zeros(0, np.int32)
         weight = np.concatenate([x[4] for x in weighted]) if weighted else np.zeros(0, np.float32)
         example = np.repeat(np.arange(len(weighted), dtype=np.int32), [len(x[3]) for x in weighted])
+        del weighted, rows  # postings are many: one copy of each array at a time
         order = np.argsort(number, kind="stable")  # examples stay in order
-        self.example, self.weight, number = example[order], weight[order], number[order]
+        number = number[order]
+        example = example[order]
+        weight = weight[order]
+        del order
+        self.example, self.weight = example, weight
         # Runs of one feature in one block: the block, where it begins, its largest weight.
-        key = number * np.int64(1 << 32) + self.example // BLOCK
-        self.begin = np.flatnonzero(np.diff(key, prepend=-1)).astype(np.int32) if len(key) else np.zeros(0, np.int32)
-        self.end = np.append(self.begin[1:], np.int32(len(key)))
-        self.block = self.example[self.begin] // BLOCK
-        self.most = np.maximum.reduceat(self.weight, self.begin) if len(key) else np.zeros(0, np.float32)
+        block = example // BLOCK
+        new = np.append(True, (number[1:] != number[:-1]) | (block[1:] != block[:-1])) if len(number) else np.zeros(0, bool)
+        self.begin = np.flatnonzero(new).astype(np.int32)
+        self.end = np.append(self.begin[1:], np.int32(len(number)))
+        self.block = block[self.begin]
+        self.most = np.maximum.reduceat(weight, self.begin) if len(number) else np.zeros(0, np.float32)
         self.runs = np.searchsorted(number[self.begin], np.arange(len(idf) + 1))
-        self.n_blocks = -(-len(weighted) // BLOCK)
+        self.n_blocks = -(-len(self.docs) // BLOCK)
 
     def weights(self, number: np.ndarray, count: np.ndarray, rest: float = 0.0) -> np.ndarray:
         w = (1 + np.log(count)) * self.idf[number]
@@ -288,6 +294,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     if len(names):
         rows = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
         df[rows["number"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+        del rows
     vocabulary = Vocabulary(names, np.log((1 + df[-1]) / (1 + df[:-1])) + 1)
 
     def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +309,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
 
     got = texts.mapInArrow(examples, "doc_id long, toxic long, number binary, count binary").toPandas()
     full = [(d, t, np.frombuffer(a, np.int32), np.frombuffer(c, np.int32)) for d, t, a, c in zip(got["doc_id"], got["toxic"], got["number"], got["count"])]
+    del got
     full.sort(key=lambda x: x[:2])
     telling = np.full(len(names), -1, np.int64)
     telling[np.searchsorted(names, chosen_names)] = np.arange(len(chosen_names))
@@ -309,6 +317,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     bare = [t for _, t, a, _ in told if not len(a)]
     empty_rate = (sum(bare) + base) / (len(bare) + 1)
     index, telling_index = Index(vocabulary.idf, [x for x in full if len(x[2])]), Index(vocabulary.idf[: len(names)][telling >= 0], [x for x in told if len(x[2])])
+    del full, told
     model = Model(vocabulary, index, telling, telling_index, float(base), float(empty_rate), np.zeros(0), np.zeros(0))
     if len(names):
         votes = texts.repartition(max(1, -(-n // 500)), "doc_id").mapInArrow(_own_votes(model), "vote double, label double").toPandas()
