@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from chunkgate.llm import chat, codes, counts, mixing, neardup_texts, neardup_vectors, packing, quality, substrings, toxicity
+from chunkgate.llm import chat, codes, counts, mixing, neardup_texts, neardup_vectors, packing, quality, substrings, toxicity, value_codes, warc, whitening
 from chunkgate.session import scratch_dir
 from chunkgate.sources.tables import stored
 
@@ -85,6 +85,23 @@ def op10_toxicity(spark, sf):
     return toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, table(spark, sf, "labels")))
 
 
+def op11_whitening(spark, sf):
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op12_value_codes(spark, sf):
+    coded, book = value_codes.compress(table(spark, sf, "embeddings"))
+    return value_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error", F.lit(value_codes.codebooks_digest(book)).alias("codebooks_sha256"))
+
+
+def op13_warc(spark, sf):
+    pages = table(spark, sf, "pages")
+    archives, path = warc.write_archives(pages, scratch_dir(spark, "warc")), scratch_dir(spark, "warc-index")
+    warc.write_index(archives, path)
+    places = warc.look_up(warc.open_index(spark, path), pages.select(warc.capture_key("url").alias("key")))
+    return warc.read_records(archives, places, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_token_codes": (op2_token_codes, None),
@@ -96,4 +113,7 @@ QUERIES = {
     "op8_edited_counts": (op8_edited_counts, None),
     "op9_near_duplicates": (op9_near_duplicates, None),
     "op10_toxicity": (op10_toxicity, None),
+    "op11_whitening": (op11_whitening, None),
+    "op12_value_codes": (op12_value_codes, None),
+    "op13_warc": (op13_warc, None),
 }
