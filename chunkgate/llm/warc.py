@@ -139,38 +139,42 @@ def _member(data: bytes, level: int) -> bytes:
     return gzip.compress(data, level, mtime=0)
 
 
-def packed_responses(pages: DataFrame, date: str = DATE, level: int = LEVEL) -> DataFrame:
-    """Each page as a compressed response, with the identity of its payload."""
+def _page_rows(pages: DataFrame) -> DataFrame:
+    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), capture_key("url").alias("key"),
+        F.octet_length(html).cast("long").alias("n_bytes"), F.unhex(F.sha2(html, 256)).alias("identity"),
+    )
+
+
+def packed_responses(rows: DataFrame, date: str = DATE, level: int = LEVEL) -> DataFrame:
+    """Each page as a compressed response, which is what is shuffled from here on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
                 ids, urls = part.column("page_id").to_pylist(), part.column("url").to_pylist()
-                payloads = [p or b"" for p in part.column("html").cast(pa.binary()).to_pylist()]
+                payloads = part.column("html").cast(pa.binary()).to_pylist()
                 digests = [sha1_label(p) for p in payloads]
+                members = [_member(response(i, u, p, d, date), level) for i, u, p, d in zip(ids, urls, payloads, digests)]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("page_id"), part.column("url"), part.column("key"), pa.array([len(p) for p in payloads], pa.int64()),
-                        pa.array(digests), pa.array([hashlib.sha256(p).digest() for p in payloads], pa.binary()),
-                        pa.array([_member(response(i, u, p, d, date), level) for i, u, p, d in zip(ids, urls, payloads, digests)], pa.binary()),
-                    ],
-                    ["page_id", "url", "key", "n_bytes", "digest", "identity", "member"],
+                    [part.column(c) for c in ("page_id", "url", "key", "n_bytes", "identity")] + [pa.array(digests), pa.array(members, pa.binary())],
+                    ["page_id", "url", "key", "n_bytes", "identity", "digest", "member"],
                 )
 
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), capture_key("url").alias("key")
-    )
-    return rows.mapInArrow(run, "page_id long, url string, key string, n_bytes long, digest string, identity binary, member binary")
+    return rows.mapInArrow(run, "page_id long, url string, key string, n_bytes long, identity binary, digest string, member binary")
 
 
-def with_first(packed: DataFrame, least: int = 0) -> DataFrame:
-    """Add ``first``, the smallest page_id with the payload, and drop the members of those that refer to it."""
-    groups = packed.where(F.col("n_bytes") >= least).groupBy("identity").agg(
-        F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")
-    )
-    groups = stored(groups.where("copies > 1 and first is not null").select(F.col("identity").alias("_same"), "first"), "repeated-payloads")
-    joined = packed.join(groups, (F.col("identity") == F.col("_same")) & (F.col("n_bytes") >= least), "left")
-    refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
+def repeated_payloads(rows: DataFrame, least: int = 0) -> DataFrame:
+    """The payloads that occur more than once, each with ``first``, the smallest page_id that has it."""
+    groups = rows.where(F.col("n_bytes") >= least).groupBy("identity").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    return groups.where("copies > 1 and first is not null").select(F.col("identity").alias("_same"), "first")
+
+
+def with_first(packed: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Add ``refers_to``, the page that a row repeats, and drop the members of those rows."""
+    joined = packed.join(repeats, F.col("identity") == F.col("_same"), "left")
+    refers = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return joined.withColumn("refers_to", refers).select(
         "page_id", "url", "key", "n_bytes", "digest", "refers_to", F.when(F.col("refers_to").isNull(), F.col("member")).alias("member")
     )
@@ -216,8 +220,9 @@ def pack_archives(rows: DataFrame, date: str = DATE, level: int = LEVEL, block_b
 
 def write_archives(pages: DataFrame, path: str, least: int = 0, date: str = DATE, level: int = LEVEL) -> DataFrame:
     """Write the archives of a table of page_id, url, html to a shared folder and return them as read from there."""
-    packed = stored(packed_responses(pages, date, level), "packed-pages")
-    pack_archives(with_first(packed, least), date, level).write.option("compression", "none").parquet(path)
+    rows = _page_rows(pages)
+    repeats = stored(repeated_payloads(rows, least), "repeated-payloads")
+    pack_archives(with_first(packed_responses(rows, date, level), repeats), date, level).write.option("compression", "none").parquet(path)
     return open_archives(pages.sparkSession, path)
 
 
