@@ -8,7 +8,7 @@ from chunkgate.catalog.bindings import (
     E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, table,
 )
 from chunkgate.functions import text
-from chunkgate.operators import evaluate, models, score
+from chunkgate.operators import boosting, evaluate, models, score
 from chunkgate.operators.bootstrap import bootstrap_ci, bootstrap_deltas
 from chunkgate.operators.gate import gate, gate_checks
 from chunkgate.operators.profile import quantile_table
@@ -49,15 +49,38 @@ def q_ridge_fingerprint(spark, sf):
     return models.predict(fitted, held_out_rows(featured), "prediction").select("ord", "target", "prediction")
 
 
-def q_gbt_fit(spark, sf):
-    """Boosted trees on three columns: held-out error for each return flag."""
+def q_gbt_fit(spark, sf, **params):
+    """Boosted trees on three columns with the estimator's own defaults: held-out error for each return flag."""
     split = r_split(spark, sf).select("target", "is_test", "l_returnflag", *LINE_FEATURES)
     featured = models.column_features(split, LINE_FEATURES)
-    fitted = models.fit(train_rows(featured), "target", "hist_gbr")
+    fitted = models.fit(train_rows(featured), "target", "hist_gbr", params)
     judged = models.predict(fitted, held_out_rows(featured), "prediction")
     return evaluate.mae(judged, "prediction", "target", ["l_returnflag"])
 
 
+def _one_round(spark, sf, leaves):
+    """Split, features and the trees of one round with so many leaves, at the full step."""
+    split = r_split(spark, sf).select("target", "is_test", "l_returnflag", *LINE_FEATURES)
+    featured = models.column_features(split, LINE_FEATURES)
+    params = {"max_iter": 1, "learning_rate": 1.0, "max_leaf_nodes": leaves, "early_stopping": False}
+    return featured, models.fit(train_rows(featured), "target", "hist_gbr", params)
+
+
+def q_boosted_stump(spark, sf):
+    """One round of one cut: held-out rows and error on each side of it, for each return flag."""
+    featured, fitted = _one_round(spark, sf, 2)
+    judged = models.predict(fitted, held_out_rows(featured), "prediction").withColumn("prediction", r4("prediction"))
+    found = evaluate.mae(judged, "prediction", "target", ["l_returnflag", "prediction"])
+    return found.select("l_returnflag", "prediction", "n_rows", r4("mae").alias("mae"))
+
+
+def q_boosted_leaves(spark, sf):
+    """One round of three leaves, best leaf first: the nodes of the tree."""
+    _, fitted = _one_round(spark, sf, 3)
+    found = boosting.tree_table(fitted.stages[0], spark)
+    return found.select("path", "feature", r4("cut").alias("cut"), "n_rows", F.round(F.col("gain") / F.col("n_rows"), 2).alias("gain_a_row"), r4("value").alias("value"))
+
+
 def q_predictions(spark, sf):
     return e_errors(spark, sf).select("ord", r4("candidate").alias("candidate"), r4("champion").alias("champion"))
 
@@ -296,6 +319,45 @@ w AS (
 SELECT round(d1 / det, 4) AS b_quantity, round(d2 / det, 4) AS b_discount, round(d3 / det, 4) AS b_tax,
   round(my - (d1 * m1 + d2 * m2 + d3 * m3) / det, 4) AS intercept FROM w"""
 
+
+
+def _best_cut(rows: str, name: str) -> str:
+    """CTEs ``<name>`` (n, total of gradients) and ``<name>_cut`` (feature, cut, gain, rows and gradients below it) of a CTE of rows."""
+    values = " UNION ALL ".join(f"SELECT {i} AS feature, {c} AS v, grad FROM {rows}" for i, c in enumerate(LINE_FEATURES))
+    return f""",
+{name} AS (SELECT count(*) AS n, sum(grad) AS g FROM {rows}),
+{name}_sums AS (
+  SELECT feature, v, sum(count(*)) OVER below AS nl, sum(sum(grad)) OVER below AS gl, lead(v) OVER (PARTITION BY feature ORDER BY v) AS above
+  FROM ({values}) GROUP BY feature, v WINDOW below AS (PARTITION BY feature ORDER BY v)),
+{name}_cut AS (
+  SELECT feature, (v + above) / 2 AS cut, nl, gl, gl * gl / nl + (g - gl) * (g - gl) / (n - nl) - g * g / n AS gain
+  FROM {name}_sums, {name} WHERE above IS NOT NULL AND nl >= 20 AND n - nl >= 20 ORDER BY gain DESC, feature, v LIMIT 1)"""
+
+
+_SIDE = "CASE feature " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(LINE_FEATURES)) + " END"
+_BOOSTED = f"""WITH {R_SPLIT},
+base AS (SELECT avg(target) AS mean FROM r_split WHERE NOT is_test),
+r0 AS (SELECT *, mean - target AS grad FROM r_split, base WHERE NOT is_test){_best_cut('r0', 'top')}"""
+_BOOSTED_STUMP = f"""{_BOOSTED},
+judged AS (
+  SELECT l_returnflag, target, round(mean + CASE WHEN {_SIDE} <= cut THEN -gl / nl ELSE -(g - gl) / (n - nl) END, 4) AS prediction
+  FROM r_split, base, top, top_cut WHERE is_test)
+SELECT l_returnflag, prediction, count(*) AS n_rows, round(avg(abs(prediction - target)), 4) AS mae FROM judged GROUP BY 1, 2"""
+_BOOSTED_LEAVES = f"""{_BOOSTED},
+left_rows AS (SELECT r0.* FROM r0, top_cut WHERE {_SIDE} <= cut), right_rows AS (SELECT r0.* FROM r0, top_cut WHERE {_SIDE} > cut)
+{_best_cut('left_rows', 'lower')}{_best_cut('right_rows', 'upper')},
+second AS (
+  SELECT * FROM (SELECT 'L' AS path, * FROM lower, lower_cut UNION ALL SELECT 'R', * FROM upper, upper_cut) ORDER BY gain DESC, path LIMIT 1),
+nodes AS (
+  SELECT '' AS path, feature, cut, n, gain, CAST(NULL AS DOUBLE) AS value FROM top, top_cut
+  UNION ALL SELECT path, feature, cut, n, gain, NULL FROM second
+  UNION ALL SELECT path || 'L', NULL, NULL, nl, NULL, -gl / nl FROM second
+  UNION ALL SELECT path || 'R', NULL, NULL, n - nl, NULL, -(g - gl) / (n - nl) FROM second
+  UNION ALL SELECT 'L', NULL, NULL, n, NULL, -g / n FROM lower WHERE (SELECT path FROM second) = 'R'
+  UNION ALL SELECT 'R', NULL, NULL, n, NULL, -g / n FROM upper WHERE (SELECT path FROM second) = 'L')
+SELECT path, CAST(feature AS INTEGER) AS feature, round(cut, 4) AS cut, CAST(n AS BIGINT) AS n_rows, round(gain / n, 2) AS gain_a_row,
+  round(value, 4) AS value FROM nodes"""
+
 QUERIES = {
     "mean_model": (q_mean_model, f"""WITH {E_SPLIT} SELECT ord, target,
         (SELECT round(avg(target), 4) FROM e_split WHERE NOT is_test) AS prediction FROM e_split WHERE is_test"""),
@@ -304,6 +366,8 @@ QUERIES = {
     "ridge_multi": (q_ridge_multi, _RIDGE_MULTI),
     "ridge_fingerprint": (q_ridge_fingerprint, None),
     "gbt_fit": (q_gbt_fit, None),
+    "boosted_stump": (q_boosted_stump, _BOOSTED_STUMP),
+    "boosted_leaves": (q_boosted_leaves, _BOOSTED_LEAVES),
     "predictions": (q_predictions, f"""WITH {E_ERRORS} SELECT ord, round(candidate, 4) AS candidate,
         round(champion, 4) AS champion FROM e_errors"""),
     "abs_errors": (q_abs_errors, f"WITH {E_ERRORS} SELECT ord, round(candidate_error, 4) AS abs_error FROM e_errors"),

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import fields
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkgate import defaults
 from chunkgate.functions.fingerprint import fingerprint_bits
+from chunkgate.operators.boosting import Plan, fit_boosted
 from chunkgate.operators.quantiles import exact_quantiles
 
 FEATURES = "features"
@@ -31,9 +33,10 @@ def fingerprint_features(
     return to_vector.transform(worded).drop("_bits")
 
 
-def column_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add numeric columns as the vector ``features``."""
-    return VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(df)
+def column_features(df: DataFrame, columns: Sequence[str], keep_missing: bool = False) -> DataFrame:
+    """Add numeric columns as the vector ``features``; missing values raise, or become NaN for trees."""
+    invalid = "keep" if keep_missing else "error"
+    return VectorAssembler(inputCols=list(columns), outputCol=FEATURES, handleInvalid=invalid).transform(df)
 
 
 def _take(params: dict, **known):
@@ -81,13 +84,8 @@ def _fit_ridge(train: DataFrame, target: str, params: dict) -> PipelineModel:
 
 
 def _fit_boosted(train: DataFrame, target: str, params: dict) -> PipelineModel:
-    chosen = _take(params, max_iter=100, learning_rate=0.1, max_depth=5, max_bins=255, random_state=7)
-    estimator = GBTRegressor(
-        featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION,
-        maxIter=chosen["max_iter"], stepSize=chosen["learning_rate"], maxDepth=chosen["max_depth"],
-        maxBins=chosen["max_bins"], seed=chosen["random_state"],
-    )
-    return PipelineModel([estimator.fit(train)])
+    plan = Plan(**_take(params, **{f.name: f.default for f in fields(Plan)}))
+    return PipelineModel([fit_boosted(train, FEATURES, target, PREDICTION, plan)])
 
 
 BUILDERS: dict[str, Callable[[DataFrame, str, dict], PipelineModel]] = {

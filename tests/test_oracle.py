@@ -19,7 +19,8 @@ def test_matches_sql(spark, db, name):
     assert differences(QUERIES[name](spark, SF).toPandas(), db.execute(SQL[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
+# A hundred rounds are for larger tables: tests/test_boosting.py runs this query with fewer.
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - {"gbt_fit"}))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
