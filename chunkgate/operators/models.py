@@ -7,7 +7,6 @@ from dataclasses import fields
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +14,7 @@ from chunkgate import defaults
 from chunkgate.functions.fingerprint import fingerprint_bits
 from chunkgate.operators.boosting import Plan, fit_boosted
 from chunkgate.operators.quantiles import exact_quantiles
+from chunkgate.operators.ridge import TOLERANCE, LinearPredictor, solve_ridge
 
 FEATURES = "features"
 PREDICTION = "prediction"
@@ -65,22 +65,17 @@ def _fit_dummy(train: DataFrame, target: str, params: dict) -> PipelineModel:
 
 
 def _fit_ridge(train: DataFrame, target: str, params: dict) -> PipelineModel:
-    """Least squares with penalty alpha * |w|^2 and a free intercept.
-
-    The normal solver sums one Gram matrix over the partitions, so the data is read
-    once whatever the number of rows; it takes up to 4,096 features. Its penalty is
-    per row and per unit of target deviation, hence the scaling of alpha.
-    """
-    chosen = _take(params, alpha=1.0, fit_intercept=True)
-    size = train.agg(F.count(target).alias("n"), F.stddev_pop(target).alias("s")).first()
-    if not size["n"]:
+    """Least squares with penalty alpha * |w|^2 and a free intercept, at any number of features."""
+    chosen = _take(params, alpha=1.0, fit_intercept=True, tol=TOLERANCE, max_iter=2000)
+    if chosen["alpha"] < 0:
+        raise ValueError("alpha cannot be negative")
+    one = train.where(F.col(FEATURES).isNotNull()).select(FEATURES).first()
+    if one is None:
         raise ValueError("no training rows")
-    estimator = LinearRegression(
-        featuresCol=FEATURES, labelCol=target, predictionCol=PREDICTION, solver="normal",
-        elasticNetParam=0.0, standardization=False, fitIntercept=bool(chosen["fit_intercept"]),
-        regParam=float(chosen["alpha"]) * (size["s"] or 1.0) / size["n"],
+    weights, intercept, _ = solve_ridge(
+        train, FEATURES, target, one[0].size, float(chosen["alpha"]), bool(chosen["fit_intercept"]), chosen["tol"], chosen["max_iter"]
     )
-    return PipelineModel([estimator.fit(train)])
+    return PipelineModel([LinearPredictor(featuresCol=FEATURES, predictionCol=PREDICTION, weights=weights.tolist(), constant=float(intercept))])
 
 
 def _fit_boosted(train: DataFrame, target: str, params: dict) -> PipelineModel:
