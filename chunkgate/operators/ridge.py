@@ -278,4 +278,7 @@ class LinearPredictor(Transformer, DefaultParamsReadable, DefaultParamsWritable)
             sums = np.bincount(row, numbers * weights[columns], len(ends)) + constant
             return pa.array(sums, mask=vectors.is_null().to_numpy(zero_copy_only=False))
 
-        return dataset.withColumn(self.getOrDefault(self.predictionCol), F.arrow_udf(predict, "double")(F.col(self.getOrDefault(self.featuresCol))))
+        # Exploding an array of the one vector keeps the optimiser from moving the vector's own function into this one, where it could not run.
+        held = "_vector" + "_" * max(map(len, dataset.columns))
+        rows = dataset.withColumn(held, F.explode(F.array(self.getOrDefault(self.featuresCol))))
+        return rows.withColumn(self.getOrDefault(self.predictionCol), F.arrow_udf(predict, "double")(held)).drop(held)
