@@ -198,6 +198,41 @@ ci AS (
   SELECT g, quantile_cont(delta, 0.025) AS ci_low, quantile_cont(delta, 0.975) AS ci_high FROM boot GROUP BY g)"""
 
 
+def multinomial_sql(errors: str, n_boot: int = 1000, seed: int = 7) -> str:
+    """CTE ``boot`` (b, n_draws, delta): draws that go down the tree of key hashes by binomials. For WITH RECURSIVE."""
+
+    def word(text: str, part: int) -> str:
+        return f"('0x' || substr(md5({text}), {1 + 8 * part}, 8))::BIGINT % {PRIME}"
+
+    replicate, node = f"'{seed}:' || b", "p.level || ':' || p.prefix"
+    mass = "exp(lgamma(m + 1) - lgamma(i + 1) - lgamma(m - i + 1) + i * ln(share) + (m - i) * ln(1 - share))"
+    upto = f"list_sum(list_transform(range(0, j + 1), lambda i: {mass}))"
+    return f""",
+leaves AS (
+  SELECT ('0x' || substr(md5(k), 1, 15))::BIGINT AS h, champion_error - candidate_error AS d FROM {errors}),
+nodes AS (
+  SELECT level, h >> (60 - level) AS prefix, count(*) AS n, avg(d) AS d FROM leaves, range(0, 61) t(level) GROUP BY 1, 2),
+terms AS (
+  SELECT b, {word(replicate, 0)} AS fa, {word(replicate, 1)} AS fb, {word(replicate, 2)} AS fc FROM range({n_boot}) t(b)),
+forks AS (
+  SELECT p.level, p.prefix, l.n AS nl, r.n AS nr, l.n / (l.n + r.n) AS share, {word(node, 0)} AS h1, {word(node, 1)} AS h2
+  FROM nodes p LEFT JOIN nodes l ON l.level = p.level + 1 AND l.prefix = p.prefix * 2
+    LEFT JOIN nodes r ON r.level = p.level + 1 AND r.prefix = p.prefix * 2 + 1
+  WHERE p.n > 1),
+draws AS (
+  SELECT CAST(0 AS BIGINT) AS level, CAST(0 AS BIGINT) AS prefix, b, n AS m FROM terms, nodes WHERE level = 0
+  UNION ALL
+  SELECT level + 1, prefix * 2 + side, b, CAST(CASE WHEN nl IS NULL OR nr IS NULL THEN m WHEN side = 0 THEN k ELSE m - k END AS BIGINT)
+  FROM (
+    SELECT *, least(m, len(list_filter(list_transform(range(0, m + 1), lambda j: {upto}), lambda x: x <= u))) AS k
+    FROM (SELECT level, prefix, b, m, nl, nr, share, ((fa * h1 + fb * h2 + fc) % {PRIME} + 0.5) / {PRIME} AS u
+      FROM draws JOIN forks USING (level, prefix) JOIN terms USING (b))) f, (SELECT unnest([0, 1]) AS side)
+  WHERE (side = 0 AND nl IS NOT NULL) OR (side = 1 AND nr IS NOT NULL)),
+boot AS (
+  SELECT b, CAST(sum(m) AS BIGINT) AS n_draws, sum(m * d) / sum(m) AS delta
+  FROM draws JOIN nodes USING (level, prefix) WHERE n = 1 GROUP BY b)"""
+
+
 # L: events as a run ledger -----------------------------------------------------------
 
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chunkgate.catalog.bindings import (
-    E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, table,
+    E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, multinomial_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, table,
 )
 from chunkgate.functions import text
 from chunkgate.operators import boosting, evaluate, models, score
 from chunkgate.operators.bootstrap import bootstrap_ci, bootstrap_deltas
 from chunkgate.operators.gate import gate, gate_checks
+from chunkgate.operators.multinomial import bootstrap_sums
 from chunkgate.operators.profile import quantile_table
 from chunkgate.operators.split import held_out_rows, train_rows
 from chunkgate.session import scratch_dir
@@ -153,6 +154,17 @@ def q_bootstrap_replicates(spark, sf):
     return found.select(F.col("replicate").cast("bigint").alias("replicate"), r4("delta").alias("delta"))
 
 
+def q_multinomial_draws(spark, sf):
+    """Each replicate's number of draws, which is the number of rows, and mean difference."""
+    found = bootstrap_sums(_delta(e_errors(spark, sf)), "k", "d")
+    return found.select(F.col("replicate").cast("bigint").alias("replicate"), "n_draws", r4("delta").alias("delta"))
+
+
+def q_multinomial_ci(spark, sf):
+    found = bootstrap_ci(_delta(e_errors(spark, sf)), "k", "d", method="multinomial")
+    return found.select(r4("ci_low").alias("ci_low"), r4("ci_high").alias("ci_high"))
+
+
 def q_percentile_summary(spark, sf):
     found = quantile_table(table(spark, sf, "orders"), ["o_totalprice"], [0.025, 0.25, 0.5, 0.75, 0.975])
     # Cents between two prices at these shares end after five decimals.
@@ -392,6 +404,10 @@ QUERIES = {
         SELECT round(ci_low, 4) AS ci_low, round(ci_high, 4) AS ci_high FROM ci"""),
     "bootstrap_replicates": (q_bootstrap_replicates, f"""WITH {E_ERRORS}{boot_sql('e_errors')}
         SELECT b AS replicate, round(delta, 4) AS delta FROM boot"""),
+    "multinomial_draws": (q_multinomial_draws, f"""WITH RECURSIVE {E_ERRORS}{multinomial_sql('e_errors')}
+        SELECT b AS replicate, n_draws, round(delta, 4) AS delta FROM boot"""),
+    "multinomial_ci": (q_multinomial_ci, f"""WITH RECURSIVE {E_ERRORS}{multinomial_sql('e_errors')}
+        SELECT round(quantile_cont(delta, 0.025), 4) AS ci_low, round(quantile_cont(delta, 0.975), 4) AS ci_high FROM boot"""),
     "percentile_summary": (q_percentile_summary, """SELECT 'o_totalprice' AS column_name, share,
         round(value, 6) AS value FROM (SELECT unnest([0.025::DOUBLE, 0.25, 0.5, 0.75, 0.975]) AS share,
           unnest(quantile_cont(o_totalprice, [0.025, 0.25, 0.5, 0.75, 0.975])) AS value FROM orders)"""),

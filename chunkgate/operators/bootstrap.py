@@ -102,16 +102,28 @@ def bootstrap_ci(
     n_boot: int = defaults.N_BOOT,
     seed: int = defaults.GATE_SEED,
     by: Sequence[str] = (),
+    method: str = "poisson",
 ) -> DataFrame:
     """The 2.5 and 97.5 percentiles of the replicates, one row (or one for each group).
 
+    ``method`` "poisson" weighs rows on their own, "multinomial" draws as many rows as there are.
     ``percentile`` holds the n_boot replicates of a group and nothing that grows
     with the data.
     """
     bounds = F.percentile("delta", F.array(F.lit(0.025), F.lit(0.975)))
-    replicates = bootstrap_deltas(errors, key, delta, n_boot, seed, by)
+    replicates = replicates_by(method)(errors, key, delta, n_boot, seed, by)
     return (
         replicates.groupBy(*by)
         .agg(bounds.alias("_bounds"))
         .select(*by, F.col("_bounds")[0].alias("ci_low"), F.col("_bounds")[1].alias("ci_high"))
     )
+
+
+def replicates_by(method: str):
+    """The function that makes the replicates."""
+    from chunkgate.operators.multinomial import bootstrap_sums
+
+    methods = {"poisson": bootstrap_deltas, "multinomial": bootstrap_sums}
+    if method not in methods:
+        raise ValueError(f"there is no bootstrap {method}; there are {', '.join(sorted(methods))}")
+    return methods[method]

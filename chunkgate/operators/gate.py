@@ -39,6 +39,7 @@ def gate(
     margin: float = defaults.MARGIN,
     n_boot: int = defaults.N_BOOT,
     seed: int = defaults.GATE_SEED,
+    bootstrap: str = "poisson",
 ) -> DataFrame:
     """Decide every group of ``by`` at once, or the whole table as one group.
 
@@ -59,10 +60,13 @@ def gate(
         (F.avg("champion_error") - F.avg("candidate_error")).alias("_delta"),
         (F.count("champion_error") == 0).alias("_cold"),
     )
-    compared = errors.filter(F.col("champion_error").isNotNull()).withColumn(
+    # Rows of groups that the checks before the interval settle are not drawn.
+    needed = stats.where((F.col("n_rows") >= min_samples) & ~F.col("_cold")).select(*[F.col(c).alias(f"_of_{c}") for c in groups])
+    wanted = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups])
+    compared = errors.join(needed, wanted, "left_semi").filter(F.col("champion_error").isNotNull()).withColumn(
         "_d", F.col("champion_error") - F.col("candidate_error")
     )
-    interval = bootstrap_ci(compared, key, "_d", n_boot, seed, by)
+    interval = bootstrap_ci(compared, key, "_d", n_boot, seed, by, bootstrap)
     if not by:
         interval = interval.withColumn("_all", F.lit(0))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chunkgate import defaults
 from chunkgate.functions.keys import Rule
 from chunkgate.operators import models
+from chunkgate.operators.bootstrap import replicates_by
 from chunkgate.operators.gate import check_settings
 from chunkgate.operators.identity import params_hash
 
@@ -37,6 +38,7 @@ class Settings:
     margin: float = defaults.MARGIN
     n_boot: int = defaults.N_BOOT
     gate_seed: int = defaults.GATE_SEED
+    bootstrap: str = "poisson"
     shortlist_size: int = defaults.SHORTLIST_SIZE
     rank_ascending: bool = defaults.RANK_ASCENDING
     retrain_threshold: float = 0.5
@@ -55,6 +57,7 @@ class Settings:
             raise ValueError("test_fraction lies strictly between 0 and 1")
         if self.fp_radius < 0 or self.fp_bits < 1 or self.shortlist_size < 1:
             raise ValueError("fp_radius cannot be negative, nor fp_bits or shortlist_size below 1")
+        replicates_by(self.bootstrap)
         check_settings(self.min_samples, self.margin, self.n_boot)
 
     def numeric_columns(self) -> list[str]:

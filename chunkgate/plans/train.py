@@ -112,7 +112,7 @@ def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     champion = load_champion(ledger, settings.model_name)
     errors = stored(held_out_errors(held_out_rows(featured), settings, candidate, champion), "errors")
     decision = gate(
-        errors, settings.key, (), settings.min_samples, settings.margin, settings.n_boot, settings.gate_seed
+        errors, settings.key, (), settings.min_samples, settings.margin, settings.n_boot, settings.gate_seed, settings.bootstrap
     ).first()
     if decision is None:
         raise ValueError("no held-out rows to judge the candidate on")
