@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from chunkgate.catalog.bindings import E_RAW, e_raw, r4, r_raw, table
 from chunkgate.functions.keys import canonical_key
 from chunkgate.operators import profile
+from chunkgate.sources.tables import stored
 
 SPREAD_COLUMNS = ["target", "l_quantity", "l_discount", "l_tax"]
 
@@ -16,6 +17,33 @@ def q_distinct_keys(spark, sf):
     return profile.distinct_keys(raw.withColumn("k", canonical_key(raw, "k")), "k")
 
 
+def _chunk_sketches(spark, sf):
+    """Lines by return flag as chunks: a stored sketch of each chunk's keys."""
+    lines = r_raw(spark, sf).select("k", "l_returnflag")
+    return lines, stored(profile.key_sketches(lines, "k", ["l_returnflag"]), "key-sketches")
+
+
+def q_distinct_keys_sketch(spark, sf):
+    """Distinct keys of each chunk and of all chunks, exact, and whether the stored sketches come within 2 %."""
+    lines, sketches = _chunk_sketches(spark, sf)
+    exact = lines.groupBy("l_returnflag").agg(F.count_distinct("k").alias("n_keys"))
+    exact = exact.unionByName(lines.agg(F.lit("all").alias("l_returnflag"), F.count_distinct("k").alias("n_keys")))
+    found = profile.sketched_keys(sketches, ["l_returnflag"]).unionByName(profile.sketched_keys(sketches).withColumn("l_returnflag", F.lit("all")))
+    near = F.abs(F.col("estimate") - F.col("n_keys")) <= 0.02 * F.col("n_keys")
+    return exact.join(found.withColumnRenamed("n_keys", "estimate"), "l_returnflag").select("l_returnflag", "n_keys", near.alias("within_two_percent"))
+
+
+def q_shared_keys_sketch(spark, sf):
+    """Keys that returned and other lines share, exact, and whether two sketches tell it within 2 % of all keys."""
+    lines, sketches = _chunk_sketches(spark, sf)
+    returned = F.col("l_returnflag") == "R"
+    sides = lines.groupBy("k").agg(F.max(returned.cast("int")).alias("a"), F.max((~returned).cast("int")).alias("b"))
+    exact = sides.agg(F.count(F.lit(1)).alias("all_keys"), F.count_if((F.col("a") == 1) & (F.col("b") == 1)).alias("shared_keys"))
+    found = profile.sketched_overlap(sketches.where(returned), sketches.where(~returned)).select(F.col("shared_keys").alias("estimate"))
+    near = F.abs(F.col("estimate") - F.col("shared_keys")) <= 0.02 * F.col("all_keys")
+    return exact.crossJoin(found).select("all_keys", "shared_keys", near.alias("within_two_percent"))  # a row each
+
+
 def q_dup_spread(spark, sf):
     found = profile.dup_spread(r_raw(spark, sf), "k", SPREAD_COLUMNS)
     return found.select("k", "copies", *[r4(c).alias(c) for c in SPREAD_COLUMNS])
@@ -63,6 +91,12 @@ def _describe_sql(source: str, column: str) -> str:
 
 
 QUERIES = {
+    "distinct_keys_sketch": (q_distinct_keys_sketch, """WITH t AS (SELECT l_orderkey || ':' || l_linenumber AS k, l_returnflag FROM lineitem)
+        SELECT l_returnflag, count(DISTINCT k) AS n_keys, TRUE AS within_two_percent FROM t GROUP BY 1
+        UNION ALL SELECT 'all', count(DISTINCT k), TRUE FROM t"""),
+    "shared_keys_sketch": (q_shared_keys_sketch, """WITH t AS (SELECT l_orderkey || ':' || l_linenumber AS k,
+          bool_or(l_returnflag = 'R') AS a, bool_or(l_returnflag <> 'R') AS b FROM lineitem GROUP BY 1)
+        SELECT count(*) AS all_keys, count(*) FILTER (a AND b) AS shared_keys, TRUE AS within_two_percent FROM t"""),
     "distinct_keys": (q_distinct_keys, f"""WITH {E_RAW},
         t AS (SELECT nullif(lower(trim(regexp_replace(raw, '\\s+', ' ', 'g'))), '') AS k FROM e_raw)
         SELECT count(k) AS n_keys, count(DISTINCT k) AS distinct_keys FROM t"""),

@@ -15,6 +15,8 @@ from chunkgate.operators.split import held_out_rows, train_rows, with_split
 from chunkgate.session import scratch_dir
 from chunkgate.sources.arrivals import arrival_digests, distinct_arrivals
 from chunkgate.sources.chunks import read_chunk
+from chunkgate.sources.keyindex import KeyIndex
+from chunkgate.sources.tables import stored
 
 SAMPLE_ROWS = 5000
 HALF_ROWS = 4000
@@ -82,6 +84,14 @@ def q_validation_report(spark, sf):
     return validate.validation_report(e_raw(spark, sf), "k", "target", e_rule)
 
 
+def q_dropped_rows(spark, sf):
+    """The same counts, gathered while the valid rows are written."""
+    valid, dropped = validate.validated_and_counted(e_raw(spark, sf), "k", "target", ["ord"], e_rule)
+    stored(valid, "valid-rows")
+    names = ["raw_rows", "null_rows", "unparseable_rows", "duplicate_rows", "valid_rows", "dropped_rows"]
+    return spark.createDataFrame([tuple(dropped.counts[c] for c in names)], ", ".join(f"{c} long" for c in names))
+
+
 def q_train_split(spark, sf):
     return _key_md5(train_rows(e_split(spark, sf)), "target")
 
@@ -165,6 +175,24 @@ def q_novelty_facts(spark, sf):
     return novelty.novelty_facts(incoming, reference, "k", True, e_rule)
 
 
+def _grown_index(spark, sf):
+    """The reference chunks appended one after another to an index of keys."""
+    index = KeyIndex(spark, scratch_dir(spark, "key-index"), 16, True, e_rule)
+    _, reference = _arrivals(spark, sf)
+    for chunk in range(3):
+        index.append(f"chunk {chunk}", reference.filter(F.col("chunk") == chunk), "k")
+    return index
+
+
+def q_novelty_index(spark, sf):
+    """An arriving chunk against keys stored by the chunks before it."""
+    return _grown_index(spark, sf).novelty_facts(_arrivals(spark, sf)[0], "k")
+
+
+def q_novel_rows_index(spark, sf):
+    return _grown_index(spark, sf).novel_rows(_arrivals(spark, sf)[0], "k").select("ord", F.md5("k").alias("raw_md5"))
+
+
 def q_novelty_facts_raw(spark, sf):
     """Lines against lines by raw key: returned items arrive, the others are the reference."""
     lines = r_raw(spark, sf).select("k", "l_returnflag")
@@ -307,3 +335,8 @@ QUERIES = {
         to_json({'k': 'kind', 'v': event_type}) || ',' || to_json({'k': 'props', 'v': props}) || ',' ||
         to_json({'k': 'user', 'v': CAST(user_id AS VARCHAR)})) AS params_hash FROM events"""),
 }
+QUERIES |= {
+    "dropped_rows": (q_dropped_rows, QUERIES["validation_report"][1]),
+    "novelty_index": (q_novelty_index, QUERIES["novelty_facts"][1]),
+    "novel_rows_index": (q_novel_rows_index, QUERIES["novel_rows"][1]),
+}

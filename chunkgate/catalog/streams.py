@@ -10,7 +10,7 @@ from chunkgate.operators import ledger, models, score
 from chunkgate.operators.validate import validated
 from chunkgate.session import scratch_dir
 from chunkgate.streaming.arrivals import append_stream, stream_arrivals, stream_distinct_arrivals
-from chunkgate.streaming.watch import for_each_batch
+from chunkgate.streaming.watch import for_each_batch, new_files
 
 SEGMENT_ROWS = 20
 
@@ -34,6 +34,26 @@ def q_stream_distinct_arrivals(spark, sf):
     return _named(_collected(spark, arrivals, "distinct-arrivals"))
 
 
+def q_stream_path_order(spark, sf):
+    """Files that land in descending order of their paths, and one landed twice, are taken up by path and once."""
+    landing, out, state = (scratch_dir(spark, name) for name in ("landing", "taken", "taken-state"))
+    events = table(spark, sf, "events").select("event_type", "event_id", "value")
+    kinds = sorted((r[0] for r in events.select("event_type").distinct().collect()), reverse=True)
+    for kind in [*kinds, kinds[0]]:
+        write_once = events.where(F.col("event_type") == kind).orderBy("event_id").coalesce(1).write
+        write_once.mode("append").csv(f"{landing}/{kind}", header=True)  # the first kind twice: two files of the same bytes
+
+    def work(batch, batch_id):
+        for place, row in enumerate(new_files(batch, batch_id, f"{state}/seen-files"), 1):
+            rows = spark.read.csv(row["path"], header=True, schema="event_type string, event_id long, value double")
+            facts = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("sum_ids"))
+            facts.select(F.lit(place).cast("long").alias("place"), "*").write.mode("overwrite").parquet(f"{out}/batch={batch_id}/place={place}")
+
+    arrivals = stream_arrivals(spark, landing, "*.csv", recursive=True)
+    for_each_batch(arrivals, work, f"{state}/stream").awaitTermination()
+    return spark.read.option("recursiveFileLookup", True).parquet(out).select("place", "event_type", "n_rows", "sum_ids")
+
+
 def q_stream_pending(spark, sf):
     """Arrivals streamed from the ledger's files and checked, batch by batch, against finished runs."""
     schema = table(spark, sf, "events").schema
@@ -83,6 +103,8 @@ def q_stream_score(spark, sf):
 
 
 QUERIES = {
+    "stream_path_order": (q_stream_path_order, """SELECT row_number() OVER (ORDER BY event_type) AS place, event_type, count(*) AS n_rows,
+        CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events GROUP BY event_type"""),
     "stream_arrivals": (q_stream_arrivals, None),
     "stream_distinct_arrivals": (q_stream_distinct_arrivals, None),
     "stream_pending": (q_stream_pending, PENDING_SQL),

@@ -157,3 +157,10 @@ def champion_lineage(champions: DataFrame, runs: DataFrame) -> DataFrame:
     """Each champion with the run that made it."""
     source = runs.select("run_id", "status", "candidate_mae", "model_kind")
     return champions.join(source, "run_id")
+
+
+def retry_paths(runs: DataFrame, digest: str = "raw_data_hash") -> DataFrame:
+    """The retryable arrivals with the path of their last failed run, whose bytes could be read then."""
+    failed = runs.filter((F.col("status") == FAILED) & F.col("failure.raw_path").isNotNull())
+    last = failed.groupBy(digest).agg(F.max_by(F.col("failure.raw_path"), F.struct("start_time", "run_id")).alias("path"))
+    return retryable_arrivals(runs, digest).join(last, digest)

@@ -16,6 +16,17 @@ def _known(df: DataFrame, key: str, canonical: bool, rule: Rule | None, all_rows
     return df.select("*", explode(F.array_compact(F.array(compact_key(value)))).alias("_ck"))
 
 
+def known_keys(df: DataFrame, key: str, canonical: bool = False, rule: Rule | None = None, all_rows: bool = True, keep: bool = False) -> DataFrame:
+    """The compact key ``_ck`` of each row (or of those that have one), beside the row if ``keep`` is set."""
+    rows = _known(df, key, canonical, rule, all_rows)
+    return rows if keep else rows.select("_ck")
+
+
+def share_of(part: str, whole: str):
+    """A share with four decimals, ties to even; of nothing it is 0."""
+    return F.bround(F.col(part) / F.greatest(whole, F.lit(1)), 4)
+
+
 def _split_rows(incoming, reference, key, how, canonical, rule):
     arrived = _known(incoming, key, canonical, rule)
     return arrived.join(key_set(_known(reference, key, canonical, rule), "_ck"), "_ck", how).drop("_ck")
@@ -64,8 +75,7 @@ def novelty_facts(
         F.coalesce(F.sum(F.when(F.col("_ck").isNotNull() & (F.col("_ref") == 0), F.col("_in"))), F.lit(0)).alias("novel_rows"),
         F.coalesce(F.sum("_ref"), F.lit(0)).alias("reference_rows"),
     )
-    share = F.bround(F.col("novel_rows") / F.greatest("incoming_rows", F.lit(1)), 4)
-    return facts.select("incoming_rows", "novel_rows", share.alias("novel_fraction"), "reference_rows")
+    return facts.select("incoming_rows", "novel_rows", share_of("novel_rows", "incoming_rows").alias("novel_fraction"), "reference_rows")
 
 
 def retrain_rule(facts: DataFrame, threshold: float, has_champion) -> DataFrame:

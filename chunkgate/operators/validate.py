@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,6 +73,43 @@ def validated(
     return keep_first(parsed_rows(complete, key, rule), key, order_by, by)
 
 
+class DroppedRows:
+    """Counts that are gathered while a validated chunk is written: no pass of their own.
+
+    They are known once an action has run on the frame that ``validated_and_counted`` returns.
+    """
+
+    def __init__(self) -> None:
+        self.raw, self.parsed, self.valid = Observation(), Observation(), Observation()
+
+    @property
+    def counts(self) -> dict[str, int]:
+        raw, null = (self.raw.get[c] for c in ("n", "incomplete"))
+        parsed, valid = self.parsed.get["n"], self.valid.get["n"]
+        return {
+            "raw_rows": raw, "null_rows": null, "unparseable_rows": raw - null - parsed, "duplicate_rows": parsed - valid,
+            "valid_rows": valid, "dropped_rows": raw - valid,
+        }
+
+
+def validated_and_counted(
+    df: DataFrame, key: str, target: str, order_by: Sequence[str], rule: Rule | None = None
+) -> tuple[DataFrame, DroppedRows]:
+    """``validated``, and how many rows each of its steps drops."""
+    check_schema(df, key, target)
+    dropped, n = DroppedRows(), F.count(F.lit(1)).alias("n")
+    raw = df.observe(dropped.raw, n, F.count_if(_incomplete(df, key, target)).alias("incomplete"))
+    parsed = parsed_rows(drop_null_rows(raw, key, target), key, rule).observe(dropped.parsed, n)
+    return keep_first(parsed, key, order_by).observe(dropped.valid, n), dropped
+
+
+def _incomplete(df: DataFrame, key: str, target: str):
+    no_target = F.col(target).isNull()
+    if isinstance(df.schema[target].dataType, (T.DoubleType, T.FloatType)):
+        no_target = no_target | F.isnan(target)
+    return F.col(key).isNull() | no_target
+
+
 def require_rows(valid: DataFrame, raw_rows: int) -> None:
     """A chunk with no valid row left is malformed and raises."""
     if valid.isEmpty():
@@ -82,10 +119,7 @@ def require_rows(valid: DataFrame, raw_rows: int) -> None:
 def validation_report(df: DataFrame, key: str, target: str, rule: Rule | None = None) -> DataFrame:
     """One row: how many rows came in, why rows were dropped, how many remain."""
     check_schema(df, key, target)
-    no_target = F.col(target).isNull()
-    if isinstance(df.schema[target].dataType, (T.DoubleType, T.FloatType)):
-        no_target = no_target | F.isnan(target)
-    incomplete = F.col(key).isNull() | no_target
+    incomplete = _incomplete(df, key, target)
     marked = df.select(
         incomplete.alias("incomplete"),
         F.when(~incomplete, compact_key(canonical_key(df, key, rule))).alias("k"),

@@ -13,6 +13,7 @@ from chunkgate.operators.gate import CHECK_TYPE
 from chunkgate.operators.novelty import novelty_facts, retrain_rule
 from chunkgate.plans.settings import Settings
 from chunkgate.sources.chunks import read_chunk
+from chunkgate.sources.keyindex import KeyIndex
 from chunkgate.sources.ledger import Ledger
 
 
@@ -34,9 +35,12 @@ def rollback(ledger: Ledger, model_name: str, reason: str) -> int:
     return target
 
 
-def chunk_facts(incoming: DataFrame, reference: DataFrame, settings: Settings, ledger: Ledger) -> DataFrame:
+def chunk_facts(incoming: DataFrame, reference: DataFrame | KeyIndex, settings: Settings, ledger: Ledger) -> DataFrame:
     """One row: how new the chunk is, and which champion it would challenge."""
-    facts = novelty_facts(incoming, reference, settings.key)
+    if isinstance(reference, KeyIndex):
+        facts = reference.novelty_facts(incoming, settings.key)
+    else:
+        facts = novelty_facts(incoming, reference, settings.key)
     champion = ledger.champion(settings.model_name)
     run = None
     if champion is not None:
@@ -50,7 +54,7 @@ def chunk_facts(incoming: DataFrame, reference: DataFrame, settings: Settings, l
     return facts.withColumns({name: F.lit(value).cast(kind) for name, (value, kind) in known.items()})
 
 
-def retrain_advice(spark, raw_path: str, reference: DataFrame, settings: Settings, ledger: Ledger) -> DataFrame:
+def retrain_advice(spark, raw_path: str, reference: DataFrame | KeyIndex, settings: Settings, ledger: Ledger) -> DataFrame:
     """The facts about an arriving file with ``retrain`` and ``reason``. Triggers nothing."""
     incoming = read_chunk(spark, raw_path, [], settings.multiline, settings.file_format)
     facts = chunk_facts(incoming, reference, settings, ledger)

@@ -28,7 +28,7 @@ def score_chunk(spark, raw_path: str, settings: Settings, ledger: Ledger, out: s
 
     As in training, a scored row needs a key and a numeric target.
     """
-    champion = load_champion(ledger, settings.model_name)
+    champion = load_champion(ledger, settings.model_name, settings)
     raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline, settings.file_format)
     valid = validated(raw, settings.key, settings.target, ["ord"], settings.rule)
     require_rows(valid, raw.count())

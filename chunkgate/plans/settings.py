@@ -68,6 +68,12 @@ class Settings:
             return self.features(df)
         return models.fingerprint_features(df, self.key, self.fp_radius, self.fp_bits)
 
+    def feature_signature(self) -> str:
+        """What the feature vector is made of, as far as settings tell."""
+        if self.features is not None:
+            return getattr(self.features, "__qualname__", type(self.features).__qualname__)
+        return f"fingerprint of {self.key}: {self.fp_bits} bits, radius {self.fp_radius}"
+
     def config(self) -> dict[str, str]:
         """The plain settings as texts, for the run record."""
         plain = {f.name for f in fields(self)} - {"rule", "features", "code_version"}

@@ -18,9 +18,9 @@ from chunkgate.operators.gate import gate
 from chunkgate.operators.identity import content_digest
 from chunkgate.operators.ledger import FAILED, FINISHED
 from chunkgate.operators.split import held_out_rows, train_rows, with_split
-from chunkgate.operators.validate import require_rows, validated
+from chunkgate.operators.validate import require_rows, validated_and_counted
 from chunkgate.plans.settings import Settings
-from chunkgate.sources.arrivals import arrival_digest
+from chunkgate.sources.arrivals import arrival_digest, arrival_digests
 from chunkgate.sources.chunks import read_chunk
 from chunkgate.sources.ledger import Ledger
 from chunkgate.sources.tables import stored
@@ -36,11 +36,30 @@ class TrainResult:
     version: int | None
 
 
-def load_champion(ledger: Ledger, model_name: str) -> PipelineModel | None:
+def signature(settings: Settings) -> str:
+    """What a model reads and returns, for the version's record."""
+    return json.dumps({"features": settings.feature_signature(), "target": settings.target, "prediction": "double"}, sort_keys=True)
+
+
+def model_digest(spark, path: str) -> str:
+    """The identity of a saved model: that of the set of its files' digests."""
+    files = arrival_digests(spark, path, "*", recursive=True).select("digest").distinct()
+    return content_digest(files, "digest").first()["content_digest"]
+
+
+def load_champion(ledger: Ledger, model_name: str, settings: Settings | None = None) -> PipelineModel | None:
     """The champion model, or None when no alias exists. A champion whose files are
-    gone raises: a lost model is not a cold start."""
+    gone raises: a lost model is not a cold start. So does one whose files are not those
+    that were registered, or, with ``settings``, one that reads other features.
+    """
     row = ledger.champion(model_name)
-    return None if row is None else models.load(row["model_path"])
+    if row is None:
+        return None
+    if settings is not None and row["signature"] is not None and row["signature"] != signature(settings):
+        raise ValueError(f"champion {row['version']} of {model_name!r} was fitted for {row['signature']}, not for {signature(settings)}")
+    if row["model_digest"] is not None and row["model_digest"] != model_digest(ledger.spark, row["model_path"]):
+        raise ValueError(f"the files of champion {row['version']} of {model_name!r} are not those that were registered")
+    return models.load(row["model_path"])
 
 
 def held_out_errors(
@@ -92,7 +111,7 @@ def promote(ledger: Ledger, settings: Settings, run_id: str, model: PipelineMode
     path = ledger.path(f"models/{settings.model_name}/{version}-{run_id}")
     models.save(model, path)
     when = datetime.now(UTC)
-    ledger.register(settings.model_name, version, run_id, path)
+    ledger.register(settings.model_name, version, run_id, path, signature(settings), model_digest(ledger.spark, path))
     ledger.tag(settings.model_name, version, "promoted_at", when)
     ledger.point_alias(settings.model_name, version, when)
     return version
@@ -101,7 +120,7 @@ def promote(ledger: Ledger, settings: Settings, run_id: str, model: PipelineMode
 def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     digest = arrival_digest(spark, raw_path)
     raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline, settings.file_format)
-    valid = validated(raw, settings.key, settings.target, ["ord"], settings.rule)
+    valid, dropped = validated_and_counted(raw, settings.key, settings.target, ["ord"], settings.rule)
     split = with_split(valid, settings.key, settings.test_fraction, settings.split_seed)
     # Validation, split and features are computed once; fitting makes many passes.
     columns = [settings.key, settings.target, models.FEATURES, "is_test"]
@@ -109,7 +128,7 @@ def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     if featured.isEmpty():
         require_rows(featured, raw.count())
     candidate = models.fit(train_rows(featured), settings.target, settings.kind, settings.params)
-    champion = load_champion(ledger, settings.model_name)
+    champion = load_champion(ledger, settings.model_name, settings)
     errors = stored(held_out_errors(held_out_rows(featured), settings, candidate, champion), "errors")
     decision = gate(
         errors, settings.key, (), settings.min_samples, settings.margin, settings.n_boot, settings.gate_seed, settings.bootstrap
@@ -117,7 +136,7 @@ def _train(spark, raw_path: str, settings: Settings, ledger: Ledger):
     if decision is None:
         raise ValueError("no held-out rows to judge the candidate on")
     content = content_digest(featured, settings.key).first()["content_digest"]
-    return digest, content, candidate, decision
+    return digest, content, candidate, decision, dropped.counts
 
 
 def train_chunk(spark, raw_path: str, settings: Settings, ledger: Ledger) -> TrainResult:
@@ -127,7 +146,7 @@ def train_chunk(spark, raw_path: str, settings: Settings, ledger: Ledger) -> Tra
     """
     run_id, started = uuid.uuid4().hex, datetime.now(UTC)
     try:
-        digest, content, candidate, decision = _train(spark, raw_path, settings, ledger)
+        digest, content, candidate, decision, counts = _train(spark, raw_path, settings, ledger)
     except Exception as error:
         try:
             record_failure(ledger, settings, raw_path, error, run_id, started)
@@ -140,6 +159,7 @@ def train_chunk(spark, raw_path: str, settings: Settings, ledger: Ledger) -> Tra
         candidate_mae=decision["candidate_mae"], delta_observed=decision["delta_observed"],
         ci_low=decision["ci_low"], ci_high=decision["ci_high"], promote=decision["promote"],
         decision=json.dumps(decision.asDict(recursive=True), sort_keys=True),
+        **{c: counts[c] for c in ("raw_rows", "null_rows", "unparseable_rows", "duplicate_rows")},
     )
     version = promote(ledger, settings, run_id, candidate) if decision["promote"] else None
     return TrainResult(run_id, decision, candidate, version)

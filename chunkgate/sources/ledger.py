@@ -19,8 +19,9 @@ SCHEMAS = {
         model_kind string, raw_data_hash string, dataset_content_hash string, config_hash string,
         code_version string, candidate_mae double, delta_observed double, ci_low double,
         ci_high double, promote boolean, decision string, config string,
-        failure struct<error_type:string,error:string,raw_path:string>""",
-    "versions": "model_name string, version bigint, run_id string, model_path string",
+        failure struct<error_type:string,error:string,raw_path:string>,
+        raw_rows bigint, null_rows bigint, unparseable_rows bigint, duplicate_rows bigint""",
+    "versions": "model_name string, version bigint, run_id string, model_path string, signature string, model_digest string",
     "version_tags": "model_name string, version bigint, tag string, stamp timestamp, note string, event_time timestamp",
     "alias_events": "model_name string, alias string, version bigint, event_time timestamp, seq bigint",
     "annotations": "run_id string, name string, text string, event_time timestamp",
@@ -47,8 +48,10 @@ class Ledger:
             return self.spark.createDataFrame([], schema)
 
     def append(self, table: str, rows: DataFrame) -> None:
+        """Append rows; columns that they lack are null."""
         schema = T._parse_datatype_string(SCHEMAS[table])
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(
+        given = {f.name: F.col(f.name) if f.name in rows.columns else F.lit(None) for f in schema}
+        rows.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in schema]).write.mode("append").parquet(
             self.path(table)
         )
 
@@ -79,8 +82,10 @@ class Ledger:
         mine = self.read("versions").filter(F.col("model_name") == model_name)
         return (mine.agg(F.max("version")).first()[0] or 0) + 1
 
-    def register(self, model_name: str, version: int, run_id: str, model_path: str) -> None:
-        self.append_row("versions", model_name=model_name, version=version, run_id=run_id, model_path=model_path)
+    def register(self, model_name: str, version: int, run_id: str, model_path: str, signature: str | None = None, model_digest: str | None = None) -> None:
+        self.append_row(
+            "versions", model_name=model_name, version=version, run_id=run_id, model_path=model_path, signature=signature, model_digest=model_digest
+        )
 
     def tag(self, model_name: str, version: int, tag: str, when: datetime, note: str | None = None) -> None:
         self.append_row(

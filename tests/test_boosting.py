@@ -99,7 +99,7 @@ def test_many_values_share_bins(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(3000, 2))
     y = (x[:, 0] > 0.5) * 3.0 + x[:, 1] ** 2
-    fitted = models.fit(frame(spark, x, y), "y", "hist_gbr", {"max_bins": 16, "max_iter": 20})
+    fitted = models.fit(frame(spark, x, y), "y", "hist_gbr", {"max_bins": 16, "max_iter": 20, "max_leaf_nodes": 8})
     cuts = {(r["feature"], r["cut"]) for r in boosting.tree_table(fitted.stages[0], spark).where("feature is not null").collect()}
     assert all(sum(f == k for f, _ in cuts) <= 15 for k in (0, 1))
     judged = models.predict(fitted, frame(spark, x, y), "p").agg(F.avg(F.pow(F.col("p") - F.col("y"), 2))).first()[0]
@@ -125,7 +125,7 @@ def test_a_hundred_rounds_beat_ridge_on_lines(spark):
     featured = models.column_features(lines, ["l_quantity", "l_discount", "l_tax"])
     train, test = featured.where("not is_test"), featured.where("is_test")
     mae = {}
-    for kind, params in (("ridge", {}), ("hist_gbr", {"max_leaf_nodes": 4})):
+    for kind, params in (("ridge", {}), ("hist_gbr", {"max_leaf_nodes": 3})):
         judged = models.predict(models.fit(train, "y", kind, params), test, "p")
         mae[kind] = judged.agg(F.avg(F.abs(F.col("p") - F.col("y")))).first()[0]
     assert mae["hist_gbr"] < 0.3 * mae["ridge"]

@@ -27,7 +27,7 @@ def data(n, width, density=0.3):
 
 
 @pytest.mark.parametrize("width, alpha, intercept, cells", [
-    (40, 1.0, True, 1 << 22), (2048, 1.0, True, 1 << 22), (2048, 10.0, True, 1 << 16), (300, 0.5, False, 300 * 20), (8192, 1.0, True, 1 << 20),
+    (40, 1.0, True, 1 << 22), (2048, 1.0, True, 1 << 22), (2048, 10.0, True, 1 << 18), (300, 0.5, False, 300 * 20), (8192, 1.0, True, 1 << 20),
 ])
 def test_equals_the_closed_form(spark, width, alpha, intercept, cells):
     x, y = data(160, width)
