@@ -233,6 +233,23 @@ boot AS (
   FROM draws JOIN nodes USING (level, prefix) WHERE n = 1 GROUP BY b)"""
 
 
+# Event ids as arriving text files ---------------------------------------------------------
+
+
+def landed_texts(spark: SparkSession, landing: str, sf_dir: str) -> str:
+    """A file of sorted event ids for each event type, those of the first type twice: byte for byte a copy."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id")
+    kinds = sorted(r[0] for r in events.select("event_type").distinct().collect())
+    for folder, kind in [(kind, kind) for kind in kinds] + [("z-copy", kinds[0])]:
+        ids = events.where(F.col("event_type") == kind).orderBy("event_id").coalesce(1)
+        ids.select(F.col("event_id").cast("string")).write.text(f"{landing}/{folder}")
+    return landing
+
+
+LANDED_TEXTS = """SELECT event_type AS folder, CAST(sum(length(CAST(event_id AS VARCHAR)) + 1) AS BIGINT) AS length,
+  sha256(string_agg(CAST(event_id AS VARCHAR) || chr(10), '' ORDER BY event_id)) AS digest FROM events GROUP BY event_type"""
+
+
 # L: events as a run ledger -----------------------------------------------------------
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chunkgate.catalog.bindings import (
-    E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, multinomial_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, table,
+    E_ERRORS, E_SPLIT, R_ERRORS, R_SPLIT, boot_sql, multinomial_sql, e_errors, e_split, r4, r_errors, r_lines, r_split, r_valid, table,
 )
 from chunkgate.functions import text
 from chunkgate.operators import boosting, evaluate, models, score
@@ -14,8 +14,12 @@ from chunkgate.operators.gate import gate, gate_checks
 from chunkgate.operators.multinomial import bootstrap_sums
 from chunkgate.operators.profile import quantile_table
 from chunkgate.operators.split import held_out_rows, train_rows
+from chunkgate.plans.score import score_chunk
+from chunkgate.plans.settings import Settings
+from chunkgate.plans.train import train_chunk
 from chunkgate.session import scratch_dir
 from chunkgate.sources.chunks import write_shortlist
+from chunkgate.sources.ledger import Ledger
 
 LINE_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 E_MIN_SAMPLES = 100
@@ -99,7 +103,9 @@ def _tables(spark, sf):
 
 
 def q_paired_errors(spark, sf):
-    pairs = evaluate.paired_errors(*_tables(spark, sf), "ord")
+    candidate, champion = _tables(spark, sf)
+    evaluate.require_paired(candidate, champion, "ord")
+    pairs = evaluate.paired_errors(candidate, champion, "ord")
     return pairs.select(
         "ord", r4("candidate_error").alias("candidate_error"), r4("champion_error").alias("champion_error")
     )
@@ -265,6 +271,23 @@ def q_shortlist_head(spark, sf):
     return score.shortlist_head(ranked, "predicted_target", "k")
 
 
+def _line_features(rows):
+    """Three columns of the lines as the model's input."""
+    return models.column_features(rows, LINE_FEATURES)
+
+
+def q_champion_shortlist(spark, sf):
+    """Lines as a chunk through the plans: ridge trained and promoted, loaded again by its alias, and the shortlist written."""
+    chunk, out = scratch_dir(spark, "lines-chunk"), scratch_dir(spark, "champion-shortlist")
+    r_valid(spark, sf).select("k", "target", "l_returnflag", *LINE_FEATURES).write.parquet(chunk)
+    book = Ledger(spark, scratch_dir(spark, "lines-ledger"))
+    settings = Settings(key="k", target="target", model_name="lines", kind="ridge", min_samples=100, file_format="parquet", features=_line_features)
+    train_chunk(spark, chunk, settings, book)
+    score_chunk(spark, chunk, settings, book, out)
+    found = spark.read.csv(out, header=True, schema=f"k string, target double, l_returnflag string, {', '.join(f'{c} double' for c in LINE_FEATURES)}, predicted_target double")
+    return found.select("k", "l_returnflag", "target", r4("predicted_target").alias("predicted_target"))
+
+
 def q_shortlist_by_segment(spark, sf):
     found = score.shortlist_by_segment(_scored(spark, sf), ["l_returnflag"], "predicted_target", "k", 50)
     return found.withColumn("rank", F.col("rank").cast("bigint"))
@@ -314,7 +337,7 @@ scored AS (
   FROM r_split s JOIN r_fit USING (l_returnflag))"""
 _MODEL = "'m' || user_id || '-' || strftime(ts, '%Y%m%d')"
 # Centred sums of three features and Cramer's rule for (X'X + I) b = X'y.
-_RIDGE_MULTI = f"""WITH {R_SPLIT},
+_RIDGE_WEIGHTS = f"""WITH {R_SPLIT},
 s AS (
   SELECT count(*) AS n, avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_tax) AS m3, avg(target) AS my,
     var_pop(l_quantity) * count(*) + 1 AS a, covar_pop(l_quantity, l_discount) * count(*) AS b,
@@ -327,7 +350,8 @@ w AS (
   SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det,
     p * (d * f - e * e) - b * (q * f - e * r) + c * (q * e - d * r) AS d1,
     a * (q * f - e * r) - p * (b * f - c * e) + c * (b * r - c * q) AS d2,
-    a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - c * d) AS d3 FROM s)
+    a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - c * d) AS d3 FROM s)"""
+_RIDGE_MULTI = f"""{_RIDGE_WEIGHTS}
 SELECT round(d1 / det, 4) AS b_quantity, round(d2 / det, 4) AS b_discount, round(d3 / det, 4) AS b_tax,
   round(my - (d1 * m1 + d2 * m2 + d3 * m3) / det, 4) AS intercept FROM w"""
 
@@ -454,6 +478,10 @@ QUERIES = {
         SELECT * FROM t ORDER BY isnan(predicted), predicted DESC, k LIMIT 100"""),
     "shortlist_head": (q_shortlist_head, f"""{_SCORED} SELECT k, predicted_target FROM scored
         ORDER BY predicted_target, k LIMIT 10"""),
+    "champion_shortlist": (q_champion_shortlist, f"""{_RIDGE_WEIGHTS},
+        fit AS (SELECT d1 / det AS b1, d2 / det AS b2, d3 / det AS b3, my - (d1 * m1 + d2 * m2 + d3 * m3) / det AS b0 FROM w)
+        SELECT k, l_returnflag, target, round(b0 + b1 * l_quantity + b2 * l_discount + b3 * l_tax, 4) AS predicted_target FROM r_split, fit
+        ORDER BY round(b0 + b1 * l_quantity + b2 * l_discount + b3 * l_tax, 6), k LIMIT 100"""),
     "shortlist_by_segment": (q_shortlist_by_segment, f"""{_SCORED} SELECT *, row_number() OVER
         (PARTITION BY l_returnflag ORDER BY predicted_target, k) AS rank FROM scored QUALIFY rank <= 50"""),
     "shortlist_file": (q_shortlist_file, f"{_SCORED} SELECT * FROM scored ORDER BY predicted_target, k LIMIT 100"),

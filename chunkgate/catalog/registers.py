@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import functions as F
 
 from chunkgate import defaults
 from chunkgate.catalog.bindings import L_RUNS, ROLLBACK_TIME, V_STATE, l_runs, v_champions, v_state
 from chunkgate.functions import text
 from chunkgate.operators import ledger
+from chunkgate.plans.registry import roll_back_models
 from chunkgate.session import scratch_dir
 from chunkgate.sources.ledger import Ledger
 from chunkgate.sources.tables import stored
@@ -86,6 +89,22 @@ def q_rollback_state(spark, sf):
     return ledger.rollback_state(targets, F.lit(ROLLBACK_TIME).cast("timestamp_ntz"), "held-out errors rose")
 
 
+def q_rollback_written(spark, sf):
+    """Every model rolled back in a ledger, and what the ledger says afterwards: champion, demoted version, reason."""
+    book = Ledger(spark, scratch_dir(spark, "rollback"))
+    state = stored(v_state(spark, sf), "versions")
+    book.append("versions", state.select("model_name", "version", "run_id"))
+    for tag in ("promoted_at", "rolled_back_at"):
+        stamps = state.filter(F.col(tag).isNotNull())
+        book.append("version_tags", stamps.select("model_name", "version", F.lit(tag).alias("tag"), F.col(tag).alias("stamp"), F.col(tag).alias("event_time")))
+    champions = v_champions(state).withColumn("event_time", F.lit("2024-01-31 00:00:00").cast("timestamp"))
+    book.append("alias_events", champions.select("model_name", F.lit(defaults.CHAMPION_ALIAS).alias("alias"), "version", "event_time", F.lit(0).alias("seq")))
+    roll_back_models(book, "held-out errors rose", datetime.fromisoformat(ROLLBACK_TIME).replace(tzinfo=UTC))
+    champion = ledger.current_alias(book.read("alias_events")).withColumnRenamed("version", "champion_version")
+    demoted = book.state().where("rollback_reason is not null").select("model_name", F.col("version").alias("demoted_version"), "rollback_reason")
+    return champion.join(demoted, "model_name", "left")
+
+
 def q_previous_champion(spark, sf):
     return ledger.previous_champion(v_state(spark, sf)).select("model_name", "version", "previous_version")
 
@@ -156,6 +175,9 @@ _CURRENT = f"""WITH {V_STATE}, current AS (
   QUALIFY row_number() OVER (PARTITION BY model_name ORDER BY promoted_at DESC, version DESC) = 1)"""
 
 QUERIES = {
+    "rollback_written": (q_rollback_written, f"""WITH {V_STATE} SELECT model_name, coalesce(target_version, current_version) AS champion_version,
+        CASE WHEN target_version IS NOT NULL THEN current_version END AS demoted_version,
+        CASE WHEN target_version IS NOT NULL THEN 'held-out errors rose' END AS rollback_reason FROM targets"""),
     "run_ledger": (q_run_ledger, f"""WITH {L_RUNS} SELECT run_id, model_name, status, raw_data_hash,
         CASE WHEN status = 'FINISHED' THEN candidate_mae END AS candidate_mae FROM runs"""),
     "failed_runs": (q_failed_runs, f"""WITH {L_RUNS} SELECT run_id, raw_data_hash, raw_path,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from chunkgate.catalog.bindings import (
-    E_RAW, E_SPLIT, E_VALID, R_ORDER, R_SPLIT, R_VALID, e_raw, e_rule, e_split, e_valid, r4, r_raw, r_split,
-    r_valid, table, table_file,
+    E_RAW, E_SPLIT, E_VALID, LANDED_TEXTS, R_ORDER, R_SPLIT, R_VALID, e_raw, e_rule, e_split, e_valid, landed_texts, r4,
+    r_raw, r_split, r_valid, table, table_file,
 )
 from chunkgate.functions.fingerprint import LEFT, PRIME, RIGHT, SELF, STEP, fingerprint_bits
 from chunkgate.functions.keys import canonical_key
@@ -46,6 +46,13 @@ def q_distinct_arrivals(spark, sf):
     return files.select(table_file("path").alias("file_name"), "length", "digest")
 
 
+def q_distinct_texts(spark, sf):
+    """Text files of which two are equal: one path for each content."""
+    landing = landed_texts(spark, scratch_dir(spark, "texts"), sf)
+    files = distinct_arrivals(arrival_digests(spark, landing, "*.txt", recursive=True))
+    return files.select(F.regexp_extract("path", "([^/]+)/[^/]+$", 1).alias("folder"), "length", "digest")
+
+
 def q_drop_null_rows(spark, sf):
     return _key_md5(validate.drop_null_rows(e_raw(spark, sf), "k", "target"), "target")
 
@@ -336,6 +343,7 @@ QUERIES = {
         to_json({'k': 'user', 'v': CAST(user_id AS VARCHAR)})) AS params_hash FROM events"""),
 }
 QUERIES |= {
+    "distinct_texts": (q_distinct_texts, LANDED_TEXTS),
     "dropped_rows": (q_dropped_rows, QUERIES["validation_report"][1]),
     "novelty_index": (q_novelty_index, QUERIES["novelty_facts"][1]),
     "novel_rows_index": (q_novel_rows_index, QUERIES["novel_rows"][1]),

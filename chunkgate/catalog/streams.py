@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from chunkgate.catalog.bindings import R_ORDER, l_runs, r4, r_raw, table, table_file
+from chunkgate.catalog.bindings import LANDED_TEXTS, R_ORDER, l_runs, landed_texts, r4, r_raw, table, table_file
 from chunkgate.catalog.registers import PENDING_SQL
 from chunkgate.operators import ledger, models, score
 from chunkgate.operators.validate import validated
@@ -34,6 +34,13 @@ def q_stream_distinct_arrivals(spark, sf):
     return _named(_collected(spark, arrivals, "distinct-arrivals"))
 
 
+def q_stream_distinct_texts(spark, sf):
+    """Text files of which two are equal, streamed two at a time: each content once, by digest."""
+    landing = landed_texts(spark, scratch_dir(spark, "texts"), sf)
+    arrivals = stream_distinct_arrivals(stream_arrivals(spark, landing, "*.txt", 2, recursive=True))
+    return _collected(spark, arrivals, "distinct-texts").select("length", "digest")
+
+
 def q_stream_path_order(spark, sf):
     """Files that land in descending order of their paths, and one landed twice, are taken up by path and once."""
     landing, out, state = (scratch_dir(spark, name) for name in ("landing", "taken", "taken-state"))
@@ -103,6 +110,7 @@ def q_stream_score(spark, sf):
 
 
 QUERIES = {
+    "stream_distinct_texts": (q_stream_distinct_texts, f"SELECT length, digest FROM ({LANDED_TEXTS})"),
     "stream_path_order": (q_stream_path_order, """SELECT row_number() OVER (ORDER BY event_type) AS place, event_type, count(*) AS n_rows,
         CAST(sum(event_id) AS BIGINT) AS sum_ids FROM events GROUP BY event_type"""),
     "stream_arrivals": (q_stream_arrivals, None),

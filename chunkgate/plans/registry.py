@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import time
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkgate import defaults
 from chunkgate.functions import text
 from chunkgate.operators import ledger as questions
 from chunkgate.operators.gate import CHECK_TYPE
@@ -15,6 +17,7 @@ from chunkgate.plans.settings import Settings
 from chunkgate.sources.chunks import read_chunk
 from chunkgate.sources.keyindex import KeyIndex
 from chunkgate.sources.ledger import Ledger
+from chunkgate.sources.tables import stored
 
 
 def rollback(ledger: Ledger, model_name: str, reason: str) -> int:
@@ -35,6 +38,28 @@ def rollback(ledger: Ledger, model_name: str, reason: str) -> int:
     return target
 
 
+def roll_back_models(ledger: Ledger, reason: str, when: datetime | None = None) -> DataFrame:
+    """Roll back every model that has an earlier eligible version, in three writes, the aliases last.
+
+    Returns one row for each model with a champion: ``current_version`` and ``target_version`` (null: it stays).
+    """
+    when = when or datetime.now(UTC)
+    state = stored(ledger.state(), "versions")
+    current = stored(questions.current_champion(state, ledger.read("alias_events")), "champions")
+    targets = stored(questions.rollback_target(state, current), "rollbacks")
+    moved = targets.where("target_version is not null")
+    stamp = F.lit(when).cast("timestamp")
+    for tag, note in (("rolled_back_at", F.lit(None)), ("rollback_reason", F.lit(reason))):
+        ledger.append("version_tags", moved.select(
+            "model_name", F.col("current_version").alias("version"), F.lit(tag).alias("tag"), stamp.alias("stamp"), note.cast("string").alias("note"), stamp.alias("event_time")
+        ))
+    ledger.append("alias_events", moved.select(
+        "model_name", F.lit(defaults.CHAMPION_ALIAS).alias("alias"), F.col("target_version").alias("version"), stamp.alias("event_time"),
+        F.lit(time.time_ns()).alias("seq"),
+    ))
+    return targets
+
+
 def chunk_facts(incoming: DataFrame, reference: DataFrame | KeyIndex, settings: Settings, ledger: Ledger) -> DataFrame:
     """One row: how new the chunk is, and which champion it would challenge."""
     if isinstance(reference, KeyIndex):
