@@ -61,8 +61,8 @@ def op8_edited_counts(spark, sf):
     trees = stored(counts.build_trees(documents, vocabulary), "count-trees")
     size = F.length("text")
     # Three edits for each document, made from it: a swap near its start, words put in, a piece taken out.
-    edits = documents.select(
-        "doc_id",
+    edits = documents.where("text is not null").select(
+        counts.row_key().alias("key"),
         F.explode(F.array(*[
             F.struct(F.lit(k).alias("seq"), at.cast("long").alias("pos"), F.lit(gone).cast("long").alias("removed"), put.alias("inserted"))
             for k, at, gone, put in (
@@ -71,7 +71,7 @@ def op8_edited_counts(spark, sf):
                 (3, F.floor(size * 4 / 5), 17, F.lit("")),
             )
         ])).alias("e"),
-    ).where("text is not null").select("doc_id", "e.*")
+    ).select("key", "e.*")
     edited = counts.apply_edits(documents, trees, edits, vocabulary)
     return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_chars", "n_reencoded")
 

@@ -2,8 +2,9 @@
 
 A text is cut into leaves of some hundred characters at safe places: before a single blank with no
 white space on either side. There every pre-token of a byte-level vocabulary begins anew whatever
-stands before or after, so counts of leaves add up to the count of the text. The tree holds
-characters and tokens of each leaf and their sums, as heaps (root at 1).
+stands before or after, so counts of leaves add up to the count of the text. What is kept of a
+document are characters and tokens of its leaves; the sums over them (heaps, root at 1) are made
+from these when edits arrive.
 
 An edit finds its leaves by going down the tree, splices their texts, takes in a neighbour as long as
 the border to it is no safe place any more, re-encodes this region alone and updates the sums above.
@@ -11,8 +12,9 @@ the border to it is no safe place any more, re-encodes this region alone and upd
 Defined results: null and empty texts have one empty leaf and no tokens; edits to them work like
 others. Positions count characters of the text as the edits before left it; those outside are moved
 to its ends, a null position is 0, a null removal removes nothing, a null insertion is empty. Edits
-apply by ``seq``, then by position. Edits to unknown documents are left out. Repeated rows of one id
-get all edits of that id each. Null ids are edited by edits with a null id. Extra columns are ignored.
+apply by ``seq``, then by position. Edits to unknown documents are left out. Edits that name a row
+(``key``, see ``row_key``) go to the rows with that id and text alone, each edit of a seq once; edits that name an
+id go to every row of that id, null ids to null ids. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkgate.llm.tokens import Encoder, encoder
@@ -65,12 +67,19 @@ class SegmentTree:
     """The leaves of one document and the sums over them."""
 
     def __init__(self, text: str, chars: np.ndarray, tokens: np.ndarray) -> None:
-        self.chars, self.tokens = np.array(chars, np.int64), np.array(tokens, np.int64)
+        """``chars`` and ``tokens`` are those of the leaves."""
+        self.chars, self.tokens = heap(chars), heap(tokens)
         self.size = len(self.chars) // 2
-        ends = np.cumsum(self.chars[self.size :])
-        self.leaves = [text[a:b] for a, b in zip(ends - self.chars[self.size :], ends)]
+        ends = np.cumsum(chars).tolist()
+        self.leaves = [text[a:b] for a, b in zip([0, *ends], ends)] + [""] * (self.size - len(ends))
         self.encoded = 0
 
+    def kept(self) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of the leaves that hold text (of one at least)."""
+        chars, tokens = self.chars[self.size :], self.tokens[self.size :]
+        some = np.flatnonzero(chars) if self.chars[1] else np.zeros(1, np.int64)
+        return chars[some], tokens[some]
+
     def leaf_at(self, pos: int) -> tuple[int, int]:
         """The leaf that holds a character (the last one for the end), and where in the leaf it is."""
         k = 1
@@ -124,7 +133,7 @@ class SegmentTree:
 
 
 def build_trees(documents: DataFrame, vocabulary: str) -> DataFrame:
-    """_key, n_tokens and the heaps of characters and tokens of each text: one pass, no shuffle."""
+    """_key, n_tokens and the characters and tokens of each text's leaves: one pass, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
@@ -132,58 +141,74 @@ def build_trees(documents: DataFrame, vocabulary: str) -> DataFrame:
             for part in slices(batch, "text"):
                 leaves = [cut(x or "") for x in part.column("text").to_pylist()]
                 _, tokens = code.encode([y for x in leaves for y in x])
-                ends = np.cumsum([len(x) for x in leaves])
-                counts = np.split(tokens, ends[:-1])
-                ints = pa.list_(pa.int64())
+                bounds = np.concatenate([[0], np.cumsum([len(x) for x in leaves])])
+                total = np.concatenate([[0], np.cumsum(tokens, dtype=np.int64)])
+                sizes = np.array([len(y) for x in leaves for y in x], np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("_key"), pa.array([int(x.sum()) for x in counts], pa.int64()),
-                        pa.array([heap(np.array([len(y) for y in x])) for x in leaves], ints), pa.array([heap(x) for x in counts], ints),
-                    ],
+                    [part.column("_key"), pa.array(total[bounds[1:]] - total[bounds[:-1]]), _lists(bounds, sizes), _lists(bounds, np.asarray(tokens, np.int32))],
                     ["_key", "n_tokens", "chars", "tokens"],
                 )
 
-    keyed = documents.select(F.xxhash64("doc_id", "text").alias("_key"), "text")
-    return keyed.mapInArrow(run, "_key long, n_tokens long, chars array<long>, tokens array<long>")
+    keyed = documents.select(row_key().alias("_key"), "text")
+    return keyed.mapInArrow(run, "_key long, n_tokens long, chars array<int>, tokens array<int>")
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """What names a row among edits: its id and text."""
+    return F.xxhash64(doc_id, text)
 
-EDITED = "doc_id long, text string, n_tokens_before long, n_tokens long, n_chars long, n_reencoded long, chars array<long>, tokens array<long>"
+
+EDITED = "doc_id long, text string, n_tokens_before long, n_tokens long, n_chars long, n_reencoded long, chars array<int>, tokens array<int>"
 
 
 def apply_edits(documents: DataFrame, trees: DataFrame, edits: DataFrame, vocabulary: str) -> DataFrame:
-    """The edited texts with their counts and trees. ``edits`` has doc_id, seq, pos, removed, inserted."""
-    ordered = edits.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.struct("seq", F.coalesce(F.col("pos").cast("long"), F.lit(0)).alias("pos"), F.coalesce(F.col("removed").cast("long"), F.lit(0)).alias("removed"), F.coalesce("inserted", F.lit("")).alias("inserted")))),
-            lambda e: F.struct(e["pos"].alias("pos"), e["removed"].alias("removed"), e["inserted"].alias("inserted")),
-        ).alias("edits")
-    )
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("_key"))
+    """The edited texts with their counts and leaves. ``edits`` has key (or doc_id), seq, pos, removed, inserted."""
+    by_row = "key" in edits.columns
+    change = F.struct(F.coalesce(F.col("pos").cast("long"), F.lit(0)).alias("pos"), F.coalesce(F.col("removed").cast("long"), F.lit(0)).alias("removed"), F.coalesce("inserted", F.lit("")).alias("inserted"))
+    if by_row:  # equal rows bring equal edits
+        named = edits.groupBy(F.col("key").cast("long").alias("_to"), "seq").agg(F.min(change).alias("change"))
+    else:
+        named = edits.select(F.col("doc_id").cast("long").alias("_to"), "seq", change.alias("change"))
+    ordered = named.groupBy("_to").agg(F.transform(F.sort_array(F.collect_list(F.struct("seq", "change"))), lambda e: e["change"]).alias("edits"))
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row_key().alias("_key"))
     state = rows.select("_key", "doc_id").distinct().join(trees.dropDuplicates(["_key"]), "_key")
-    state = state.join(ordered, state["doc_id"].eqNullSafe(ordered["_id"]), "left").drop("_id", "doc_id")
+    target = state["_key"] if by_row else state["doc_id"]
+    state = state.join(ordered, target.eqNullSafe(ordered["_to"]), "left").drop("_to", "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(vocabulary)
-        names = [x.split()[0] for x in EDITED.split(", ")]
         for batch in batches:
             for part in slices(batch, "text"):
-                out: dict[str, list] = {c: [] for c in names}
-                for row in part.to_pylist():
-                    tree = SegmentTree(row["text"] or "", row["chars"], row["tokens"])
-                    for e in row["edits"] or []:
+                texts, edits = part.column("text").to_pylist(), part.column("edits").to_pylist()
+                bounds = part.column("chars").offsets.to_numpy()
+                bounds = bounds - bounds[0]
+                chars, tokens = (part.column(c).flatten().to_numpy().astype(np.int64) for c in ("chars", "tokens"))
+                out, kept = [], []
+                for k, text in enumerate(texts):
+                    own = slice(bounds[k], bounds[k + 1])
+                    tree = SegmentTree(text or "", chars[own], tokens[own])
+                    for e in edits[k] or []:
                         tree.edit(e["pos"], e["removed"], e["inserted"], code)
-                    values = (
-                        row["doc_id"], "".join(tree.leaves), row["n_tokens"], int(tree.tokens[1]), int(tree.chars[1]), tree.encoded,
-                        tree.chars, tree.tokens,
-                    )
-                    for c, v in zip(names, values):
-                        out[c].append(v)
-                yield pa.RecordBatch.from_pydict(out, schema=_EDITED)
+                    out.append(("".join(tree.leaves), int(tree.tokens[1]), int(tree.chars[1]), tree.encoded))
+                    kept.append(tree.kept())
+                new, n_tokens, n_chars, encoded = zip(*out)
+                ends = np.concatenate([[0], np.cumsum([len(c) for c, _ in kept])])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array(new, pa.string()), part.column("n_tokens"), *[pa.array(v, pa.int64()) for v in (n_tokens, n_chars, encoded)],
+                        *[_lists(ends, np.concatenate(side).astype(np.int32)) for side in zip(*kept)],
+                    ],
+                    schema=_EDITED,
+                )
 
     return rows.join(state, "_key").select("doc_id", "text", "n_tokens", "chars", "tokens", "edits").mapInArrow(run, EDITED)
 
 
 _EDITED = pa.schema([
     ("doc_id", pa.int64()), ("text", pa.string()), ("n_tokens_before", pa.int64()), ("n_tokens", pa.int64()), ("n_chars", pa.int64()),
-    ("n_reencoded", pa.int64()), ("chars", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64())),
+    ("n_reencoded", pa.int64()), ("chars", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32())),
 ])
