@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chunkgate import defaults
 from chunkgate.functions import text
 from chunkgate.operators.bootstrap import bootstrap_ci
+from chunkgate.sources.tables import stored
 
 CHECK_TYPE = "array<struct<name:string,passed:boolean,observed:double,threshold:double,reason:string>>"
 
@@ -60,7 +61,9 @@ def gate(
         (F.avg("champion_error") - F.avg("candidate_error")).alias("_delta"),
         (F.count("champion_error") == 0).alias("_cold"),
     )
-    # Rows of groups that the checks before the interval settle are not drawn.
+    # Rows of groups that the checks before the interval settle are not drawn. Stored, the table of groups has a size
+    # that Spark knows: it broadcasts a small one instead of shuffling the errors by group.
+    stats = stored(stats, "gate-groups")
     needed = stats.where((F.col("n_rows") >= min_samples) & ~F.col("_cold")).select(*[F.col(c).alias(f"_of_{c}") for c in groups])
     wanted = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in groups])
     compared = errors.join(needed, wanted, "left_semi").filter(F.col("champion_error").isNotNull()).withColumn(
