@@ -7,9 +7,8 @@ counted over all documents. A text's features that no example has count in its n
 frequency of their hashed bucket; they are in no product, so the order of examples is exact.
 
 The index keeps, for each feature and block of examples, the largest weight in the block. A query adds
-these up to a bound for each block, opens blocks from the highest bound down, in growing groups, and
-stops when no bound can reach the worst of its ``NEIGHBOURS`` best: the result is that of comparing
-with every example. Their votes, weighted by cosine and drawn to the base rate, are pooled (as odds) with
+these up to a bound for each block and opens the blocks whose bound can reach the worst of its
+``NEIGHBOURS`` best: the result is that of comparing with every example. Texts of a slice are searched together. Their votes, weighted by cosine and drawn to the base rate, are pooled (as odds) with
 those of a second index over the telling features only (in toxic examples too often for chance, by a bound
 on the share of false ones) and mapped to probabilities by an isotonic fit on the examples, each without itself.
 
@@ -23,12 +22,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkgate.llm.tiles import compare
 from chunkgate.llm.words import Words, groups, hash_words, mix, sampled_texts, slices, split_words
 from chunkgate.sources.tables import stored
 
@@ -43,14 +45,21 @@ PREFIXES = (4, 5, 6)
 LEAST, FALSE_SHARE = 3, 0.05
 NEIGHBOURS = 15
 BLOCK = 64
-#: Blocks that are opened first; then twice as many each time.
-OPENED = 4
+#: Features, those of the most examples, that an opened index holds as matrices; the others are postings. No result depends on it.
+HEAD = 1024
+#: Texts that are compared together.
+TOGETHER = 128
+#: Postings in a piece of an index, on average.
+PIECE = 1 << 20
+#: Cosines nearer than this are rounding.
+SLACK = 1e-9
 #: Pseudo-votes for the rate of texts without features.
 PRIOR_VOTES = 0.25
 HELD_OUT = 2
 PREDICT_FROM = 0.3
 
 _U = np.uint64
+_VECTOR = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("toxic", pa.int32()), ("strongest", pa.int32()), ("size", pa.int64()), ("number", pa.binary()), ("weight", pa.binary())])
 _SEPARATES = np.ones(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _SEPARATES[_a:_b] = False
@@ -120,74 +129,125 @@ def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Examples by feature, in blocks with their largest weights."""
+    """Examples by feature, in blocks with their largest weights.
 
-    def __init__(self, idf: np.ndarray, rows: list[tuple], k: int = NEIGHBOURS) -> None:
+    ``pieces`` hold the postings by feature and example: for each range of features the number of
+    postings of each, their examples and their weights, as bytes. Only these travel; ``opened`` makes
+    the arrays of a search from them, once in each worker.
+    """
+
+    def __init__(self, idf: np.ndarray, rows: list[tuple] = (), k: int = NEIGHBOURS, made: tuple | None = None) -> None:
         self.idf, self.k = idf, k
-        # Examples with the same strongest feature stand together, so that few blocks have high bounds.
-        weighted = []
-        for doc, label, number, count, *_ in rows:
-            w = self.weights(number, count).astype(np.float32)
-            weighted.append((int(number[w.argmax()]), doc, label, number, w))
-        weighted.sort(key=lambda x: x[:3])
-        self.docs = np.array([x[1] for x in weighted], np.int64)
-        self.labels = np.array([x[2] for x in weighted], np.float64)
-        number = np.concatenate([x[3] for x in weighted]).astype(np.int32) if weighted else np.zeros(0, np.int32)
-        weight = np.concatenate([x[4] for x in weighted]) if weighted else np.zeros(0, np.float32)
-        example = np.repeat(np.arange(len(weighted), dtype=np.int32), [len(x[3]) for x in weighted])
-        del weighted, rows  # postings are many: one copy of each array at a time
-        order = np.argsort(number, kind="stable")  # examples stay in order
-        number = number[order]
-        example = example[order]
-        weight = weight[order]
-        del order
-        self.example, self.weight = example, weight
-        # Runs of one feature in one block: the block, where it begins, its largest weight.
-        block = example // BLOCK
-        new = np.append(True, (number[1:] != number[:-1]) | (block[1:] != block[:-1])) if len(number) else np.zeros(0, bool)
-        self.begin = np.flatnonzero(new).astype(np.int32)
-        self.end = np.append(self.begin[1:], np.int32(len(number)))
-        self.block = block[self.begin]
-        self.most = np.maximum.reduceat(weight, self.begin) if len(number) else np.zeros(0, np.float32)
-        self.runs = np.searchsorted(number[self.begin], np.arange(len(idf) + 1))
-        self.n_blocks = -(-len(self.docs) // BLOCK)
+        if made is None:
+            vectors = [(doc, label, number, self.weights(number, count).astype(np.float32)) for doc, label, number, count, *_ in rows]
+            vectors.sort(key=lambda x: (int(x[2][x[3].argmax()]), x[0], x[1]))
+            number, weight = (np.concatenate([x[c] for x in vectors]) if vectors else np.zeros(0, t) for c, t in ((2, np.int32), (3, np.float32)))
+            example = np.repeat(np.arange(len(vectors)), [len(x[2]) for x in vectors])
+            made = [x[0] for x in vectors], [x[1] for x in vectors], [postings(number, example, weight, 0, len(idf))]
+        self.docs, self.labels, self.pieces = np.array(made[0], np.int64), np.array(made[1], np.float64), made[2]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "opened"}
 
     def weights(self, number: np.ndarray, count: np.ndarray, rest: float = 0.0) -> np.ndarray:
         w = (1 + np.log(count)) * self.idf[number]
         return w / np.sqrt((w * w).sum() + rest)
 
+    @cached_property
+    def opened(self) -> Opened:
+        return Opened(self.pieces, len(self.idf), len(self.docs))
+
     def nearest(self, number: np.ndarray, count: np.ndarray, without: int = -1, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """The examples nearest to a text and their cosines, the highest first (ties: the earlier example).
 
         ``rest``: the square of the weights of the text's features that are in no example.
         """
-        w = self.weights(number, count, rest)
-        first, last = self.runs[number], self.runs[number + 1]
-        run, q = _spread(first, last), np.repeat(w, last - first)
-        block = self.block[run]
-        bound = np.bincount(block, q * self.most[run], self.n_blocks)
-        ranked = np.argsort(-bound, kind="stable")[: np.count_nonzero(bound)]
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        done, step = 0, OPENED
-        while True:
-            # Bounds fall along ranked: blocks from here on can't reach the worst of the best.
-            stop = np.count_nonzero(bound >= cosine[-1] - 1e-12) if len(best) >= self.k else len(ranked)
-            stop = min(stop, len(ranked), done + step)
-            if stop <= done:
-                break
-            opened = np.zeros(self.n_blocks, bool)
-            opened[ranked[done:stop]] = True
-            mine = opened[block]
-            begin, end = self.begin[run[mine]], self.end[run[mine]]
-            at = _spread(begin, end)
-            score = np.bincount(self.example[at], np.repeat(q[mine], end - begin) * self.weight[at], len(self.docs))
-            found = np.flatnonzero(score > 0)
-            found = found[found != without]
-            best, cosine = np.append(best, found), np.append(cosine, score[found])
-            order = np.lexsort((best, -cosine))[: self.k]
-            best, cosine = best[order], cosine[order]
-            done, step = stop, 2 * step
-        return best, cosine
+        return self.nearest_of([(number, count, rest)], [without])[0]
+
+    def nearest_of(self, vectors: list[tuple], without: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for many texts: number, count and rest of each, and the example that is left out (or -1)."""
+        out = []
+        for a in range(0, len(vectors), TOGETHER):
+            part = vectors[a : a + TOGETHER]
+            out += self.opened.nearest([x[0] for x in part], [self.weights(*x) for x in part], without[a : a + TOGETHER], self.k)
+        return out
+
+
+def postings(number: np.ndarray, example: np.ndarray, weight: np.ndarray, first: int, last: int) -> tuple[bytes, bytes, bytes]:
+    """A piece of an index: the features from ``first`` up to ``last``."""
+    order = np.lexsort((example, number))
+    sizes = np.bincount(number - first, minlength=last - first)
+    return sizes.astype(np.int32).tobytes(), example[order].astype(np.int32).tobytes(), weight[order].astype(np.float32).tobytes()
+
+
+class Opened:
+    """An index as arrays. Features of the most examples are held as a matrix for each block, the others as postings."""
+
+    def __init__(self, pieces: list[tuple], n_features: int, n: int) -> None:
+        size, example, weight = (np.concatenate([np.zeros(0, t), *(np.frombuffer(p[c], t) for p in pieces)]) for c, t in enumerate((np.int32, np.int32, np.float32)))
+        self.n, self.n_blocks = n, -(-n // BLOCK)
+        self.first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        common = np.sort(np.argsort(-size, kind="stable")[:HEAD])
+        common = common[size[common] > 1]
+        self.place = np.full(n_features, -1, np.int32)
+        self.place[common] = np.arange(len(common))
+        at = _spread(self.first[common], self.first[common + 1])
+        self.head = np.zeros((self.n_blocks, len(common), BLOCK), np.float32)
+        self.head[example[at] // BLOCK, np.repeat(np.arange(len(common)), size[common]), example[at] % BLOCK] = weight[at]
+        self.most = np.ascontiguousarray(self.head.max(axis=2).T.astype(np.float64))
+        # The matrix holds the common features: their postings are not needed twice.
+        rare = np.ones(len(example), bool)
+        rare[at] = False
+        size[common] = 0
+        self.first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        self.example, self.weight = example[rare], weight[rare]
+
+    def nearest(self, numbers: list[np.ndarray], weights: list[np.ndarray], without: list[int], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Products over rare features come from their postings, and with the block maxima of the common ones bound each
+        block. Blocks are opened for the texts whose k-th best they can reach."""
+        m, n_blocks = len(numbers), self.n_blocks
+        if not n_blocks:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * m
+        text, number, q = np.repeat(np.arange(m), [len(x) for x in numbers]), np.concatenate(numbers), np.concatenate(weights)
+        place = self.place[number]
+        asked = np.zeros((m, self.most.shape[0]))
+        asked[text[place >= 0], place[place >= 0]] = q[place >= 0]
+        text, number, q = text[place < 0], number[place < 0], q[place < 0]
+        begin, end = self.first[number], self.first[number + 1]
+        at = _spread(begin, end)
+        width = n_blocks * BLOCK
+        score = np.bincount(np.repeat(text * width, end - begin) + self.example[at], np.repeat(q, end - begin) * self.weight[at], m * width)
+        score = score.astype(float).reshape(m, n_blocks, BLOCK)
+        bound = score.max(axis=2) + asked @ self.most
+        out = np.array(without)
+        left_out = np.flatnonzero(out >= 0)
+        score[left_out, out[left_out] // BLOCK, out[left_out] % BLOCK] = -np.inf
+        open_, best = np.zeros((m, n_blocks), bool), np.zeros((m, k))
+
+        def look(block: int, rows: np.ndarray) -> None:
+            score[rows, block] += asked[rows] @ self.head[block].astype(np.float64)
+            open_[rows, block] = True
+            both = np.concatenate([best[rows], score[rows, block]], axis=1)
+            best[rows] = np.partition(both, BLOCK, axis=1)[:, BLOCK:]
+
+        order = np.argsort(bound.argmax(axis=1), kind="stable")
+        top = bound.argmax(axis=1)[order]
+        for rows in np.split(order, np.flatnonzero(np.diff(top)) + 1):
+            look(int(bound[rows[0]].argmax()), rows)
+        for block in np.argsort(-bound.sum(axis=0), kind="stable"):
+            rows = np.flatnonzero((bound[:, block] >= best.min(axis=1) - SLACK) & (bound[:, block] > 0) & ~open_[:, block])
+            if len(rows):
+                look(int(block), rows)
+        score[~open_] = -np.inf
+        found = []
+        least = best.min(axis=1)
+        for r in range(m):
+            row = score[r].ravel()
+            near = np.flatnonzero(row >= max(least[r] - SLACK, SLACK))
+            # Equal cosines differ by rounding only; of them the earlier example comes first.
+            order = np.lexsort((near, -np.round(row[near], 9)))[:k]
+            found.append((near[order], row[near[order]]))
+        return found
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,41 +263,61 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class Model:
+class Learned:
+    """What each worker needs of the examples; its size is bounded by the sample."""
+
     vocabulary: Vocabulary
     index: Index
     #: For each feature its number among the telling ones, or -1.
     telling: np.ndarray
     telling_index: Index
+
+    @cached_property
+    def at(self) -> tuple[dict, dict]:
+        return tuple({int(d): k for k, d in enumerate(x.docs)} for x in (self.index, self.telling_index))
+
+
+@dataclass
+class Model:
+    shared: Broadcast
     base: float
     empty_rate: float
     steps: np.ndarray
     rates: np.ndarray
 
-    def __post_init__(self) -> None:
-        self.at, self.telling_at = ({int(d): k for k, d in enumerate(x.docs)} for x in (self.index, self.telling_index))
-
-    def vote(self, number: np.ndarray, count: np.ndarray, rest: float, own: int | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        """The vote on a text, its nearest examples and their cosines. ``own``: a doc_id that is left out."""
-        best, cosine = self.index.nearest(number, count, self.at.get(own, -1), rest)
-        whole = _share(self.index, best, cosine, self.base)
-        some = self.telling[number] >= 0
-        if not some.any():
-            return _pooled(whole, self.empty_rate), best, cosine
-        near = self.telling_index.nearest(self.telling[number[some]], count[some], self.telling_at.get(own, -1))
-        return _pooled(whole, _share(self.telling_index, *near, self.empty_rate)), best, cosine
+    @property
+    def vocabulary(self) -> Vocabulary:
+        return self.shared.value.vocabulary
+
+    @property
+    def index(self) -> Index:
+        return self.shared.value.index
+
+    def votes(self, vectors: list[tuple], own: list[int | None] | None = None) -> tuple[np.ndarray, list]:
+        """The votes on texts, and the nearest examples of each with their cosines. ``own``: doc_ids, each left out of its own vote."""
+        learned = self.shared.value
+        at, told_at = ([x.get(i, -1) for i in own or [None] * len(vectors)] for x in learned.at)
+        near = learned.index.nearest_of(vectors, at)
+        whole = np.array([_share(learned.index, *x, self.base) for x in near])
+        told, rows = [], []
+        for r, (number, count, _) in enumerate(vectors):
+            mine = learned.telling[number]
+            if (mine >= 0).any():
+                rows.append(r)
+                told.append((mine[mine >= 0], count[mine >= 0], 0.0))
+        some = np.full(len(vectors), self.empty_rate)
+        some[rows] = [_share(learned.telling_index, *x, self.empty_rate) for x in learned.telling_index.nearest_of(told, [told_at[r] for r in rows])]
+        return _pooled(whole, some), near
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
-        if not len(self.steps):
-            return votes
-        return np.interp(votes, self.steps, self.rates)
+        return np.interp(votes, self.steps, self.rates) if len(self.steps) else votes
 
 
 def _share(index: Index, best: np.ndarray, cosine: np.ndarray, rate: float) -> float:
     return float(((cosine * index.labels[best]).sum() + PRIOR_VOTES * rate) / (cosine.sum() + PRIOR_VOTES))
 
 
-def _pooled(p: float, q: float) -> float:
+def _pooled(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """The share whose odds are the product of both odds."""
     return p * q / (p * q + (1 - p) * (1 - q))
 
@@ -273,7 +353,7 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     names = chosen_names = np.zeros(0, np.uint64)
     if 0 < n_toxic < n:
         counts = stored(counts, "features")
-        names = np.sort(counts.select("name").toPandas()["name"].to_numpy(np.int64).view(np.uint64))
+        names = np.sort(counts.select("name").toArrow()["name"].to_numpy().view(np.uint64))
         tried = counts.where(F.col("n") >= LEAST)
         above = tried.where((F.col("t") >= LEAST) & (F.col("t") > F.col("n") * base)).withColumn("surprise", _surprise(F.col("t"), F.col("n"), base))
         chosen = above.orderBy(F.desc("surprise"), "name").limit(VOCABULARY).toPandas()
@@ -292,47 +372,95 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
 
     df = np.zeros(len(names) + REST_BUCKETS + 1, np.int64)
     if len(names):
-        rows = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toPandas()
-        df[rows["number"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-        del rows
+        found = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
+        df[found["number"].to_numpy()] = found["n"].to_numpy()
+        del found
     vocabulary = Vocabulary(names, np.log((1 + df[-1]) / (1 + df[:-1])) + 1)
-
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = [(number.astype(np.int32).tobytes(), count.astype(np.int32).tobytes()) for number, count, _ in vocabulary.vectors(part.column("text"))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int64())]
-                    + [pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)],
-                    ["doc_id", "toxic", "number", "count"],
-                )
-
-    got = texts.mapInArrow(examples, "doc_id long, toxic long, number binary, count binary").toPandas()
-    full = [(d, t, np.frombuffer(a, np.int32), np.frombuffer(c, np.int32)) for d, t, a, c in zip(got["doc_id"], got["toxic"], got["number"], got["count"])]
-    del got
-    full.sort(key=lambda x: x[:2])
-    telling = np.full(len(names), -1, np.int64)
+    telling = np.full(len(names), -1, np.int32)
     telling[np.searchsorted(names, chosen_names)] = np.arange(len(chosen_names))
-    told = [(d, t, telling[a[telling[a] >= 0]], c[telling[a] >= 0]) for d, t, a, c in full]
-    bare = [t for _, t, a, _ in told if not len(a)]
-    empty_rate = (sum(bare) + base) / (len(bare) + 1)
-    index, telling_index = Index(vocabulary.idf, [x for x in full if len(x[2])]), Index(vocabulary.idf[: len(names)][telling >= 0], [x for x in told if len(x[2])])
-    del full, told
-    model = Model(vocabulary, index, telling, telling_index, float(base), float(empty_rate), np.zeros(0), np.zeros(0))
+    indexes, bare = _built(texts, vocabulary, telling)
+    shared = documents.sparkSession.sparkContext.broadcast(Learned(vocabulary, indexes[0], telling, indexes[1]))
+    model = Model(shared, float(base), float((sum(bare) + base) / (len(bare) + 1)), np.zeros(0), np.zeros(0))
     if len(names):
         votes = texts.repartition(max(1, -(-n // 500)), "doc_id").mapInArrow(_own_votes(model), "vote double, label double").toPandas()
         model.steps, model.rates = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
     return model
 
 
+def _built(texts: DataFrame, vocabulary: Vocabulary, telling: np.ndarray) -> tuple[list[Index], list[int]]:
+    """The indexes over all and over the telling features, and the labels of the examples without the latter.
+
+    Tasks make the vectors and sort the postings; the driver sees one short row for each example and the finished pieces.
+    """
+    idfs = vocabulary.idf, vocabulary.idf[: len(telling)][telling >= 0]
+    empty = [Index(idf) for idf in idfs]
+
+    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                out = []
+                for doc, toxic, (number, count, _) in zip(part.column("doc_id").to_pylist(), part.column("toxic").to_pylist(), vocabulary.vectors(part.column("text"))):
+                    mine = telling[number]
+                    for kind, (a, c) in enumerate(((number, count), (mine[mine >= 0], count[mine >= 0]))):
+                        w = empty[kind].weights(a, c)
+                        out.append((kind, int(doc), int(toxic), int(a[w.argmax()]) if len(a) else -1, len(a), a.astype(np.int32).tobytes(), w.astype(np.float32).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _VECTOR.types)], _VECTOR.names)
+
+    vectors = stored(texts.mapInArrow(examples, "kind int, doc_id long, toxic int, strongest int, size long, number binary, weight binary"), "examples")
+    heads = vectors.select("kind", "doc_id", "toxic", "strongest", "size").toPandas()
+    bare = heads.loc[(heads["kind"] == 1) & (heads["size"] == 0), "toxic"].tolist()
+    # Examples with the same strongest feature stand together, so that few blocks have high bounds.
+    heads = heads[heads["size"] > 0].sort_values(["strongest", "doc_id", "toxic"])
+    ordered = [heads[heads["kind"] == kind] for kind in (0, 1)]
+    ranges = [max(1, -(-int(x["size"].sum()) // PIECE)) for x in ordered]
+    widths = [max(1, -(-len(idf) // r)) for idf, r in zip((telling, idfs[1]), ranges)]
+    by_id = [np.argsort(x["doc_id"].to_numpy(), kind="stable") for x in ordered]
+    ids = [x["doc_id"].to_numpy()[o] for x, o in zip(ordered, by_id)]
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                rows = batch.slice(a, 500).to_pylist()
+                for kind in (0, 1):
+                    mine = [r for r in rows if r["kind"] == kind and r["size"]]
+                    if not mine:
+                        continue
+                    number, weight = (np.concatenate([np.frombuffer(r[c], t) for r in mine]) for c, t in (("number", np.int32), ("weight", np.float32)))
+                    example = by_id[kind][np.searchsorted(ids[kind], [r["doc_id"] for r in mine])]
+                    example = np.repeat(example.astype(np.int32), [r["size"] for r in mine])
+                    order, begins = groups(number // widths[kind])
+                    out = [(kind << 32 | int(number[at[0]] // widths[kind]), *(x[at].tobytes() for x in (number, example, weight))) for at in np.split(order, begins[1:-1])]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["cell", "number", "example", "weight"])
+
+    def merged(cell: pa.Table) -> Iterator[pa.RecordBatch]:
+        key = cell.column("cell")[0].as_py()
+        width, part = widths[key >> 32], key & 0xFFFFFFFF
+        arrays = [np.concatenate([np.frombuffer(x, t) for x in cell.column(c).to_pylist()]) for c, t in (("number", np.int32), ("example", np.int32), ("weight", np.float32))]
+        piece = postings(*arrays, part * width, min((part + 1) * width, len((telling, idfs[1])[key >> 32])))
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (key, *piece)], ["cell", "size", "example", "weight"])
+
+    pieces = compare(vectors.mapInArrow(dealt, "cell long, number binary, example binary, weight binary"), merged, "cell long, size binary, example binary, weight binary")
+    got = {}
+    for row in pieces.toLocalIterator():
+        got[row["cell"]] = tuple(bytes(row[c]) for c in ("size", "example", "weight"))
+    indexes = []
+    for kind, rows in enumerate(ordered):
+        size = len((telling, idfs[1])[kind])
+        firsts = range(0, size, widths[kind])
+        made = [got.get(kind << 32 | r, (bytes(4 * (min(f + widths[kind], size) - f)), b"", b"")) for r, f in enumerate(firsts)]
+        indexes.append(Index(idfs[kind], made=(rows["doc_id"].to_numpy(), rows["toxic"].to_numpy(), made)))
+    return indexes, bare
+
+
 def _own_votes(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = part.column("doc_id").cast(pa.int64()).to_pylist()
-                vectors = zip(ids, part.column("toxic").to_pylist(), model.vocabulary.vectors(part.column("text")))
-                found = [(model.vote(*x, own=i)[0], float(t)) for i, t, x in vectors if len(x[0])]
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.float64()) for k in (0, 1)], ["vote", "label"])
+                vectors = list(model.vocabulary.vectors(part.column("text")))
+                some = [r for r, x in enumerate(vectors) if len(x[0])]
+                ids, labels = part.column("doc_id").cast(pa.int64()).to_pylist(), part.column("toxic").to_pylist()
+                votes, _ = model.votes([vectors[r] for r in some], [ids[r] for r in some])
+                yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array([float(labels[r]) for r in some], pa.float64())], ["vote", "label"])
 
     return run
 
@@ -346,10 +474,12 @@ def score_toxicity(documents: DataFrame, model: Model, evidence: int = 3) -> Dat
                 score = np.full(part.num_rows, model.empty_rate)
                 near: list = [[]] * part.num_rows
                 cosines: list = [[]] * part.num_rows
-                for r, (number, count, rest) in enumerate(model.vocabulary.vectors(part.column("text"))):
-                    if len(model.vocabulary.names) and (len(number) or rest):
-                        vote, best, cosine = model.vote(number, count, rest)
-                        score[r] = model.calibrated(np.array([vote]))[0]
+                vectors = list(model.vocabulary.vectors(part.column("text"))) if learned else []
+                some = [r for r, x in enumerate(vectors) if len(x[0]) or x[2]]
+                if some:
+                    votes, found = model.votes([vectors[r] for r in some])
+                    score[some] = model.calibrated(votes)
+                    for r, (best, cosine) in zip(some, found):
                         near[r], cosines[r] = model.index.docs[best[:evidence]].tolist(), cosine[:evidence].tolist()
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -359,6 +489,7 @@ def score_toxicity(documents: DataFrame, model: Model, evidence: int = 3) -> Dat
                     ["doc_id", "score", "predicted", "evidence", "evidence_cosine"],
                 )
 
+    learned = len(model.vocabulary.names) > 0
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = rows.mapInArrow(run, "doc_id long, score double, predicted int, evidence array<long>, evidence_cosine array<double>")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence", "evidence_cosine")
