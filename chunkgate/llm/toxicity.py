@@ -59,7 +59,6 @@ HELD_OUT = 2
 PREDICT_FROM = 0.3
 
 _U = np.uint64
-_VECTOR = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("toxic", pa.int32()), ("strongest", pa.int32()), ("size", pa.int64()), ("number", pa.binary()), ("weight", pa.binary())])
 _SEPARATES = np.ones(256, bool)
 for _a, _b in ((48, 58), (65, 91), (97, 123), (128, 256)):
     _SEPARATES[_a:_b] = False
@@ -132,22 +131,21 @@ class Index:
     """Examples by feature, in blocks with their largest weights.
 
     ``pieces`` hold the postings by feature and example: for each range of features the number of
-    postings of each, their examples and their weights, as bytes. Only these travel; ``opened`` makes
-    the arrays of a search from them, once in each worker.
+    postings of each, their examples and their counts, as bytes. Only these travel; ``opened`` makes
+    the arrays of a search from them, once in each worker. ``only``: the features that count, or all.
     """
 
-    def __init__(self, idf: np.ndarray, rows: list[tuple] = (), k: int = NEIGHBOURS, made: tuple | None = None) -> None:
-        self.idf, self.k = idf, k
+    def __init__(self, idf: np.ndarray, rows: list[tuple] = (), k: int = NEIGHBOURS, made: tuple | None = None, only: np.ndarray | None = None) -> None:
+        self.idf, self.k, self.only = idf, k, only
         if made is None:
-            vectors = [(doc, label, number, self.weights(number, count).astype(np.float32)) for doc, label, number, count, *_ in rows]
-            vectors.sort(key=lambda x: (int(x[2][x[3].argmax()]), x[0], x[1]))
-            number, weight = (np.concatenate([x[c] for x in vectors]) if vectors else np.zeros(0, t) for c, t in ((2, np.int32), (3, np.float32)))
-            example = np.repeat(np.arange(len(vectors)), [len(x[2]) for x in vectors])
-            made = [x[0] for x in vectors], [x[1] for x in vectors], [postings(number, example, weight, 0, len(idf))]
+            vectors = sorted(((strongest(self.weights(number, count), number), doc, label, number, count) for doc, label, number, count, *_ in rows), key=lambda x: x[:3])
+            number, count = (np.concatenate([x[c] for x in vectors] or [np.zeros(0, np.int64)]) for c in (3, 4))
+            example = np.repeat(np.arange(len(vectors)), [len(x[3]) for x in vectors])
+            made = [x[1] for x in vectors], [x[2] for x in vectors], [postings(number, example, count, 0, len(idf))]
         self.docs, self.labels, self.pieces = np.array(made[0], np.int64), np.array(made[1], np.float64), made[2]
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "opened"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("opened", "at")}
 
     def weights(self, number: np.ndarray, count: np.ndarray, rest: float = 0.0) -> np.ndarray:
         w = (1 + np.log(count)) * self.idf[number]
@@ -155,7 +153,12 @@ class Index:
 
     @cached_property
     def opened(self) -> Opened:
-        return Opened(self.pieces, len(self.idf), len(self.docs))
+        return Opened(self)
+
+    @cached_property
+    def at(self) -> dict[int, int]:
+        """The place of each example by its doc_id."""
+        return {int(d): k for k, d in enumerate(self.docs)}
 
     def nearest(self, number: np.ndarray, count: np.ndarray, without: int = -1, rest: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """The examples nearest to a text and their cosines, the highest first (ties: the earlier example).
@@ -173,33 +176,54 @@ class Index:
         return out
 
 
-def postings(number: np.ndarray, example: np.ndarray, weight: np.ndarray, first: int, last: int) -> tuple[bytes, bytes, bytes]:
+def strongest(weight: np.ndarray, number: np.ndarray) -> int:
+    """The feature with the largest weight, -1 for no features. Neighbours by it stand together, so that few blocks have high bounds."""
+    return int(number[weight.argmax()]) if len(number) else -1
+
+
+def small(x: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold the largest."""
+    return x.astype(np.min_scalar_type(int(x.max()))).tobytes() if len(x) else b""
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    """``n`` numbers that ``small`` wrote."""
+    return np.frombuffer(data, f"u{len(data) // n}") if n else np.zeros(0, np.uint8)
+
+
+def postings(number: np.ndarray, example: np.ndarray, count: np.ndarray, first: int, last: int) -> tuple[int, bytes, bytes, bytes]:
     """A piece of an index: the features from ``first`` up to ``last``."""
     order = np.lexsort((example, number))
-    sizes = np.bincount(number - first, minlength=last - first)
-    return sizes.astype(np.int32).tobytes(), example[order].astype(np.int32).tobytes(), weight[order].astype(np.float32).tobytes()
+    return len(order), np.bincount(number - first, minlength=last - first).astype(np.int32).tobytes(), small(example[order]), small(count[order])
 
 
 class Opened:
     """An index as arrays. Features of the most examples are held as a matrix for each block, the others as postings."""
 
-    def __init__(self, pieces: list[tuple], n_features: int, n: int) -> None:
-        size, example, weight = (np.concatenate([np.zeros(0, t), *(np.frombuffer(p[c], t) for p in pieces)]) for c, t in enumerate((np.int32, np.int32, np.float32)))
-        self.n, self.n_blocks = n, -(-n // BLOCK)
-        self.first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    def __init__(self, index: Index) -> None:
+        n = len(index.docs)
+        size = np.concatenate([np.frombuffer(p[1], np.int32) for p in index.pieces]) if index.pieces else np.zeros(0, np.int32)
+        example = np.concatenate([np.zeros(0, np.int32), *(unpacked(p[2], p[0]).astype(np.int32) for p in index.pieces)])
+        weight = np.concatenate([np.zeros(0, np.float32), *((1 + np.log(unpacked(p[3], p[0]).astype(np.float64))).astype(np.float32) for p in index.pieces)])
+        if index.only is not None:
+            counts = np.repeat(index.only, size)
+            size, example, weight = np.where(index.only, size, 0), example[counts], weight[counts]
+        weight *= np.repeat(index.idf[: len(size)].astype(np.float32), size)
+        weight /= np.sqrt(np.bincount(example, weight.astype(np.float64) ** 2, n)).astype(np.float32)[example]
+        self.n_blocks = -(-n // BLOCK)
+        first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         common = np.sort(np.argsort(-size, kind="stable")[:HEAD])
         common = common[size[common] > 1]
-        self.place = np.full(n_features, -1, np.int32)
+        self.place = np.full(len(size), -1, np.int32)
         self.place[common] = np.arange(len(common))
-        at = _spread(self.first[common], self.first[common + 1])
+        at = _spread(first[common], first[common + 1])
         self.head = np.zeros((self.n_blocks, len(common), BLOCK), np.float32)
         self.head[example[at] // BLOCK, np.repeat(np.arange(len(common)), size[common]), example[at] % BLOCK] = weight[at]
         self.most = np.ascontiguousarray(self.head.max(axis=2).T.astype(np.float64))
         # The matrix holds the common features: their postings are not needed twice.
         rare = np.ones(len(example), bool)
         rare[at] = False
-        size[common] = 0
-        self.first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        self.first = np.concatenate([[0], np.cumsum(np.where(self.place < 0, size, 0), dtype=np.int64)])
         self.example, self.weight = example[rare], weight[rare]
 
     def nearest(self, numbers: list[np.ndarray], weights: list[np.ndarray], without: list[int], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -262,24 +286,13 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([(p[2] + p[3]) / 2 for p in pools]), np.array([(p[0] + 0.25) / (p[1] + 0.5) for p in pools])
 
 
-@dataclass
-class Learned:
-    """What each worker needs of the examples; its size is bounded by the sample."""
-
-    vocabulary: Vocabulary
-    index: Index
-    #: For each feature its number among the telling ones, or -1.
-    telling: np.ndarray
-    telling_index: Index
-
-    @cached_property
-    def at(self) -> tuple[dict, dict]:
-        return tuple({int(d): k for k, d in enumerate(x.docs)} for x in (self.index, self.telling_index))
-
-
 @dataclass
 class Model:
-    shared: Broadcast
+    """Vocabulary and indexes are broadcast; their size is bounded by the sample."""
+
+    words: Broadcast
+    #: The index over all features and that over the telling ones, which share their postings.
+    indexes: Broadcast
     base: float
     empty_rate: float
     steps: np.ndarray
@@ -287,26 +300,22 @@ class Model:
 
     @property
     def vocabulary(self) -> Vocabulary:
-        return self.shared.value.vocabulary
+        return self.words.value
 
     @property
     def index(self) -> Index:
-        return self.shared.value.index
+        return self.indexes.value[0]
 
     def votes(self, vectors: list[tuple], own: list[int | None] | None = None) -> tuple[np.ndarray, list]:
         """The votes on texts, and the nearest examples of each with their cosines. ``own``: doc_ids, each left out of its own vote."""
-        learned = self.shared.value
-        at, told_at = ([x.get(i, -1) for i in own or [None] * len(vectors)] for x in learned.at)
-        near = learned.index.nearest_of(vectors, at)
-        whole = np.array([_share(learned.index, *x, self.base) for x in near])
-        told, rows = [], []
-        for r, (number, count, _) in enumerate(vectors):
-            mine = learned.telling[number]
-            if (mine >= 0).any():
-                rows.append(r)
-                told.append((mine[mine >= 0], count[mine >= 0], 0.0))
+        index, telling = self.indexes.value
+        at = [index.at.get(i, -1) for i in own or [None] * len(vectors)]
+        near = index.nearest_of(vectors, at)
+        whole = np.array([_share(index, *x, self.base) for x in near])
+        told = [(number[telling.only[number]], count[telling.only[number]], 0.0) for number, count, _ in vectors]
+        rows = [r for r, x in enumerate(told) if len(x[0])]
         some = np.full(len(vectors), self.empty_rate)
-        some[rows] = [_share(learned.telling_index, *x, self.empty_rate) for x in learned.telling_index.nearest_of(told, [told_at[r] for r in rows])]
+        some[rows] = [_share(telling, *x, self.empty_rate) for x in telling.nearest_of([told[r] for r in rows], [at[r] for r in rows])]
         return _pooled(whole, some), near
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
@@ -375,81 +384,64 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
         found = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
         df[found["number"].to_numpy()] = found["n"].to_numpy()
         del found
-    vocabulary = Vocabulary(names, np.log((1 + df[-1]) / (1 + df[:-1])) + 1)
-    telling = np.full(len(names), -1, np.int32)
-    telling[np.searchsorted(names, chosen_names)] = np.arange(len(chosen_names))
-    indexes, bare = _built(texts, vocabulary, telling)
-    shared = documents.sparkSession.sparkContext.broadcast(Learned(vocabulary, indexes[0], telling, indexes[1]))
-    model = Model(shared, float(base), float((sum(bare) + base) / (len(bare) + 1)), np.zeros(0), np.zeros(0))
+    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
+    words = documents.sparkSession.sparkContext.broadcast(Vocabulary(names, idf))
+    index, bare = _built(texts, words, np.isin(names, chosen_names))
+    telling = Index(idf[: len(names)], made=(index.docs, index.labels, index.pieces), only=np.isin(names, chosen_names))
+    indexes = documents.sparkSession.sparkContext.broadcast((index, telling))
+    model = Model(words, indexes, float(base), float((sum(bare) + base) / (len(bare) + 1)), np.zeros(0), np.zeros(0))
     if len(names):
-        votes = texts.repartition(max(1, -(-n // 500)), "doc_id").mapInArrow(_own_votes(model), "vote double, label double").toPandas()
+        votes = texts.mapInArrow(_own_votes(model), "vote double, label double").toPandas()
         model.steps, model.rates = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
     return model
 
 
-def _built(texts: DataFrame, vocabulary: Vocabulary, telling: np.ndarray) -> tuple[list[Index], list[int]]:
-    """The indexes over all and over the telling features, and the labels of the examples without the latter.
+def _built(texts: DataFrame, words: Broadcast, telling: np.ndarray) -> tuple[Index, list[int]]:
+    """The index of the examples, and the labels of those without telling features.
 
     Tasks make the vectors and sort the postings; the driver sees one short row for each example and the finished pieces.
     """
-    idfs = vocabulary.idf, vocabulary.idf[: len(telling)][telling >= 0]
-    empty = [Index(idf) for idf in idfs]
+    n_features, idf = len(telling), words.value.idf[: len(telling)]
+    told = np.packbits(telling)
 
-    def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, mine = words.value, np.unpackbits(told, count=n_features).astype(bool)
+        empty = Index(vocabulary.idf)
         for batch in batches:
             for part in slices(batch, "text"):
-                out = []
-                for doc, toxic, (number, count, _) in zip(part.column("doc_id").to_pylist(), part.column("toxic").to_pylist(), vocabulary.vectors(part.column("text"))):
-                    mine = telling[number]
-                    for kind, (a, c) in enumerate(((number, count), (mine[mine >= 0], count[mine >= 0]))):
-                        w = empty[kind].weights(a, c)
-                        out.append((kind, int(doc), int(toxic), int(a[w.argmax()]) if len(a) else -1, len(a), a.astype(np.int32).tobytes(), w.astype(np.float32).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), _VECTOR.types)], _VECTOR.names)
-
-    vectors = stored(texts.mapInArrow(examples, "kind int, doc_id long, toxic int, strongest int, size long, number binary, weight binary"), "examples")
-    heads = vectors.select("kind", "doc_id", "toxic", "strongest", "size").toPandas()
-    bare = heads.loc[(heads["kind"] == 1) & (heads["size"] == 0), "toxic"].tolist()
-    # Examples with the same strongest feature stand together, so that few blocks have high bounds.
-    heads = heads[heads["size"] > 0].sort_values(["strongest", "doc_id", "toxic"])
-    ordered = [heads[heads["kind"] == kind] for kind in (0, 1)]
-    ranges = [max(1, -(-int(x["size"].sum()) // PIECE)) for x in ordered]
-    widths = [max(1, -(-len(idf) // r)) for idf, r in zip((telling, idfs[1]), ranges)]
-    by_id = [np.argsort(x["doc_id"].to_numpy(), kind="stable") for x in ordered]
-    ids = [x["doc_id"].to_numpy()[o] for x, o in zip(ordered, by_id)]
+                found = [(strongest(empty.weights(a, c), a), len(a), int(mine[a].sum())) for a, c, _ in vocabulary.vectors(part.column("text"))]
+                own = [part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int32())]
+                yield pa.RecordBatch.from_arrays(own + [pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["doc_id", "toxic", "strongest", "size", "told"])
+
+    rows = texts.mapInArrow(heads, "doc_id long, toxic int, strongest long, size long, told long").toPandas()
+    bare = rows.loc[rows["told"] == 0, "toxic"].tolist()
+    rows = rows[rows["size"] > 0].sort_values(["strongest", "doc_id"])
+    width = max(1, -(-n_features // max(1, -(-int(rows["size"].sum()) // PIECE))))
+    by_id = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
+    ids = rows["doc_id"].to_numpy()[by_id]
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                rows = batch.slice(a, 500).to_pylist()
-                for kind in (0, 1):
-                    mine = [r for r in rows if r["kind"] == kind and r["size"]]
-                    if not mine:
-                        continue
-                    number, weight = (np.concatenate([np.frombuffer(r[c], t) for r in mine]) for c, t in (("number", np.int32), ("weight", np.float32)))
-                    example = by_id[kind][np.searchsorted(ids[kind], [r["doc_id"] for r in mine])]
-                    example = np.repeat(example.astype(np.int32), [r["size"] for r in mine])
-                    order, begins = groups(number // widths[kind])
-                    out = [(kind << 32 | int(number[at[0]] // widths[kind]), *(x[at].tobytes() for x in (number, example, weight))) for at in np.split(order, begins[1:-1])]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["cell", "number", "example", "weight"])
+            for part in slices(batch, "text"):
+                found = [(doc, a, c) for doc, (a, c, _) in zip(part.column("doc_id").to_pylist(), words.value.vectors(part.column("text"))) if len(a)]
+                if not found:
+                    continue
+                number, count = (np.concatenate([x[k] for x in found]) for k in (1, 2))
+                example = np.repeat(by_id[np.searchsorted(ids, [x[0] for x in found])], [len(x[1]) for x in found])
+                order, begins = groups(number // width)
+                out = [(int(number[at[0]] // width), len(at), *(small(x[at]) for x in (number % width, example, count))) for at in np.split(order, begins[1:-1])]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["cell", "n", "number", "example", "count"])
 
     def merged(cell: pa.Table) -> Iterator[pa.RecordBatch]:
-        key = cell.column("cell")[0].as_py()
-        width, part = widths[key >> 32], key & 0xFFFFFFFF
-        arrays = [np.concatenate([np.frombuffer(x, t) for x in cell.column(c).to_pylist()]) for c, t in (("number", np.int32), ("example", np.int32), ("weight", np.float32))]
-        piece = postings(*arrays, part * width, min((part + 1) * width, len((telling, idfs[1])[key >> 32])))
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (key, *piece)], ["cell", "size", "example", "weight"])
-
-    pieces = compare(vectors.mapInArrow(dealt, "cell long, number binary, example binary, weight binary"), merged, "cell long, size binary, example binary, weight binary")
-    got = {}
-    for row in pieces.toLocalIterator():
-        got[row["cell"]] = tuple(bytes(row[c]) for c in ("size", "example", "weight"))
-    indexes = []
-    for kind, rows in enumerate(ordered):
-        size = len((telling, idfs[1])[kind])
-        firsts = range(0, size, widths[kind])
-        made = [got.get(kind << 32 | r, (bytes(4 * (min(f + widths[kind], size) - f)), b"", b"")) for r, f in enumerate(firsts)]
-        indexes.append(Index(idfs[kind], made=(rows["doc_id"].to_numpy(), rows["toxic"].to_numpy(), made)))
-    return indexes, bare
+        part, n = cell.column("cell")[0].as_py(), cell.column("n").to_pylist()
+        arrays = [np.concatenate([unpacked(x, k).astype(np.int64) for x, k in zip(cell.column(c).to_pylist(), n)]) for c in ("number", "example", "count")]
+        piece = postings(*arrays, 0, min(width, n_features - part * width))
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (part, *piece)], ["cell", "n", "size", "example", "count"])
+
+    pieces = compare(texts.mapInArrow(dealt, "cell long, n long, number binary, example binary, count binary"), merged, "cell long, n long, size binary, example binary, count binary")
+    got = {r["cell"]: (r["n"], *(bytes(r[c]) for c in ("size", "example", "count"))) for r in pieces.toLocalIterator()} if n_features else {}
+    made = [got.get(k, (0, bytes(4 * (min(f + width, n_features) - f)), b"", b"")) for k, f in enumerate(range(0, n_features, width))]
+    return Index(idf, made=(rows["doc_id"].to_numpy(), rows["toxic"].to_numpy(), made)), bare
 
 
 def _own_votes(model: Model):
