@@ -1,15 +1,14 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Features are words (runs of letters, digits and bytes above 127, ASCII capitals made small) and the
-first 4, 5 and 6 bytes of longer ones, so that inflected forms meet. At most ``SAMPLE_ROWS`` labelled
-documents, clean ones too, are the examples, each with all its features; document frequencies are
-counted over all documents. A text's features that no example has count in its norm, with the document
+Vectors are of words (runs of letters, digits and bytes above 127, ASCII capitals made small). At most ``SAMPLE_ROWS`` labelled
+documents, clean ones too, are the examples, each with all its words; document frequencies are
+counted over all documents. A text's words that no example has count in its norm, with the document
 frequency of their hashed bucket; they are in no product, so the order of examples is exact.
 
 The index keeps, for each feature and block of examples, the largest weight in the block. A query adds
 these up to a bound for each block and opens the blocks whose bound can reach the worst of its
 ``NEIGHBOURS`` best: the result is that of comparing with every example. Texts of a slice are searched together. Their votes, weighted by cosine and drawn to the base rate, are pooled (as odds) with
-those of a second index over the telling features only (in toxic examples too often for chance, by a bound
+those of a second index over the telling features only (words and first 4, 5 and 6 bytes, in toxic examples too often for chance, by a bound
 on the share of false ones) and mapped to probabilities by an isotonic fit on the examples, each without itself.
 
 Defined results: null and empty texts, and texts without words, get the rate of examples without telling
@@ -47,6 +46,8 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Features, those of the most examples, that an opened index holds as matrices; the others are postings. No result depends on it.
 HEAD = 1024
+#: They are in at least one of so many examples.
+DENSE = 16
 #: Texts that are compared together.
 TOGETHER = 128
 #: Postings in a piece of an index, on average.
@@ -71,12 +72,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string")), F.lit(4)) == HELD_OUT, F.lit(False))
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Name and word of all features: each word itself and its beginnings."""
-    small = _SMALL[words.data]
-    names, at = [hash_words(words, small)], [np.arange(len(words.start))]
+def beginnings(words: Words, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Name and word of the beginnings of longer words. ``small``: the bytes of the texts with capitals made small."""
     padded = np.concatenate([small, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(small) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))
+    names, at = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
     for size in PREFIXES:
         longer = np.flatnonzero(words.end - words.start > size)
         names.append(mix((eight[words.start[longer]] & _U((1 << 8 * size) - 1)) * _U(8) + _U(size)))
@@ -84,41 +84,59 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(names), np.concatenate(at)
 
 
-def row_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, name and count of the distinct features of each text, by row."""
-    words = split_words(texts, _SEPARATES)
-    name, at = features(words)
-    row = np.searchsorted(words.first, at, "right") - 1
+def counted(row: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, and how often each is there."""
     order = np.lexsort((name, row))
     row, name = row[order], name[order]
     begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1]))) if len(row) else np.zeros(0, np.int64)
     return row[begins], name[begins], np.diff(np.append(begins, len(row)))
 
 
-def places(names: np.ndarray, name: np.ndarray) -> np.ndarray:
-    """The number of each name among ``names``, which are in order; for others ``len(names)`` and their bucket."""
+def row_features(texts: pa.Array) -> tuple[tuple, tuple]:
+    """Row and name of all words and of all their beginnings."""
+    words = split_words(texts, _SEPARATES)
+    small = _SMALL[words.data]
+    row = words.rows
+    name, at = beginnings(words, small)
+    return (row, hash_words(words, small)), (row[at], name)
+
+
+def places(names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each name among ``names``, which are in order, and whether it is there."""
     number = np.searchsorted(names, name)
-    known = names[np.minimum(number, len(names) - 1)] == name if len(names) else np.zeros(len(name), bool)
-    return np.where(known, number, len(names) + (name % _U(REST_BUCKETS)).astype(np.int64))
+    return number, names[np.minimum(number, len(names) - 1)] == name if len(names) else np.zeros(len(name), bool)
 
 
 @dataclass
 class Vocabulary:
-    """Features of the examples by name, in order; idf of each and then of each bucket of other features."""
+    """Words of the examples and telling features by name, in order, each with its idf; idf of each bucket of other words."""
 
     names: np.ndarray
     idf: np.ndarray
-
-    def vectors(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-        """For each text the numbers and counts of features that examples have, and the square of the other weights."""
-        row, name, count = row_features(texts)
-        number = places(self.names, name)
-        known = number < len(self.names)
-        rest = np.bincount(row[~known], ((1 + np.log(count[~known])) * self.idf[number[~known]]) ** 2, len(texts))
-        row, number, count = row[known], number[known], count[known]
-        begins = np.searchsorted(row, np.arange(len(texts) + 1))
-        for r, (a, b) in enumerate(zip(begins[:-1], begins[1:])):
-            yield number[a:b], count[a:b], float(rest[r])
+    rest_idf: np.ndarray
+    telling: np.ndarray
+    telling_idf: np.ndarray
+
+    def numbered(self, texts: pa.Array) -> tuple[tuple, tuple, tuple]:
+        """Row, number and count of the words that examples have, of other words by their buckets, and of telling features."""
+        (row, name), (more_row, more) = row_features(texts)
+        row, name, count = counted(row, name)
+        number, known = places(self.names, name)
+        other = ~known
+        rest = row[other], (name[other] % _U(REST_BUCKETS)).astype(np.int64), count[other]
+        word, telling = places(self.telling, name)
+        begun, too = places(self.telling, more)
+        more_row, begun, more_count = counted(more_row[too], begun[too])
+        told = [np.concatenate([x[telling], y]) for x, y in ((row, more_row), (word, begun), (count, more_count))]
+        order = np.argsort(told[0], kind="stable")
+        return (row[known], number[known], count[known]), rest, tuple(x[order] for x in told)
+
+    def vectors(self, texts: pa.Array) -> list[tuple]:
+        """For each text: numbers and counts of words that examples have, the square of the other words' weights, numbers and counts of telling features."""
+        words, (row, bucket, count), told = self.numbered(texts)
+        rest = np.bincount(row, ((1 + np.log(count)) * self.rest_idf[bucket]) ** 2, len(texts)).tolist()
+        (a, b), (c, d) = ([np.split(x, np.searchsorted(r, np.arange(1, len(texts)))) for x in y] for r, *y in (words, told))
+        return list(zip(a, b, rest, c, d))
 
 
 def _spread(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -132,11 +150,11 @@ class Index:
 
     ``pieces`` hold the postings by feature and example: for each range of features the number of
     postings of each, their examples and their counts, as bytes. Only these travel; ``opened`` makes
-    the arrays of a search from them, once in each worker. ``only``: the features that count, or all.
+    the arrays of a search from them, once in each worker.
     """
 
-    def __init__(self, idf: np.ndarray, rows: list[tuple] = (), k: int = NEIGHBOURS, made: tuple | None = None, only: np.ndarray | None = None) -> None:
-        self.idf, self.k, self.only = idf, k, only
+    def __init__(self, idf: np.ndarray, rows: list[tuple] = (), k: int = NEIGHBOURS, made: tuple | None = None) -> None:
+        self.idf, self.k = idf, k
         if made is None:
             vectors = sorted(((strongest(self.weights(number, count), number), doc, label, number, count) for doc, label, number, count, *_ in rows), key=lambda x: x[:3])
             number, count = (np.concatenate([x[c] for x in vectors] or [np.zeros(0, np.int64)]) for c in (3, 4))
@@ -205,21 +223,18 @@ class Opened:
         size = np.concatenate([np.frombuffer(p[1], np.int32) for p in index.pieces]) if index.pieces else np.zeros(0, np.int32)
         example = np.concatenate([np.zeros(0, np.int32), *(unpacked(p[2], p[0]).astype(np.int32) for p in index.pieces)])
         weight = np.concatenate([np.zeros(0, np.float32), *((1 + np.log(unpacked(p[3], p[0]).astype(np.float64))).astype(np.float32) for p in index.pieces)])
-        if index.only is not None:
-            counts = np.repeat(index.only, size)
-            size, example, weight = np.where(index.only, size, 0), example[counts], weight[counts]
         weight *= np.repeat(index.idf[: len(size)].astype(np.float32), size)
         weight /= np.sqrt(np.bincount(example, weight.astype(np.float64) ** 2, n)).astype(np.float32)[example]
         self.n_blocks = -(-n // BLOCK)
         first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         common = np.sort(np.argsort(-size, kind="stable")[:HEAD])
-        common = common[size[common] > 1]
+        common = common[size[common] * DENSE >= max(n, 1)]
         self.place = np.full(len(size), -1, np.int32)
         self.place[common] = np.arange(len(common))
         at = _spread(first[common], first[common + 1])
-        self.head = np.zeros((self.n_blocks, len(common), BLOCK), np.float32)
+        self.head = np.zeros((self.n_blocks, len(common), BLOCK))
         self.head[example[at] // BLOCK, np.repeat(np.arange(len(common)), size[common]), example[at] % BLOCK] = weight[at]
-        self.most = np.ascontiguousarray(self.head.max(axis=2).T.astype(np.float64))
+        self.most = np.ascontiguousarray(self.head.max(axis=2).T)
         # The matrix holds the common features: their postings are not needed twice.
         rare = np.ones(len(example), bool)
         rare[at] = False
@@ -238,10 +253,13 @@ class Opened:
         asked[text[place >= 0], place[place >= 0]] = q[place >= 0]
         text, number, q = text[place < 0], number[place < 0], q[place < 0]
         begin, end = self.first[number], self.first[number + 1]
-        at = _spread(begin, end)
         width = n_blocks * BLOCK
-        score = np.bincount(np.repeat(text * width, end - begin) + self.example[at], np.repeat(q, end - begin) * self.weight[at], m * width)
-        score = score.astype(float).reshape(m, n_blocks, BLOCK)
+        score = np.zeros((m, n_blocks, BLOCK))
+        ends = np.searchsorted(text, np.arange(m + 1))
+        for r, (x, y) in enumerate(zip(ends[:-1], ends[1:])):  # one text at a time: its sums stay in the cache
+            at = _spread(begin[x:y], end[x:y])
+            if len(at):
+                score[r] = np.bincount(self.example[at], np.repeat(q[x:y], end[x:y] - begin[x:y]) * self.weight[at], width).reshape(n_blocks, BLOCK)
         bound = score.max(axis=2) + asked @ self.most
         out = np.array(without)
         left_out = np.flatnonzero(out >= 0)
@@ -249,7 +267,7 @@ class Opened:
         open_, best = np.zeros((m, n_blocks), bool), np.zeros((m, k))
 
         def look(block: int, rows: np.ndarray) -> None:
-            score[rows, block] += asked[rows] @ self.head[block].astype(np.float64)
+            score[rows, block] += asked[rows] @ self.head[block]
             open_[rows, block] = True
             both = np.concatenate([best[rows], score[rows, block]], axis=1)
             best[rows] = np.partition(both, BLOCK, axis=1)[:, BLOCK:]
@@ -291,7 +309,7 @@ class Model:
     """Vocabulary and indexes are broadcast; their size is bounded by the sample."""
 
     words: Broadcast
-    #: The index over all features and that over the telling ones, which share their postings.
+    #: The index over words and that over telling features.
     indexes: Broadcast
     base: float
     empty_rate: float
@@ -309,13 +327,12 @@ class Model:
     def votes(self, vectors: list[tuple], own: list[int | None] | None = None) -> tuple[np.ndarray, list]:
         """The votes on texts, and the nearest examples of each with their cosines. ``own``: doc_ids, each left out of its own vote."""
         index, telling = self.indexes.value
-        at = [index.at.get(i, -1) for i in own or [None] * len(vectors)]
-        near = index.nearest_of(vectors, at)
+        own = own or [None] * len(vectors)
+        near = index.nearest_of([x[:3] for x in vectors], [index.at.get(i, -1) for i in own])
         whole = np.array([_share(index, *x, self.base) for x in near])
-        told = [(number[telling.only[number]], count[telling.only[number]], 0.0) for number, count, _ in vectors]
-        rows = [r for r, x in enumerate(told) if len(x[0])]
+        rows = [r for r, x in enumerate(vectors) if len(x[3])]
         some = np.full(len(vectors), self.empty_rate)
-        some[rows] = [_share(telling, *x, self.empty_rate) for x in telling.nearest_of([told[r] for r in rows], [at[r] for r in rows])]
+        some[rows] = [_share(telling, *x, self.empty_rate) for x in telling.nearest_of([(*vectors[r][3:], 0.0) for r in rows], [telling.at.get(own[r], -1) for r in rows])]
         return _pooled(whole, some), near
 
     def calibrated(self, votes: np.ndarray) -> np.ndarray:
@@ -334,13 +351,16 @@ def _pooled(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def _vocabulary_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
-            row, name, _ = row_features(part.column("text"))
+            found = [counted(*x)[:2] for x in row_features(part.column("text"))]
+            row, name = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+            is_word = np.arange(len(row)) < len(found[0][0])
             toxic = part.column("toxic").to_numpy().astype(np.int64)[row]
             order, begins = groups(name)
-            keys = name[order[begins[:-1]]]
+            first = order[begins[:-1]]
             total = np.concatenate([[0], np.cumsum(toxic[order])])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.diff(begins)), pa.array(total[begins[1:]] - total[begins[:-1]])], ["name", "n", "n_toxic"]
+                [pa.array(name[first].view(np.int64)), pa.array(is_word[first]), pa.array(np.diff(begins)), pa.array(total[begins[1:]] - total[begins[:-1]])],
+                ["name", "is_word", "n", "n_toxic"],
             )
 
 
@@ -358,11 +378,13 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
     texts = stored(sampled_texts(documents, sample), "labelled")
     n, n_toxic = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = n_toxic / n if n else 0.0
-    counts = texts.mapInArrow(_vocabulary_counts, "name long, n long, n_toxic long").groupBy("name").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("t"))
+    counts = texts.mapInArrow(_vocabulary_counts, "name long, is_word boolean, n long, n_toxic long").groupBy("name").agg(
+        F.max("is_word").alias("is_word"), F.sum("n").alias("n"), F.sum("n_toxic").alias("t")
+    )
     names = chosen_names = np.zeros(0, np.uint64)
     if 0 < n_toxic < n:
         counts = stored(counts, "features")
-        names = np.sort(counts.select("name").toArrow()["name"].to_numpy().view(np.uint64))
+        names = np.sort(counts.where("is_word").select("name").toArrow()["name"].to_numpy().view(np.uint64))
         tried = counts.where(F.col("n") >= LEAST)
         above = tried.where((F.col("t") >= LEAST) & (F.col("t") > F.col("n") * base)).withColumn("surprise", _surprise(F.col("t"), F.col("n"), base))
         chosen = above.orderBy(F.desc("surprise"), "name").limit(VOCABULARY).toPandas()
@@ -370,51 +392,57 @@ def fit_toxicity(documents: DataFrame, labels: DataFrame, sample_rows: int = SAM
         fine = np.flatnonzero(by_chance <= FALSE_SHARE * np.arange(1, len(chosen) + 1))
         chosen_names = np.sort(chosen["name"].to_numpy(np.int64)[: fine[-1] + 1 if len(fine) else 0].view(np.uint64))
 
+    # Numbers of words, of buckets of other words, of telling features, and of the rows.
+    ends = np.cumsum([len(names), REST_BUCKETS, len(chosen_names)])
+    plain = Vocabulary(names, None, None, chosen_names, None)
+
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, rows = np.zeros(len(names) + REST_BUCKETS, np.int64), 0
+        found = np.zeros(ends[2] + 1, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                found += np.bincount(places(names, row_features(part.column("text"))[1]), minlength=len(found))
-                rows += part.num_rows
+                known, rest, told = plain.numbered(part.column("text"))
+                number = np.concatenate([known[1], rest[1] + ends[0], told[1] + ends[1]])
+                found += np.bincount(number, minlength=len(found))
+                found[-1] += part.num_rows
         some = np.flatnonzero(found)
-        yield pa.RecordBatch.from_pydict({"number": np.append(some, -1), "n": np.append(found[some], rows)})
+        yield pa.RecordBatch.from_pydict({"number": some, "n": found[some]})
 
-    df = np.zeros(len(names) + REST_BUCKETS + 1, np.int64)
+    df = np.zeros(ends[2] + 1, np.int64)
     if len(names):
         found = documents.select("text").mapInArrow(frequencies, "number long, n long").groupBy("number").agg(F.sum("n").alias("n")).toArrow()
         df[found["number"].to_numpy()] = found["n"].to_numpy()
         del found
-    idf = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32)
-    words = documents.sparkSession.sparkContext.broadcast(Vocabulary(names, idf))
-    index, bare = _built(texts, words, np.isin(names, chosen_names))
-    telling = Index(idf[: len(names)], made=(index.docs, index.labels, index.pieces), only=np.isin(names, chosen_names))
-    indexes = documents.sparkSession.sparkContext.broadcast((index, telling))
-    model = Model(words, indexes, float(base), float((sum(bare) + base) / (len(bare) + 1)), np.zeros(0), np.zeros(0))
+    idf, rest_idf, telling_idf = np.split((np.log((1 + df[-1]) / (1 + df[:-1])) + 1).astype(np.float32), ends[:2])
+    broadcast = documents.sparkSession.sparkContext.broadcast
+    words = broadcast(Vocabulary(names, idf, rest_idf, chosen_names, telling_idf))
+    index, _ = _built(texts, words, 0)
+    telling, bare = _built(texts, words, 3)
+    model = Model(words, broadcast((index, telling)), float(base), float((sum(bare) + base) / (len(bare) + 1)), np.zeros(0), np.zeros(0))
     if len(names):
         votes = texts.mapInArrow(_own_votes(model), "vote double, label double").toPandas()
         model.steps, model.rates = isotonic(votes["vote"].to_numpy(), votes["label"].to_numpy())
     return model
 
 
-def _built(texts: DataFrame, words: Broadcast, telling: np.ndarray) -> tuple[Index, list[int]]:
-    """The index of the examples, and the labels of those without telling features.
+def _built(texts: DataFrame, words: Broadcast, at: int) -> tuple[Index, list[int]]:
+    """The index of the examples, and the labels of those that have none of its features. ``at``: where a vector has them.
 
     Tasks make the vectors and sort the postings; the driver sees one short row for each example and the finished pieces.
     """
-    n_features, idf = len(telling), words.value.idf[: len(telling)]
-    told = np.packbits(telling)
+    idf = words.value.telling_idf if at else words.value.idf
+    n_features = len(idf)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, mine = words.value, np.unpackbits(told, count=n_features).astype(bool)
-        empty = Index(vocabulary.idf)
+        empty = Index(words.value.telling_idf if at else words.value.idf)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [(strongest(empty.weights(a, c), a), len(a), int(mine[a].sum())) for a, c, _ in vocabulary.vectors(part.column("text"))]
+                found = [x[at : at + 2] for x in words.value.vectors(part.column("text"))]
                 own = [part.column("doc_id").cast(pa.int64()), part.column("toxic").cast(pa.int32())]
-                yield pa.RecordBatch.from_arrays(own + [pa.array([x[k] for x in found], pa.int64()) for k in range(3)], ["doc_id", "toxic", "strongest", "size", "told"])
+                tops = [strongest(empty.weights(a, c), a) for a, c in found]
+                yield pa.RecordBatch.from_arrays(own + [pa.array(tops, pa.int64()), pa.array([len(a) for a, _ in found], pa.int64())], ["doc_id", "toxic", "strongest", "size"])
 
-    rows = texts.mapInArrow(heads, "doc_id long, toxic int, strongest long, size long, told long").toPandas()
-    bare = rows.loc[rows["told"] == 0, "toxic"].tolist()
+    rows = texts.mapInArrow(heads, "doc_id long, toxic int, strongest long, size long").toPandas()
+    bare = rows.loc[rows["size"] == 0, "toxic"].tolist()
     rows = rows[rows["size"] > 0].sort_values(["strongest", "doc_id"])
     width = max(1, -(-n_features // max(1, -(-int(rows["size"].sum()) // PIECE))))
     by_id = np.argsort(rows["doc_id"].to_numpy(), kind="stable")
@@ -423,13 +451,13 @@ def _built(texts: DataFrame, words: Broadcast, telling: np.ndarray) -> tuple[Ind
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [(doc, a, c) for doc, (a, c, _) in zip(part.column("doc_id").to_pylist(), words.value.vectors(part.column("text"))) if len(a)]
+                found = [(doc, *x[at : at + 2]) for doc, x in zip(part.column("doc_id").to_pylist(), words.value.vectors(part.column("text"))) if len(x[at])]
                 if not found:
                     continue
                 number, count = (np.concatenate([x[k] for x in found]) for k in (1, 2))
                 example = np.repeat(by_id[np.searchsorted(ids, [x[0] for x in found])], [len(x[1]) for x in found])
                 order, begins = groups(number // width)
-                out = [(int(number[at[0]] // width), len(at), *(small(x[at]) for x in (number % width, example, count))) for at in np.split(order, begins[1:-1])]
+                out = [(int(number[o[0]] // width), len(o), *(small(x[o]) for x in (number % width, example, count))) for o in np.split(order, begins[1:-1])]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], ["cell", "n", "number", "example", "count"])
 
     def merged(cell: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -448,7 +476,7 @@ def _own_votes(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                vectors = list(model.vocabulary.vectors(part.column("text")))
+                vectors = model.vocabulary.vectors(part.column("text"))
                 some = [r for r, x in enumerate(vectors) if len(x[0])]
                 ids, labels = part.column("doc_id").cast(pa.int64()).to_pylist(), part.column("toxic").to_pylist()
                 votes, _ = model.votes([vectors[r] for r in some], [ids[r] for r in some])
@@ -466,7 +494,7 @@ def score_toxicity(documents: DataFrame, model: Model, evidence: int = 3) -> Dat
                 score = np.full(part.num_rows, model.empty_rate)
                 near: list = [[]] * part.num_rows
                 cosines: list = [[]] * part.num_rows
-                vectors = list(model.vocabulary.vectors(part.column("text"))) if learned else []
+                vectors = model.vocabulary.vectors(part.column("text")) if learned else []
                 some = [r for r, x in enumerate(vectors) if len(x[0]) or x[2]]
                 if some:
                     votes, found = model.votes([vectors[r] for r in some])
