@@ -14,7 +14,8 @@ those with one row for each source, bucket total or run of slots.
 
 Defined results: null and empty texts have size 0 and nothing of them is taken. A null source is a
 source of its own, last in order. Repeated rows are laid out each for itself; a null id hashes like
-any other. Extra columns are ignored. An empty table gives an empty result.
+any other. Extra columns are ignored, or come back
+unchanged with the documents of the mix, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkgate.session import scratch_dir
+from chunkgate.llm.carried import carry, unpack
 from chunkgate.sources.tables import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -154,6 +155,7 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     copies = taken.where("words > 0").groupBy("place", "bucket", "pos", "doc_id", "size", "epoch").agg(F.sum("words").alias("words"))
     copies = copies.where("2 * words >= size").groupBy("place", "bucket", "pos", "doc_id", "size").count()
     copies = copies.groupBy("doc_id", "size").agg(F.max("count").alias("copies"))
-    rows = documents.withColumn("_size", word_count(F.col("text")))
+    read = ("doc_id", "source", "text")
+    rows = carry(documents, read).withColumn("_size", word_count(F.col("text")))
     joined = rows.join(copies.withColumnsRenamed({"doc_id": "_id", "size": "_of"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_size") == F.col("_of")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*documents.columns)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*unpack(documents.columns, read))

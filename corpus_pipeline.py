@@ -12,26 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkgate.llm import mixing, neardup_texts, packing, quality, substrings
+from chunkgate.llm.carried import carry, unpack
 from chunkgate.llm.catalog import BYTE_END, BYTE_VOCABULARY
 from chunkgate.session import scratch_dir
 
 
+#: Columns that stages read; whatever others a table has, with whatever names, goes through them unchanged (but n_chars, which follows the text).
+READ = ("doc_id", "text", "source")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the trees, which are grown on the labelled among ``docs``."""
     trees = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judge_quality(docs, trees).where("kept").select(docs.columns)
+    return quality.judge_quality(carry(docs, READ), trees).where("kept").select(unpack(docs.columns, READ))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
-    return neardup_texts.deduplicated(docs)
+    return neardup_texts.deduplicated(carry(docs, READ)).select(unpack(docs.columns, READ))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that a smaller doc_id has too; those of which nothing is left go."""
-    out = substrings.remove_repeats(docs).where("n_words > n_removed")
-    size = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
-    return (out if size is None else out.withColumn("n_chars", size)).select(docs.columns)
+    out = substrings.remove_repeats(carry(docs, READ)).where("n_words > n_removed").select(unpack(docs.columns, READ))
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +45,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences with their ids."""
-    return packing.pack(docs, public_tokenizers.path(BYTE_VOCABULARY), BYTE_END, with_ids=True)
+    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path(BYTE_VOCABULARY), BYTE_END, with_ids=True)
 
 
 STAGES = [

@@ -1,6 +1,7 @@
 """The stages of the pipeline, each held against its operator's brute force on its own input."""
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_operators import BYTES, brute_base, brute_groups, brute_removal, library
 
 import corpus_pipeline
@@ -36,9 +37,23 @@ def test_stages(spark, tmp_path):
 
 
 def test_odd_rows_pass_through(spark, odd, empty):
-    for df in (odd.drop("kept", "n_words"), empty):
+    for df in (odd, empty):
         docs = df
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, docs, SF)
             docs = spark.createDataFrame(out.collect(), out.schema)
     assert np.isfinite(docs.count())
+
+
+CLASHING = ["kept", "score", "n_words", "n_removed", "places", "_tag", "_id", "_of", "copies", "_size", "_copy", "rep", "cell", "rest", "size", "a b", "x.y"]
+
+
+def test_columns_named_like_results_go_through_unchanged(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    own = docs.columns
+    docs = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == own + CLASHING, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in CLASHING), name
