@@ -183,3 +183,15 @@ def test_order_column_follows_the_file_however_it_is_split(spark, folder):
         assert [r["k"] for r in chunk.orderBy("ord").select("k").collect()] == [f"key-{i}" for i in range(20000)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_fingerprint_hashes_the_tokens_of_many_rows_at_once(spark):
+    rows = [(["a", None, "b", "a"],), ([],), (None,), ([None],), (["a", "b"] * 40,)]
+    df = spark.createDataFrame(rows, "t array<string>")
+    found = df.select("t", fingerprint_bits(F.col("t"), 1, 64).alias("b"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan  # not token by token in interpreted expressions
+    by = {repr(r["t"]): r["b"] for r in found.collect()}
+    assert by["None"] is None and by["[]"] == [] and by["[None]"] == [None]
+    assert by[repr(rows[0][0])][-1] is None and len(by[repr(rows[0][0])]) >= 4
+    assert by[repr(rows[4][0])] == brute_bits(rows[4][0], 1, 64)
