@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chunkgate import defaults
 from chunkgate.functions.keys import hash32
@@ -35,9 +38,58 @@ def replicate_terms(n_boot: int, seed: int) -> list[tuple[int, int, int]]:
     return terms
 
 
-def _constant_array(numbers: Sequence[int]) -> Column:
-    """A literal bigint array; the optimiser folds the split and the cast."""
-    return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<bigint>")
+#: Rows and replicates that are drawn together: their hashes stay in a core's cache.
+DRAW_ROWS, DRAW_REPLICATES = 2048, 16
+
+
+def _weights(h1: np.ndarray, h2: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """The weight of each row (columns) in each replicate (rows)."""
+    m = a[:, None] * h1 + b[:, None] * h2 + c[:, None]  # below 2^63
+    # The prime is 2^31 - 1: its multiples of 2^31 count as ones.
+    m = (m & PRIME) + (m >> 31)
+    m = ((m & PRIME) + (m >> 31)).astype(np.uint32)
+    m = np.where(m >= PRIME, m - np.uint32(PRIME), m)
+    weight = np.zeros(m.shape, np.uint8)
+    for limit in limits:
+        weight += m >= limit
+    return weight
+
+
+def _drawn(terms: list[tuple[int, int, int]], by: Sequence[str]):
+    """For the rows of a group, or of a part of one, the sums of weights and of weighted differences in each replicate."""
+    a, b, c = (np.array(column, np.int64) for column in zip(*terms))
+    limits = np.array(poisson_limits(), np.uint32)
+    n = len(terms)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, sums, given, group = np.zeros(n), np.zeros(n), False, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = group or [batch.column(x).slice(0, 1) for x in by]
+            d, h1, h2 = (batch.column(x) for x in ("_d", "_h1", "_h2"))
+            given = given or d.null_count < len(d)
+            d = d.fill_null(0.0).to_numpy(zero_copy_only=False)
+            no_key = h1.is_null().to_numpy(zero_copy_only=False)
+            h1, h2 = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (h1, h2))
+            for at in range(0, len(d), DRAW_ROWS):
+                rows = slice(at, at + DRAW_ROWS)
+                absent = np.flatnonzero(no_key[rows])
+                for r in range(0, n, DRAW_REPLICATES):
+                    some = slice(r, r + DRAW_REPLICATES)
+                    w = _weights(h1[rows], h2[rows], a[some], b[some], c[some], limits)
+                    w[:, absent] = MAX_WEIGHT  # without a key there is no hash below any limit
+                    weights[some] += w.sum(axis=1)
+                    sums[some] += w @ d[rows]
+        if group is None:
+            return
+        first = pa.array(np.zeros(n, np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [*[x.take(first) for x in group], pa.array(np.arange(n, dtype=np.int32)), pa.array(weights), pa.array(sums, mask=np.full(n, not given))],
+            [*by, "replicate", "_w", "_wd"],
+        )
+
+    return run
 
 
 def _dealt_out(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -54,7 +106,7 @@ def _dealt_out(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     large = F.broadcast(hot_keys(grouped, "_g"))
     salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(F.pmod("_h1", "_salts"))
     salted = grouped.join(large, "_g", "left").withColumn("_salt", salt)
-    return salted.repartition(n, *by, "_salt").drop("_g", "_salts", "_salt")
+    return salted.repartition(n, *by, "_salt").drop("_g", "_salts")
 
 
 def bootstrap_deltas(
@@ -75,24 +127,16 @@ def bootstrap_deltas(
     """
     if n_boot < 1:
         raise ValueError("n_boot cannot be below 1")
-    terms = replicate_terms(n_boot, seed)
-    a, b, c = (_constant_array(column) for column in zip(*terms))
     hashed = errors.select(
         *by,
-        F.col(delta).alias("_d"),
+        F.col(delta).cast("double").alias("_d"),
         (hash32(F.col(key).cast("string"), 0) % PRIME).alias("_h1"),
         (hash32(F.col(key).cast("string"), 1) % PRIME).alias("_h2"),
     )
-    drawn = _dealt_out(hashed, by).select("*", F.posexplode(a).alias("replicate", "_a"))
-    index = F.col("replicate")
-    mixed = (F.col("_a") * F.col("_h1") + b[index] * F.col("_h2") + c[index]) % PRIME
-    weight = F.lit(MAX_WEIGHT)
-    for w, limit in reversed(list(enumerate(poisson_limits()))):
-        weight = F.when(F.col("_mixed") < limit, F.lit(w)).otherwise(weight)
-    weighted = drawn.withColumn("_mixed", mixed).withColumn("_w", weight.cast("double"))
-    return weighted.groupBy(*by, "replicate").agg(
-        (F.sum(F.col("_w") * F.col("_d")) / F.nullif(F.sum("_w"), F.lit(0.0))).alias("delta")
-    )
+    run, rows = _drawn(replicate_terms(n_boot, seed), by), _dealt_out(hashed, by)
+    schema = T.StructType([*[hashed.schema[c] for c in by], *[T.StructField(c, T.IntegerType() if c == "replicate" else T.DoubleType()) for c in ("replicate", "_w", "_wd")]])
+    parts = rows.groupBy(*by, "_salt").applyInArrow(run, schema) if by else rows.mapInArrow(run, schema)
+    return parts.groupBy(*by, "replicate").agg((F.sum("_wd") / F.nullif(F.sum("_w"), F.lit(0.0))).alias("delta"))
 
 
 def bootstrap_ci(

@@ -117,3 +117,26 @@ def test_pairing_is_checked(spark):
     with pytest.raises(ValueError, match="2 held-out keys"):
         require_paired(left, right, "k")
     assert paired_errors(left, right, "k").count() == 1
+
+
+def test_replicates_of_groups_and_of_rows_without_a_key(spark):
+    import hashlib
+
+    rows = [(g, f"k{i}" if i % 7 else None, float(i) if i % 5 else None) for i in range(60) for g in ("a", None)] + [("empty", "k", None)]
+    df = spark.createDataFrame(rows, "g string, k string, d double")
+    found = bootstrap_deltas(df, "k", "d", 10, 5, ["g"])
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()  # no row for each draw
+    got = {(r["g"], r["replicate"]): r["delta"] for r in found.collect()}
+    limits = poisson_limits()
+    for b, (fa, fb, fc) in enumerate(replicate_terms(10, 5)):
+        for g in ("a", None):
+            total = weights = 0.0
+            for k, d in [r[1:] for r in rows if r[0] == g]:
+                w = 8  # a row without a key
+                if k is not None:
+                    digest = hashlib.md5(k.encode()).hexdigest()
+                    mixed = (fa * (int(digest[:8], 16) % PRIME) + fb * (int(digest[8:16], 16) % PRIME) + fc) % PRIME
+                    w = sum(mixed >= limit for limit in limits)
+                total, weights = total + w * (d or 0.0), weights + w
+            assert got[g, b] == pytest.approx(total / weights)
+        assert got["empty", b] is None
