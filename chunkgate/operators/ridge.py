@@ -2,11 +2,12 @@
 
 The normal equations (X'X + alpha) w = X'y of the centred columns are never formed. Rows lie as slices of sparse
 rows; a step multiplies every slice by a vector and by its transpose inside the tasks, and the tasks' results
-are added up in two folds, so what reaches the driver is a vector for each of about the square root of the tasks.
+are added up in two folds: a short vector by groups of tasks, so that the driver gets one for each of about the square
+root of the tasks, a long one by its pieces, so that the driver gets it once.
 
 The number of steps depends on how far the eigenvalues lie apart. One first pass multiplies X'X by as many
 random columns as fit in ``SKETCH_CELLS``; a Nystroem approximation from it takes the leading eigenvalues
-out of the way. With few features it is all of the matrix, and one or two steps remain.
+out of the way. With few features the matrix itself is summed, and one or two steps remain.
 """
 
 from __future__ import annotations
@@ -35,6 +36,10 @@ SKETCH_ROWS = 256
 SLICE_ROWS, SLICE_NUMBERS = 1 << 13, 1 << 19
 #: The residual to reach, in units of the right side; steps without a smaller one after which the search ends.
 TOLERANCE, PATIENCE = 1e-13, 60
+#: The latter where the whole matrix is known: a step is a refinement, and without gain it is at the rounding of the sums.
+KNOWN_PATIENCE = 3
+#: Numbers in a piece of a long vector, at least.
+PIECE = 1 << 17
 _SEED = 20_260_101
 _SLICES = "n int, starts binary, columns binary, numbers binary, y binary"
 
@@ -120,24 +125,43 @@ class Rows:
             total = None
             for part in _opened(batches):
                 own = work(part)
-                total = own if total is None else total + own
+                if total is None:
+                    total = own
+                else:
+                    total += own
             if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % groups], pa.int32()), pa.array([total.astype("<f8").tobytes()], pa.binary())], ["g", "t"])
+                pieces = max(1, min(groups, len(total) // PIECE))
+                for k, piece in enumerate(np.array_split(total, pieces)):
+                    group = k if pieces > 1 else TaskContext.get().partitionId() % groups
+                    yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([k], pa.int32()), pa.array([piece.astype("<f8").tobytes()], pa.binary())], ["g", "k", "t"])
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = None
+            totals: dict[int, np.ndarray] = {}
             for batch in batches:
-                for data in batch.column("t"):
+                for k, data in zip(batch.column("k").to_pylist(), batch.column("t")):
                     own = np.frombuffer(data.as_buffer(), "<f8")
-                    total = own.copy() if total is None else total + own
-            if total is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["t"])
-
-        sums = self.slices.mapInArrow(fold, "g int, t binary")
+                    if k in totals:
+                        totals[k] += own
+                    else:
+                        totals[k] = own.copy()
+            for k, total in totals.items():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["k", "t"])
+
+        sums = self.slices.mapInArrow(fold, "g int, k int, t binary")
         if groups > 1:
-            sums = sums.repartition(groups, "g").mapInArrow(add, "t binary")
-        parts = [np.frombuffer(r["t"], "<f8") for r in sums.select("t").collect()]
-        return np.sum(parts, axis=0) if parts else None
+            sums = sums.repartition(groups, "g").mapInArrow(add, "k int, t binary")
+        parts: dict[int, np.ndarray] = {}
+        for r in sums.select("k", "t").collect():
+            own = np.frombuffer(r["t"], "<f8")
+            parts[r["k"]] = parts[r["k"]] + own if r["k"] in parts else own
+        return np.concatenate([parts[k] for k in sorted(parts)]) if parts else None
+
+
+def _eigen(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvectors (columns) and eigenvalues of a positive matrix, the largest first, without those of rounding."""
+    values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
+    good = np.flatnonzero(values > values[-1] * 1e-14)[::-1]
+    return vectors[:, good], values[good]
 
 
 def _nystroem(product: np.ndarray, basis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,9 +218,20 @@ def solve_ridge(
         return rows.total(one) / scale
 
     rank = max(1, min(width, sketch_cells // width))
-    basis = np.linalg.qr(np.random.default_rng([_SEED, width]).standard_normal((width, rank)))[0] if rank < width else np.eye(width)
+    whole = rank == width
 
-    scaled, off = basis / scale[:, None], shift @ basis
+    def gram(s: Slice) -> np.ndarray:
+        out = np.zeros((width, width))
+        block = np.empty((min(SKETCH_ROWS * 4, len(s.y)), width))
+        for at in range(0, len(s.y), len(block)):
+            starts = s.starts[at : at + len(block) + 1]
+            part = slice(int(starts[0]), int(starts[-1]))
+            centred = block[: len(starts) - 1]
+            centred[:] = -mean / scale
+            columns = s.columns[part]
+            np.add.at(centred, (np.repeat(np.arange(len(centred)), np.diff(starts)), columns), s.numbers[part] / scale[columns])
+            out += centred.T @ centred
+        return out.ravel()
 
     def many(s: Slice) -> np.ndarray:
         out, mass = np.zeros((width, rank)), np.zeros(rank)
@@ -211,15 +246,19 @@ def solve_ridge(
             mass += u.sum(axis=0)
         return (out - np.outer(mean, mass)).ravel()
 
-    sketch = rows.total(many).reshape(width, rank) / scale[:, None] + penalty[:, None] * basis
-    vectors, values = _nystroem(sketch, basis)
+    if whole:
+        vectors, values = _eigen(rows.total(gram).reshape(width, width) + np.diag(penalty))
+    else:
+        basis = np.linalg.qr(np.random.default_rng([_SEED, width]).standard_normal((width, rank)))[0]
+        scaled, off = basis / scale[:, None], shift @ basis
+        vectors, values = _nystroem(rows.total(many).reshape(width, rank) / scale[:, None] + penalty[:, None] * basis, basis)
     floor = np.finfo(float).eps * width * (values[0] if len(values) else 0.0) or 1e-300
     least = max(values[-1] if len(values) else 0.0, floor)
 
     def precondition(r: np.ndarray) -> np.ndarray:
         along = vectors.T @ r
         known = vectors @ (along / np.maximum(values, floor))
-        return known if rank == width else known + (r - vectors @ along) / least
+        return known if whole else known + (r - vectors @ along) / least
 
     w = np.zeros(width)
     residual = right.copy()
@@ -231,7 +270,7 @@ def solve_ridge(
         size = np.linalg.norm(residual)
         if size < best[0]:
             best = (size, w, steps)
-        if size <= goal or steps - best[2] > PATIENCE or old <= 0:
+        if size <= goal or steps - best[2] > (KNOWN_PATIENCE if whole else PATIENCE) or old <= 0:
             break
         ahead = product(direction) + penalty * direction
         curve = direction @ ahead

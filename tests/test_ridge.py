@@ -77,3 +77,19 @@ def test_constant_columns_and_targets(spark):
         models.fit(frame(spark, x, np.ones(20)).limit(0), "y", "ridge")
     with pytest.raises(ValueError, match="alpha"):
         models.fit(frame(spark, x, np.ones(20)), "y", "ridge", {"alpha": -1})
+
+
+def test_long_sums_come_in_pieces(spark):
+    x, y = data(64, 30)
+    rows = ridge.Rows(ridge.to_slices(frame(spark, x, y, 30), "features", "y"))
+    n = 1 << 19
+    rows.tasks = 16  # as many groups as that many tasks make
+    found = rows.total(lambda s: np.arange(n) * len(s.y))
+    assert found.tolist() == (np.arange(n) * 64.0).tolist()
+
+
+def test_fingerprints_are_worked_out_once(spark):
+    from chunkgate.catalog import judging
+
+    found = judging.q_ridge_fingerprint(spark, "/root/testdata/sf0.001")
+    assert found.inputFiles() and all("documents-bits" in f for f in found.inputFiles())
