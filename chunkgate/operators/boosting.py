@@ -34,7 +34,7 @@ from chunkgate.sources.tables import stored
 #: The bin of missing values; it bounds ``max_bins`` and lets a bin number be one byte.
 MISSING = 255
 #: Trees whose predictions are worked out anew in each pass, at most.
-STORE_ROUNDS = 20
+STORE_ROUNDS = 5
 #: Sums (node times bins of all features) that one pass returns, at most, unless one node has more.
 CELLS = 1 << 19
 #: Rows of a slice, and bytes of its bin numbers.
@@ -118,14 +118,23 @@ class Tree:
 
 def nodes_of(arrays: tuple[np.ndarray, ...], x: np.ndarray, missing: np.ndarray) -> np.ndarray:
     """The leaf of each row. ``x`` holds a row for each feature, as bins or as values, like the arrays' cuts."""
-    feature, cut, missing_left, left, right = arrays
+    feature, cut, missing_left, left, right = (a.tolist() for a in arrays)
+    some_missing = missing.any(axis=1)
     at = np.zeros(x.shape[1], np.int64)
-    rows = np.arange(x.shape[1])
-    while len(rows := rows[feature[at[rows]] >= 0]):
-        node = at[rows]
+    # Node by node: each holds the places of its rows, so that a feature's numbers are read in order and no row looks its cut up.
+    todo = [(0, np.arange(x.shape[1]))]
+    while todo:
+        node, rows = todo.pop()
         f = feature[node]
-        goes_left = np.where(missing[f, rows], missing_left[node], x[f, rows] <= cut[node])
-        at[rows] = np.where(goes_left, left[node], right[node])
+        if f < 0:
+            at[rows] = node
+            continue
+        goes_left = x[f][rows] <= cut[node]
+        if some_missing[f]:
+            goes_left = np.where(missing[f][rows], missing_left[node], goes_left)
+        for child, own in ((left[node], rows[goes_left]), (right[node], rows[~goes_left])):
+            if len(own):
+                todo.append((child, own))
     return at
 
 

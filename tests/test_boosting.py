@@ -152,3 +152,17 @@ def test_odd_tables(spark):
 
 def test_query(spark):
     assert judging.q_gbt_fit(spark, SF, max_iter=3).count() == 3
+
+
+def test_leaves_are_found_node_by_node():
+    tree = boosting.Tree()
+    for _ in range(5):
+        tree.add(0, 0.0)
+    tree.feature[:2], tree.cut[:2], tree.missing_left[:2], tree.left[:2], tree.right[:2] = [0, 1], [0.5, 2.0], [True, False], [1, 3], [2, 4]
+    x = np.array([[0.5, 0.6, np.nan, np.nan, 0.1], [2.0, 0.0, 3.0, np.nan, 2.5]])
+    assert boosting.nodes_of(tree.arrays(False), x, np.isnan(x)).tolist() == [3, 2, 4, 4, 4]
+    assert boosting.nodes_of(tree.arrays(False), x[:, :0], np.isnan(x[:, :0])).tolist() == []
+
+
+def test_few_trees_are_worked_out_anew_in_a_pass():
+    assert boosting.STORE_ROUNDS <= 5
