@@ -15,7 +15,6 @@ text without ids and without end id has no piece.
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,9 +45,10 @@ def cut_places(n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray) -> tuple
     cost[[0, n]] = 0
     places = np.flatnonzero(cost >= 0)
     gaps = np.diff(places)
-    for k in np.flatnonzero(gaps > HARD_STEP):
-        more = np.arange(places[k] + HARD_STEP, places[k + 1], HARD_STEP)
-        cost[more] = HARD_CUT
+    long = np.flatnonzero(gaps > HARD_STEP)
+    more = (gaps[long] - 1) // HARD_STEP
+    step = np.arange(1, more.sum() + 1) - np.repeat(np.cumsum(more) - more, more)
+    cost[np.repeat(places[long], more) + step * HARD_STEP] = HARD_CUT
     places = np.flatnonzero(cost >= 0)
     return places, cost[places]
 
@@ -57,16 +57,17 @@ def best_cuts(places: np.ndarray, cost: np.ndarray, length: int) -> list[int]:
     """The places of the cheapest cuts, both ends included."""
     at, pay = places.tolist(), cost.tolist()
     value, back = [0] * len(at), [0] * len(at)
-    queue: deque[int] = deque([0])
+    queue, first = [0], 0  # the queue begins at ``first``
+    last = np.searchsorted(places, places - length).tolist()  # the earliest place that is near enough
     for i in range(1, len(at)):
-        here = at[i]
-        while at[queue[0]] < here - length:
-            queue.popleft()
-        j = queue[0]
+        least = last[i]
+        while queue[first] < least:
+            first += 1
+        j = queue[first]
         back[i] = j
         v = value[j] + length + pay[i]  # the padding's "- here" and the next "+ here" cancel
         value[i] = v
-        while queue and value[queue[-1]] >= v:
+        while value[queue[-1]] >= v:  # never past j, whose value is less
             queue.pop()
         queue.append(i)
     cuts, i = [at[-1]], len(at) - 1

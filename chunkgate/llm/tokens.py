@@ -90,9 +90,12 @@ class Encoder:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _apart(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces and how many each has: encoded together and cut where the next one begins."""
+        """Ids of all pieces and how many each has: encoded together and cut where the next one begins.
+
+        A vocabulary of the one kind takes each piece with the blank before it.
+        """
         if self.blanks:
-            ids = self._ids("".join(pieces))
+            ids = self._ids(" " + " ".join(pieces))
             at = np.flatnonzero(self.begins[ids])
             if len(at) == len(pieces) and at[0] == 0:
                 return ids, np.diff(at, append=len(ids))
@@ -101,7 +104,7 @@ class Encoder:
             at = np.flatnonzero(ids == self.mark[0])
             if len(at) == len(pieces) - 1:
                 return np.delete(ids, at), np.diff(at, prepend=-1, append=len(ids)) - 1
-        apart = [self._ids(x) for x in pieces]
+        apart = [self._ids(" " + x if self.blanks else x) for x in pieces]
         return np.concatenate(apart), np.array([len(x) for x in apart], np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,18 +126,17 @@ class Encoder:
                 head, *own = text.split(" ")
                 if not led:
                     whole[i] = head
-                own = [" " + x for x in own]
             pieces += own
             counts[i] = len(own)
         codes = np.fromiter(map(self.codes.get, pieces, repeat(-1)), np.int64, len(pieces))
         kept = self.store.n
         missing = np.flatnonzero(codes < 0)
         if len(missing):
-            new = list(dict.fromkeys(pieces[k] for k in missing))
+            new = list(dict.fromkeys([pieces[k] for k in missing.tolist()]))
             for k in range(0, len(new), _TOGETHER):
                 self.store.add(*self._apart(new[k : k + _TOGETHER]))
             numbers = dict(zip(new, range(kept, kept + len(new))))
-            codes[missing] = [numbers[pieces[k]] for k in missing]
+            codes[missing] = [numbers[pieces[k]] for k in missing.tolist()]
             room = min(max(0, CACHE_PIECES - kept), len(new))
             self.codes.update(islice(numbers.items(), room))
             kept += room

@@ -427,3 +427,33 @@ def test_texts_searched_together_find_what_all_examples_hold():
             want[at] = 0
         order = np.lexsort((np.arange(len(want)), -np.round(want, 5)))[: index.k]
         assert np.allclose(cosine, want[order], atol=1e-5) and (at % 2 == 0 or at not in near)
+
+
+def test_pieces_are_looked_up_without_their_blank():
+    from chunkgate.llm.tokens import Encoder
+
+    code = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one two one", " two one", "x", "", None, "one  two", "éa two\nthree two"]
+    ids, sizes = code.encode(texts)
+    assert set(code.codes) == {"one", "two", "two\nthree"}  # no string is made for each word of a text
+    want = [code.library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
+
+
+def test_cuts_are_the_cheapest_of_all():
+    from chunkgate.llm import packing
+
+    rng = np.random.default_rng(4)
+    for n in (1, 31, 32, 33, 64, 200, 700):
+        ends, sentences = (np.unique(rng.integers(1, n + 1, k)) for k in (2, 5))
+        places, cost = packing.cut_places(n, ends, sentences)
+        edges = np.unique(np.concatenate([[0, n], ends, sentences]))
+        inside = [p for a, b in zip(edges[:-1], edges[1:]) for p in range(a + packing.HARD_STEP, b, packing.HARD_STEP)]
+        assert places.tolist() == sorted({*edges.tolist(), *inside})
+        assert [c for p, c in zip(places, cost) if p in set(inside)] == [packing.HARD_CUT] * len(inside)
+        least = {0: 0}
+        for p, c in zip(places[1:].tolist(), cost[1:].tolist()):
+            least[p] = min(v + 64 - (p - q) + c for q, v in least.items() if p - q <= 64)
+        cuts, by = packing.best_cuts(places, cost, 64), dict(zip(places.tolist(), cost.tolist()))
+        assert cuts[0] == 0 and cuts[-1] == n and max(np.diff(cuts)) <= 64
+        assert sum(64 - (b - a) + by[b] for a, b in zip(cuts[:-1], cuts[1:])) == least[n]
