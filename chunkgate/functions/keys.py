@@ -19,7 +19,9 @@ def collapsed_text(value: Column) -> Column:
 
     A text of blanks only does not parse.
     """
-    return F.when(value.rlike(r"\S"), F.lower(F.trim(F.regexp_replace(value, r"\s+", " "))))
+    # Most keys have no blanks; they need neither the replacement nor the second search.
+    one = F.when(~value.rlike(r"\s"), F.nullif(F.lower(value), F.lit("")))
+    return one.when(value.rlike(r"\S"), F.lower(F.trim(F.regexp_replace(value, r"\s+", " "))))
 
 
 def canonical_key(df: DataFrame, key: str, rule: Rule | None = None) -> Column:

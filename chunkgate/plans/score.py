@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 
 from chunkgate.operators import models
 from chunkgate.operators.score import predicted_name, shortlist
-from chunkgate.operators.validate import require_rows, validated
+from chunkgate.operators.validate import drop_null_rows, parsed_rows, require_rows, validated
 from chunkgate.plans.settings import Settings
 from chunkgate.plans.train import load_champion
 from chunkgate.sources.chunks import read_chunk, write_shortlist
@@ -31,7 +31,9 @@ def score_chunk(spark, raw_path: str, settings: Settings, ledger: Ledger, out: s
     champion = load_champion(ledger, settings.model_name, settings)
     raw = read_chunk(spark, raw_path, settings.numeric_columns(), settings.multiline, settings.file_format)
     valid = validated(raw, settings.key, settings.target, ["ord"], settings.rule)
-    require_rows(valid, raw.count())
+    # Some row is valid if one parses; asking ``valid`` would sort the whole chunk once more.
+    if parsed_rows(drop_null_rows(raw, settings.key, settings.target), settings.key, settings.rule).isEmpty():
+        require_rows(valid, raw.count())
     ranked = shortlist(
         scored(valid, champion, settings).drop("ord"),
         predicted_name(settings.target), settings.key, settings.shortlist_size, settings.rank_ascending,

@@ -273,3 +273,22 @@ def test_watching_trains_skips_parks_and_scores(spark, book, folder):
     digest = hashlib.sha256(open(f"{landing}/4.csv", "rb").read()).hexdigest()
     streamed = spark.read.csv(f"{out}/{digest}", header=True).select("name").collect()
     assert [r["name"] for r in streamed] == [r["name"] for r in batch]
+
+
+def test_scoring_does_not_validate_a_good_chunk_twice(spark, book, folder, monkeypatch):
+    chunk = write_csv(f"{folder}/one.csv", rows(0, 600))
+    train_chunk(spark, chunk, settings(kind="ridge"), book)
+    asked = []
+    monkeypatch.setattr("chunkgate.plans.score.require_rows", lambda valid, n: asked.append(n))
+    assert score_chunk(spark, chunk, settings(), book).count() > 0 and not asked
+    bare = write_csv(f"{folder}/bare.csv", [(None, 1.0), ("x", None)])
+    score_chunk(spark, bare, settings(), book)
+    assert asked == [2]
+
+
+def test_keys_without_blanks_collapse_as_others_do(spark):
+    from chunkgate.functions.keys import collapsed_text
+
+    texts = ["Ab", " Ab  c\t", "", "  ", None, "é X", "a\nB"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(collapsed_text(F.col("t")).alias("k")).collect()
+    assert [r.k for r in got] == ["ab", "ab c", None, None, None, "é x", "a b"]

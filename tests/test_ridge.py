@@ -1,6 +1,7 @@
 """Ridge by conjugate gradients against the closed form."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -93,3 +94,19 @@ def test_fingerprints_are_worked_out_once(spark):
 
     found = judging.q_ridge_fingerprint(spark, "/root/testdata/sf0.001")
     assert found.inputFiles() and all("documents-bits" in f for f in found.inputFiles())
+
+
+def test_narrow_vectors_do_not_go_to_python(spark):
+    x, y = data(160, 40)
+    rows = frame(spark, x, y)
+    narrow, wide = ({tuple(c.tobytes() for c in (s.starts, s.columns, s.numbers, s.y)) for s in ridge._opened([pa.RecordBatch.from_pandas(ridge.to_slices(rows.coalesce(1).where("features is not null"), "features", "y", w).toPandas())])} for w in (40, None))
+    assert len(narrow) == len(wide) == 1  # a slice each: with all numbers, and with those that are not zero
+    model = ridge.LinearPredictor(weights=np.arange(40.0).tolist(), constant=2.5)
+    odd = rows.select("features").unionByName(spark.createDataFrame([(Vectors.dense([1.0, 2.0]),), (None,)], rows.select("features").schema))
+    judged = model.transform(odd)
+    assert "Python" not in judged._jdf.queryExecution().executedPlan().toString()
+    for r in judged.collect():
+        want = None if r.features is None else sum(float(v) * k for k, v in enumerate(r.features.toArray())) + 2.5
+        assert r.prediction == (None if want is None else pytest.approx(want, rel=1e-12))
+    with pytest.raises(Exception, match="more than the 2 features"):
+        ridge.LinearPredictor(weights=[1.0, 2.0]).transform(rows).collect()
