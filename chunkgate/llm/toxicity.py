@@ -44,10 +44,12 @@ PREFIXES = (4, 5, 6)
 LEAST, FALSE_SHARE = 3, 0.05
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are multiplied together, and examples of which the highest counts when the best are looked for.
+WAVE, FINE = 4, 16
 #: Features, those of the most examples, that an opened index holds as matrices; the others are postings. No result depends on it.
 HEAD = 1024
 #: They are in at least one of so many examples.
-DENSE = 16
+DENSE = 12
 #: Texts that are compared together.
 TOGETHER = 128
 #: Postings in a piece of an index, on average.
@@ -86,7 +88,8 @@ def beginnings(words: Words, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def counted(row: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, and how often each is there."""
-    order = np.lexsort((name, row))
+    order = np.argsort(name)
+    order = order[np.argsort(row[order].astype(np.uint16) if len(row) and row.max() < 1 << 16 else row[order], kind="stable")]  # short numbers are sorted by their digits
     row, name = row[order], name[order]
     begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1]))) if len(row) else np.zeros(0, np.int64)
     return row[begins], name[begins], np.diff(np.append(begins, len(row)))
@@ -101,6 +104,15 @@ def row_features(texts: pa.Array) -> tuple[tuple, tuple]:
     return (row, hash_words(words, small)), (row[at], name)
 
 
+def among(names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a name is one of ``names``, few names in order, and the number of each of those. Most others differ in their last 16 bits from all."""
+    last = np.zeros(1 << 16, bool)
+    last[names & _U(0xFFFF)] = True
+    at = np.flatnonzero(last[name & _U(0xFFFF)])
+    number, there = places(names, name[at])
+    return at[there], number[there]
+
+
 def places(names: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The number of each name among ``names``, which are in order, and whether it is there."""
     number = np.searchsorted(names, name)
@@ -124,10 +136,10 @@ class Vocabulary:
         number, known = places(self.names, name)
         other = ~known
         rest = row[other], (name[other] % _U(REST_BUCKETS)).astype(np.int64), count[other]
-        word, telling = places(self.telling, name)
-        begun, too = places(self.telling, more)
-        more_row, begun, more_count = counted(more_row[too], begun[too])
-        told = [np.concatenate([x[telling], y]) for x, y in ((row, more_row), (word, begun), (count, more_count))]
+        telling, word = among(self.telling, name)
+        too, begun = among(self.telling, more)
+        more_row, begun, more_count = counted(more_row[too], begun)
+        told = [np.concatenate([x, y]) for x, y in ((row[telling], more_row), (word, begun), (count[telling], more_count))]
         order = np.argsort(told[0], kind="stable")
         return (row[known], number[known], count[known]), rest, tuple(x[order] for x in told)
 
@@ -216,7 +228,7 @@ def postings(number: np.ndarray, example: np.ndarray, count: np.ndarray, first:
 
 
 class Opened:
-    """An index as arrays. Features of the most examples are held as a matrix for each block, the others as postings."""
+    """An index as arrays. Features of the most examples are held as a matrix for each ``WAVE`` blocks, the others as postings."""
 
     def __init__(self, index: Index) -> None:
         n = len(index.docs)
@@ -225,71 +237,108 @@ class Opened:
         weight = np.concatenate([np.zeros(0, np.float32), *((1 + np.log(unpacked(p[3], p[0]).astype(np.float64))).astype(np.float32) for p in index.pieces)])
         weight *= np.repeat(index.idf[: len(size)].astype(np.float32), size)
         weight /= np.sqrt(np.bincount(example, weight.astype(np.float64) ** 2, n)).astype(np.float32)[example]
-        self.n_blocks = -(-n // BLOCK)
+        self.n_waves = -(-n // (BLOCK * WAVE))
         first = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         common = np.sort(np.argsort(-size, kind="stable")[:HEAD])
         common = common[size[common] * DENSE >= max(n, 1)]
         self.place = np.full(len(size), -1, np.int32)
         self.place[common] = np.arange(len(common))
         at = _spread(first[common], first[common + 1])
-        self.head = np.zeros((self.n_blocks, len(common), BLOCK))
-        self.head[example[at] // BLOCK, np.repeat(np.arange(len(common)), size[common]), example[at] % BLOCK] = weight[at]
-        self.most = np.ascontiguousarray(self.head.max(axis=2).T)
+        wide = BLOCK * WAVE
+        self.head = np.zeros((self.n_waves, len(common), wide), np.float32)
+        self.head[example[at] // wide, np.repeat(np.arange(len(common)), size[common]), example[at] % wide] = weight[at]
+        most = self.head.reshape(self.n_waves, len(common), WAVE, BLOCK).max(axis=3)
+        self.most = np.ascontiguousarray(most.transpose(1, 0, 2).reshape(len(common), -1), np.float64)
+        #: Sums in single precision are off by at most this share: no term is negative.
+        self.off = (len(common) + 8) * 2.0**-23
         # The matrix holds the common features: their postings are not needed twice.
         rare = np.ones(len(example), bool)
         rare[at] = False
         self.first = np.concatenate([[0], np.cumsum(np.where(self.place < 0, size, 0), dtype=np.int64)])
-        self.example, self.weight = example[rare], weight[rare]
+        self.example = example[rare]
+        #: Of each posting the example, and in the lower half the weight's bits: both come with one look.
+        self.rare = self.example.astype("<i8") << 32 | weight[rare].astype("<f4").view("<u4")
+        self.counting = np.arange(1 << 17)
+
+    def _rare(self, begin: np.ndarray, end: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Products of a text with all examples over its rare features, whose postings these are."""
+        sizes = end - begin
+        ends = np.cumsum(sizes)
+        at = np.repeat(begin - ends + sizes, sizes)
+        at += self.counting[: len(at)] if len(at) <= len(self.counting) else np.arange(len(at))
+        found = self.rare[at]
+        product = np.repeat(q, sizes)
+        product *= found.view(np.float32)[::2]
+        found >>= 32
+        return np.bincount(found, product, self.n_waves * WAVE * BLOCK)
 
     def nearest(self, numbers: list[np.ndarray], weights: list[np.ndarray], without: list[int], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """Products over rare features come from their postings, and with the block maxima of the common ones bound each
-        block. Blocks are opened for the texts whose k-th best they can reach."""
-        m, n_blocks = len(numbers), self.n_blocks
-        if not n_blocks:
+        block. Blocks are opened for the texts whose k-th best they can reach: products over common features in single
+        precision, and those of the examples that can be among the k best again in double."""
+        m = len(numbers)
+        if not self.n_waves:
             return [(np.zeros(0, np.int64), np.zeros(0))] * m
         text, number, q = np.repeat(np.arange(m), [len(x) for x in numbers]), np.concatenate(numbers), np.concatenate(weights)
         place = self.place[number]
+        held = place >= 0
         asked = np.zeros((m, self.most.shape[0]))
-        asked[text[place >= 0], place[place >= 0]] = q[place >= 0]
-        text, number, q = text[place < 0], number[place < 0], q[place < 0]
+        asked[text[held], place[held]] = q[held]
+        places = np.split(place[held], np.searchsorted(text[held], np.arange(1, m)))
+        text, number, q = text[~held], number[~held], q[~held]
         begin, end = self.first[number], self.first[number + 1]
-        width = n_blocks * BLOCK
-        score = np.zeros((m, n_blocks, BLOCK))
-        ends = np.searchsorted(text, np.arange(m + 1))
+        ends = np.searchsorted(text, np.arange(m + 1)).tolist()
+        n_blocks = self.n_waves * WAVE
+        score = np.empty((m, n_blocks * BLOCK))
         for r, (x, y) in enumerate(zip(ends[:-1], ends[1:])):  # one text at a time: its sums stay in the cache
-            at = _spread(begin[x:y], end[x:y])
-            if len(at):
-                score[r] = np.bincount(self.example[at], np.repeat(q[x:y], end[x:y] - begin[x:y]) * self.weight[at], width).reshape(n_blocks, BLOCK)
-        bound = score.max(axis=2) + asked @ self.most
+            score[r] = self._rare(begin[x:y], end[x:y], q[x:y])
+        top = score.reshape(m, n_blocks, BLOCK).max(axis=2)
+        bound = top + asked @ self.most
         out = np.array(without)
         left_out = np.flatnonzero(out >= 0)
-        score[left_out, out[left_out] // BLOCK, out[left_out] % BLOCK] = -np.inf
-        open_, best = np.zeros((m, n_blocks), bool), np.zeros((m, k))
-
-        def look(block: int, rows: np.ndarray) -> None:
-            score[rows, block] += asked[rows] @ self.head[block]
-            open_[rows, block] = True
-            both = np.concatenate([best[rows], score[rows, block]], axis=1)
-            best[rows] = np.partition(both, BLOCK, axis=1)[:, BLOCK:]
-
-        order = np.argsort(bound.argmax(axis=1), kind="stable")
-        top = bound.argmax(axis=1)[order]
-        for rows in np.split(order, np.flatnonzero(np.diff(top)) + 1):
-            look(int(bound[rows[0]].argmax()), rows)
-        for block in np.argsort(-bound.sum(axis=0), kind="stable"):
-            rows = np.flatnonzero((bound[:, block] >= best.min(axis=1) - SLACK) & (bound[:, block] > 0) & ~open_[:, block])
+        score[left_out, out[left_out]] = -np.inf
+        top[left_out, out[left_out] // BLOCK] = score.reshape(m, n_blocks, BLOCK)[left_out, out[left_out] // BLOCK].max(axis=1)
+
+        single = asked.astype(np.float32)
+        total = np.full((m, n_blocks * BLOCK), -np.inf, np.float32)
+        order = np.argsort(-bound.reshape(m, self.n_waves, WAVE).max(axis=2).sum(axis=0), kind="stable")
+        for done, wave in enumerate(order.tolist()):
+            if done & (done - 1) == 0:  # the k-th best is at least the k-th highest of the blocks: looked up anew after 1, 2, 4, 8, ... waves
+                least = _highest(top, k) * (1 - 2 * self.off) - SLACK
+            blocks, examples = slice(wave * WAVE, (wave + 1) * WAVE), slice(wave * WAVE * BLOCK, (wave + 1) * WAVE * BLOCK)
+            rows = np.flatnonzero(((bound[:, blocks] >= least[:, None]) & (bound[:, blocks] > 0)).any(axis=1))
             if len(rows):
-                look(int(block), rows)
-        score[~open_] = -np.inf
-        found = []
-        least = best.min(axis=1)
-        for r in range(m):
-            row = score[r].ravel()
-            near = np.flatnonzero(row >= max(least[r] - SLACK, SLACK))
-            # Equal cosines differ by rounding only; of them the earlier example comes first.
-            order = np.lexsort((near, -np.round(row[near], 9)))[:k]
-            found.append((near[order], row[near[order]]))
-        return found
+                if 8 * len(rows) > 7 * m:
+                    rows = slice(None)  # few are left: parts of arrays cost less than chosen rows
+                found = single[rows] @ self.head[wave]
+                found += score[rows, examples]
+                total[rows, examples] = found
+                top[rows, blocks] = found.reshape(-1, WAVE, BLOCK).max(axis=2)
+        least = np.maximum(_highest(total.reshape(m, -1, FINE).max(axis=2), k), SLACK) * (1 - 4 * self.off)
+        return [self._best(total[r], least[r], score[r], asked[r], places[r], k) for r in range(m)]
+
+    def _best(self, total: np.ndarray, least: float, rare: np.ndarray, asked: np.ndarray, places: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best examples of a text, whose sums in single precision and least one these are, with sums in double."""
+        near = np.flatnonzero(total >= least)
+        if len(near) > k:
+            value = total[near]
+            near = near[value >= np.partition(value, len(value) - k)[len(value) - k] * (1 - 4 * self.off)]
+        wide = BLOCK * WAVE
+        cosine = rare[near] + asked[places] @ self.head[near // wide, places[:, None], near % wide]
+        if len(near) > k:
+            least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+        else:
+            least = 0.0
+        # Equal cosines differ by rounding only; of them the earlier example comes first.
+        good = cosine >= max(least - SLACK, SLACK)
+        near, cosine = near[good], cosine[good]
+        order = np.lexsort((near, -np.round(cosine, 9)))[:k]
+        return near[order], cosine[order]
+
+
+def _highest(x: np.ndarray, k: int) -> np.ndarray:
+    """The k-th highest of each row, 0 where there are fewer."""
+    return np.maximum(np.partition(x, x.shape[1] - k, axis=1)[:, x.shape[1] - k], 0.0) if x.shape[1] >= k else np.zeros(len(x))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -457,3 +457,32 @@ def test_cuts_are_the_cheapest_of_all():
         cuts, by = packing.best_cuts(places, cost, 64), dict(zip(places.tolist(), cost.tolist()))
         assert cuts[0] == 0 and cuts[-1] == n and max(np.diff(cuts)) <= 64
         assert sum(64 - (b - a) + by[b] for a, b in zip(cuts[:-1], cuts[1:])) == least[n]
+
+
+def test_counts_of_many_rows_are_sorted_by_digits():
+    rng = np.random.default_rng(3)
+    for top in (50, 1 << 17):
+        row, name = np.sort(rng.integers(0, top, 5000)), rng.integers(0, 9, 5000).astype(np.uint64) << np.uint64(60)
+        want = sorted({(r, n): 0 for r, n in zip(row.tolist(), name.tolist())})
+        got_row, got_name, count = toxicity.counted(row, name)
+        assert list(zip(got_row.tolist(), got_name.tolist())) == want and count.sum() == 5000
+    names = np.sort(rng.integers(0, 1 << 62, 500).astype(np.uint64))
+    asked = np.concatenate([names[::7], rng.integers(0, 1 << 62, 9000).astype(np.uint64)])
+    at, number = toxicity.among(names, asked)
+    assert {(int(a), int(n)) for a, n in zip(at, number)} == {(k, int(np.searchsorted(names, x))) for k, x in enumerate(asked) if x in set(names.tolist())}
+
+
+def test_best_of_single_precision_are_those_of_double(monkeypatch):
+    """Near ties in many waves: sums in single precision put them in another order, the result is that of double."""
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    idf = rng.uniform(1, 2, 60)
+    rows = [(k, k % 2, np.arange(60), rng.integers(90, 110, 60)) for k in range(700)]
+    index = toxicity.Index(idf, rows)
+    assert index.opened.head.dtype == np.float32 and index.opened.n_waves > 8
+    dense = np.array([index.opened.head[k // (16 * toxicity.WAVE), :, k % (16 * toxicity.WAVE)] for k in range(700)], np.float64)
+    for number, count in ((r[2], r[3]) for r in rows[:40]):
+        near, cosine = index.nearest(number, count)
+        want = dense @ index.weights(number, count)
+        order = np.lexsort((np.arange(700), -np.round(want, 9)))[: index.k]
+        assert near.tolist() == order.tolist() and np.allclose(cosine, want[order], atol=1e-12)
