@@ -33,6 +33,8 @@ SENTENCE_CUT, HARD_CUT = 4, 16
 HARD_STEP = 32
 #: Ids that are packed together.
 BLOCK_IDS = 1 << 18
+#: Bytes of text whose words are held as Python strings at a time.
+TEXT_BYTES = 1 << 20
 #: Bits of sequence_id for the number inside a task.
 TASK_BITS = 40
 
@@ -134,15 +136,16 @@ def pack(documents: DataFrame, vocabulary: str, end: int | None, length: int = L
             docs = [(keys[open_], nulls[open_], sizes[open_], begins[open_] - done)]
 
         for batch in batches:
-            for rows in slices(batch, "text"):
-                ids, sizes = with_end(*code.encode(rows.column("text").to_pylist()), end)
-                key = rows.column("doc_id").cast(pa.int64())
-                stream.append(ids)
-                docs.append((
-                    key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False),
-                    sizes, held + np.cumsum(sizes) - sizes,
-                ))
-                held += len(ids)
+            for block in slices(batch, "text"):
+                for rows in slices(block, "text", TEXT_BYTES):
+                    ids, sizes = with_end(*code.encode(rows.column("text").to_pylist()), end)
+                    key = rows.column("doc_id").cast(pa.int64())
+                    stream.append(ids)
+                    docs.append((
+                        key.fill_null(0).to_numpy(zero_copy_only=False), key.is_null().to_numpy(zero_copy_only=False),
+                        sizes, held + np.cumsum(sizes) - sizes,
+                    ))
+                    held += len(ids)
                 if held >= BLOCK_IDS:
                     yield from flush(False)
         if docs:

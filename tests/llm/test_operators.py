@@ -486,3 +486,26 @@ def test_best_of_single_precision_are_those_of_double(monkeypatch):
         want = dense @ index.weights(number, count)
         order = np.lexsort((np.arange(700), -np.round(want, 9)))[: index.k]
         assert near.tolist() == order.tolist() and np.allclose(cosine, want[order], atol=1e-12)
+
+
+def test_remembered_pieces_take_little_memory():
+    import sys
+
+    from chunkgate.llm import tokens
+
+    held: dict[int, int] = {}
+    for k in range(tokens.CACHE_PIECES):  # one at a time, as a task does
+        held[k] = k
+    assert sys.getsizeof(held) < 25_000_000
+    code = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, _ = code.encode([" ".join(f"w{k} x{k}y" for k in range(40_000))])
+    store = code.store
+    assert store.ids.dtype == np.uint16 and store.ids.nbytes + store.start.nbytes + store.size.nbytes < 3_500_000 and ids.dtype == np.uint32
+
+
+def test_small_pieces_of_text_give_the_same_packing(spark, documents, monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = documents.select("doc_id", "text").coalesce(1)
+    want = packing.pack(rows, path, 1).collect()
+    monkeypatch.setattr(packing, "TEXT_BYTES", 5000)
+    assert packing.pack(rows, path, 1).collect() == want
