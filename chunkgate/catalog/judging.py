@@ -17,7 +17,7 @@ from chunkgate.operators.split import held_out_rows, train_rows
 from chunkgate.plans.score import score_chunk
 from chunkgate.plans.settings import Settings
 from chunkgate.plans.train import train_chunk
-from chunkgate.session import scratch_dir
+from chunkgate.session import scratch_dir, small_batches
 from chunkgate.sources.chunks import write_shortlist
 from chunkgate.sources.ledger import Ledger
 from chunkgate.sources.tables import stored
@@ -51,7 +51,8 @@ def q_ridge_multi(spark, sf):
 def q_ridge_fingerprint(spark, sf):
     """Ridge on the 2,048 fingerprint bits of the documents: held-out predictions."""
     featured = models.fingerprint_features(e_split(spark, sf).select("ord", "k", "target", "is_test"), "k").drop("k")
-    featured = stored(featured, "documents-bits", ["is_test"])  # fitting and judging read it
+    with small_batches(spark):
+        featured = stored(featured, "documents-bits", ["is_test"])  # fitting and judging read it
     fitted = models.fit(train_rows(featured).select("features", "target"), "target", "ridge")
     return models.predict(fitted, held_out_rows(featured), "prediction").select("ord", "target", "prediction")
 

@@ -3,7 +3,8 @@
 The normal equations (X'X + alpha) w = X'y of the centred columns are never formed. Rows lie as slices of sparse
 rows; a step multiplies every slice by a vector and by its transpose inside the tasks, and the tasks' results
 are added up in two folds: a short vector by groups of tasks, so that the driver gets one for each of about the square
-root of the tasks, a long one by its pieces, so that the driver gets it once.
+root of the tasks, a long one by its pieces, so that the driver gets it once. Every task writes its sum, so a long one
+is left to few tasks. Rows go to Python in small batches and are taken apart a slice at a time.
 
 The number of steps depends on how far the eigenvalues lie apart. One first pass multiplies X'X by as many
 random columns as fit in ``SKETCH_CELLS``; a Nystroem approximation from it takes the leading eigenvalues
@@ -14,7 +15,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,71 +27,34 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkgate.operators.slices import Slice, _all, _entries, _opened, _parts
+from chunkgate.session import BATCH_BYTES, small_batches
 from chunkgate.sources.tables import stored
 
 #: Numbers in the sketch, which each task and the driver hold.
 SKETCH_CELLS = 1 << 22
-#: Rows that are multiplied by the sketch's columns at once.
-SKETCH_ROWS = 256
-#: Rows of a slice and numbers in it.
-SLICE_ROWS, SLICE_NUMBERS = 1 << 13, 1 << 19
+#: Rows that are multiplied by the sketch's columns at once; by each other, as many as have so many numbers.
+SKETCH_ROWS, BLOCK_CELLS = 256, 1 << 19
 #: The residual to reach, in units of the right side; steps without a smaller one after which the search ends.
 TOLERANCE, PATIENCE = 1e-13, 60
 #: The latter where the whole matrix is known: a step is a refinement, and without gain it is at the rounding of the sums.
 KNOWN_PATIENCE = 3
 #: Vectors of at most so many numbers leave the JVM as plain arrays, or not at all: a struct costs about 20 microseconds a row on the way to Python.
 NARROW = 64
+#: Up to so many weights stand in the plan of a prediction.
+WRITTEN = 1 << 14
 #: Numbers in a piece of a long vector, at least.
 PIECE = 1 << 17
+#: The tasks that make a sum of so many: for each core, or one for so many tasks that the slices lie in.
+LONG_WAVES, LONG_SHARE = 2, 8
+#: Columns of the matrix that are worked out at once; of a symmetric one only those from the diagonal on are summed.
+PANEL = 256
+#: Parquet's writer otherwise holds a hundred slices before it looks at their size, and its reader all of a row group.
+_SMALL_GROUPS = {"parquet.block.size": str(BATCH_BYTES), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 _SEED = 20_260_101
 _SLICES = "n int, starts binary, columns binary, numbers binary, y binary"
 
 
-@dataclass
-class Slice:
-    """Sparse rows: row r has entries ``starts[r]``..``starts[r + 1]``."""
-
-    starts: np.ndarray
-    columns: np.ndarray
-    numbers: np.ndarray
-    y: np.ndarray
-
-    @property
-    def rows(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.y)), np.diff(self.starts))
-
-    def times(self, v: np.ndarray) -> np.ndarray:
-        """X v for a vector."""
-        return np.bincount(self.rows, self.numbers * v[self.columns], len(self.y))
-
-    def transposed(self, u: np.ndarray, width: int) -> np.ndarray:
-        """X' u for a vector."""
-        return np.bincount(self.columns, self.numbers * u[self.rows], width)
-
-
-def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a column of lists and where each list ends; null is an empty list."""
-    lists = column.fill_null([]) if column.null_count else column
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(kind), np.cumsum(np.diff(lists.offsets.to_numpy()))
-
-
-def _entries(vectors: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Columns and numbers of all entries of vectors, sparse or dense, and where each vector's entries end."""
-    sparse = vectors.field("type").to_numpy(zero_copy_only=False) == 0
-    numbers, ends = _flat(vectors.field("values"), np.float64)
-    sizes = np.diff(ends, prepend=0)
-    columns = np.arange(len(numbers)) - np.repeat(ends - sizes, sizes)
-    columns[np.repeat(sparse, sizes)] = _flat(vectors.field("indices"), np.int64)[0]
-    return columns, numbers, ends
-
-
-def _all(arrays: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``_entries`` of vectors that came as arrays."""
-    numbers, ends = _flat(arrays, np.float64)
-    sizes = np.diff(ends, prepend=0)
-    return np.arange(len(numbers)) - np.repeat(ends - sizes, sizes), numbers, ends
-
-
 def _array(features: str) -> Column:
     """A vector as an array; null stays null."""
     return F.when(F.col(features).isNotNull(), vector_to_array(features))
@@ -103,28 +66,18 @@ def to_slices(train: DataFrame, features: str, target: str, width: int | None =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns, numbers, ends = (_all if narrow else _entries)(batch.column("x"))
-            y = batch.column("y").to_numpy(zero_copy_only=False)
-            begin = 0
-            while begin < len(ends):
-                base = int(ends[begin - 1]) if begin else 0
-                to = min(max(begin + 1, int(np.searchsorted(ends, base + SLICE_NUMBERS, "right"))), begin + SLICE_ROWS)
-                part = slice(base, int(ends[to - 1]))
-                parts = [np.concatenate([[0], ends[begin:to] - base]).astype("<i8"), columns[part].astype("<i4"), numbers[part].astype("<f8"), y[begin:to].astype("<f8")]
+            x, y = batch.column("x"), batch.column("y").to_numpy(zero_copy_only=False)
+            for begin, to in _parts(x if narrow else x.field("values")):
+                columns, numbers, ends = (_all if narrow else _entries)(x.slice(begin, to - begin))
+                parts = [np.append(0, ends).astype("<i8"), columns.astype("<i4"), numbers.astype("<f8"), y[begin:to].astype("<f8")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([to - begin], pa.int32()), *[pa.array([p.tobytes()], pa.binary()) for p in parts]], ["n", "starts", "columns", "numbers", "y"]
                 )
-                begin = to
 
     x = _array(features) if narrow else F.col(features)
     rows = train.where(F.col(features).isNotNull() & F.col(target).isNotNull()).select(x.alias("x"), F.col(target).cast("double").alias("y"))
-    return stored(rows.where(~F.isnan("y")).mapInArrow(run, _SLICES), "ridge")
-
-
-def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[Slice]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            yield Slice(*(np.frombuffer(row[c], kind) for c, kind in (("starts", "<i8"), ("columns", "<i4"), ("numbers", "<f8"), ("y", "<f8"))))
+    with small_batches(train.sparkSession):
+        return stored(rows.where(~F.isnan("y")).mapInArrow(run, _SLICES), "ridge", options=_SMALL_GROUPS)
 
 
 class Rows:
@@ -134,9 +87,17 @@ class Rows:
         self.slices = slices
         self.tasks = slices.rdd.getNumPartitions()
 
-    def total(self, work: Callable[[Slice], np.ndarray]) -> np.ndarray | None:
-        """The sum of ``work`` over all slices: inside tasks, then of groups of tasks, then on the driver."""
-        groups = math.isqrt(self.tasks)
+    def total(self, work: Callable[[Slice], np.ndarray], length: int = 1) -> np.ndarray | None:
+        """The sum of ``work`` over all slices: inside tasks, then of groups of tasks, then on the driver.
+
+        Every task writes a sum, so that few tasks make one of a ``length`` that counts.
+        """
+        slices, tasks = self.slices, self.tasks
+        if length >= PIECE:
+            few = max(LONG_WAVES * slices.sparkSession.sparkContext.defaultParallelism, tasks // LONG_SHARE)
+            if few < tasks:
+                slices, tasks = slices.coalesce(few), few
+        groups = math.isqrt(tasks)
 
         def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
@@ -164,19 +125,21 @@ class Rows:
             for k, total in totals.items():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["k", "t"])
 
-        sums = self.slices.mapInArrow(fold, "g int, k int, t binary")
+        sums = slices.mapInArrow(fold, "g int, k int, t binary")
         if groups > 1:
             sums = sums.repartition(groups, "g").mapInArrow(add, "k int, t binary")
         parts: dict[int, np.ndarray] = {}
-        for r in sums.select("k", "t").collect():
+        with small_batches(slices.sparkSession):
+            found = sums.select("k", "t").collect()
+        for r in found:
             own = np.frombuffer(r["t"], "<f8")
             parts[r["k"]] = parts[r["k"]] + own if r["k"] in parts else own
         return np.concatenate([parts[k] for k in sorted(parts)]) if parts else None
 
 
 def _eigen(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Eigenvectors (columns) and eigenvalues of a positive matrix, the largest first, without those of rounding."""
-    values, vectors = np.linalg.eigh((matrix + matrix.T) / 2)
+    """Eigenvectors (columns) and eigenvalues of a positive matrix, of which the upper half is read, the largest first, without those of rounding."""
+    values, vectors = np.linalg.eigh(matrix, "U")
     good = np.flatnonzero(values > values[-1] * 1e-14)[::-1]
     return vectors[:, good], values[good]
 
@@ -203,7 +166,7 @@ def solve_ridge(
     With ``alpha`` 0 and dependent columns the solution is one of least squares, not unique.
     """
     rows = Rows(to_slices(train, features, target, width))
-    first = rows.total(lambda s: np.concatenate([[len(s.y), s.y.sum()], s.transposed(np.ones(len(s.y)), width)]))
+    first = rows.total(lambda s: np.concatenate([[len(s.y), s.y.sum()], s.transposed(np.ones(len(s.y)), width)]), width)
     if first is None:
         raise ValueError("no training rows")
     n = first[0]
@@ -216,7 +179,7 @@ def solve_ridge(
         residual = s.y - mean_y
         return np.concatenate([there + (len(s.y) - count) * mean**2, s.transposed(residual, width) - mean * residual.sum()])
 
-    second = rows.total(squares)
+    second = rows.total(squares, 2 * width)
     diagonal, right = second[:width], second[width:]
     scale = np.sqrt(diagonal + alpha)
     scale[scale == 0] = 1.0
@@ -232,23 +195,40 @@ def solve_ridge(
             u = s.times(w) - off
             return s.transposed(u, width) - mean * u.sum()
 
-        return rows.total(one) / scale
+        return rows.total(one, width) / scale
 
     rank = max(1, min(width, sketch_cells // width))
     whole = rank == width
 
+    panels = [(p, min(p + PANEL, width)) for p in range(0, width, PANEL)]
+    cells = sum((to - p) * (width - p) for p, to in panels)
+
     def gram(s: Slice) -> np.ndarray:
-        out = np.zeros((width, width))
-        block = np.empty((min(SKETCH_ROWS * 4, len(s.y)), width))
+        """The matrix by panels of rows, each from the diagonal on."""
+        out = np.zeros(cells)
+        block = np.empty((max(1, min(BLOCK_CELLS // width, len(s.y))), width))
         for at in range(0, len(s.y), len(block)):
             starts = s.starts[at : at + len(block) + 1]
             part = slice(int(starts[0]), int(starts[-1]))
             centred = block[: len(starts) - 1]
             centred[:] = -mean / scale
             columns = s.columns[part]
-            np.add.at(centred, (np.repeat(np.arange(len(centred)), np.diff(starts)), columns), s.numbers[part] / scale[columns])
-            out += centred.T @ centred
-        return out.ravel()
+            np.add.at(centred.reshape(-1), np.repeat(np.arange(len(centred)) * width, np.diff(starts)) + columns, s.numbers[part] / scale[columns])
+            begin = 0
+            for p, to in panels:
+                own = centred[:, p:to].T @ centred[:, p:]
+                out[begin : begin + own.size] += own.ravel()
+                begin += own.size
+        return out
+
+    def unpacked(sums: np.ndarray) -> np.ndarray:
+        matrix, begin = np.zeros((width, width)), 0
+        for p, to in panels:
+            size = (to - p) * (width - p)
+            matrix[p:to, p:] = sums[begin : begin + size].reshape(to - p, width - p)
+            begin += size
+        matrix[np.diag_indices(width)] += penalty
+        return matrix
 
     def many(s: Slice) -> np.ndarray:
         out, mass = np.zeros((width, rank)), np.zeros(rank)
@@ -264,11 +244,11 @@ def solve_ridge(
         return (out - np.outer(mean, mass)).ravel()
 
     if whole:
-        vectors, values = _eigen(rows.total(gram).reshape(width, width) + np.diag(penalty))
+        vectors, values = _eigen(unpacked(rows.total(gram, cells)))
     else:
         basis = np.linalg.qr(np.random.default_rng([_SEED, width]).standard_normal((width, rank)))[0]
         scaled, off = basis / scale[:, None], shift @ basis
-        vectors, values = _nystroem(rows.total(many).reshape(width, rank) / scale[:, None] + penalty[:, None] * basis, basis)
+        vectors, values = _nystroem(rows.total(many, width * rank).reshape(width, rank) / scale[:, None] + penalty[:, None] * basis, basis)
     floor = np.finfo(float).eps * width * (values[0] if len(values) else 0.0) or 1e-300
     least = max(values[-1] if len(values) else 0.0, floor)
 
@@ -326,14 +306,20 @@ class LinearPredictor(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         return self.getOrDefault(self.constant)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        weights, constant = np.array(self.getOrDefault(self.weights)), self.intercept
+        weights, constant = list(self.getOrDefault(self.weights)), self.intercept
         if len(weights) <= NARROW:
-            return self._narrow(dataset, weights.tolist(), constant)
+            return self._narrow(dataset, weights, constant)
+        if len(weights) <= WRITTEN:
+            return self._wide(dataset, weights, constant)
+        return self._widest(dataset, np.array(weights), constant)
 
+    def _widest(self, dataset: DataFrame, weights: np.ndarray, constant: float) -> DataFrame:
         def predict(vectors: pa.Array) -> pa.Array:
-            columns, numbers, ends = _entries(vectors)
-            row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-            sums = np.bincount(row, numbers * weights[columns], len(ends)) + constant
+            sums = np.empty(len(vectors))
+            for begin, to in _parts(vectors.field("values")):
+                columns, numbers, ends = _entries(vectors.slice(begin, to - begin))
+                row = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+                sums[begin:to] = np.bincount(row, numbers * weights[columns], len(ends)) + constant
             return pa.array(sums, mask=vectors.is_null().to_numpy(zero_copy_only=False))
 
         # Exploding an array of the one vector keeps the optimiser from moving the vector's own function into this one, where it could not run.
@@ -341,6 +327,19 @@ class LinearPredictor(Transformer, DefaultParamsReadable, DefaultParamsWritable)
         rows = dataset.withColumn(held, F.explode(F.array(self.getOrDefault(self.featuresCol))))
         return rows.withColumn(self.getOrDefault(self.predictionCol), F.arrow_udf(predict, "double")(held)).drop(held)
 
+    def _wide(self, dataset: DataFrame, weights: list[float], constant: float) -> DataFrame:
+        """Entry by entry in the JVM: on their way to Python wide vectors take several times their size outside the heap."""
+        held = "_vector" + "_" * max(map(len, dataset.columns))
+        known = F.split(F.lit(" ".join(map(repr, weights))), " ").cast("array<double>")  # worked out once, as a constant
+        indices, values = F.col(f"{held}.indices"), F.col(f"{held}.values")
+        dense = F.transform(values, lambda v, i: v * F.get(known, i))
+        sparse = F.transform(indices, lambda i, k: F.get(values, k) * F.get(known, i))
+        products = F.when(F.col(f"{held}.type") == 0, sparse).otherwise(dense)
+        total = F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
+        beyond = F.raise_error(f"a vector has more than the {len(weights)} features the model was fitted on").cast("double")
+        found = F.when(F.col(held).isNotNull(), F.coalesce(total, beyond) + F.lit(constant))
+        return dataset.withColumn(held, F.unwrap_udt(self.getOrDefault(self.featuresCol))).withColumn(self.getOrDefault(self.predictionCol), found).drop(held)
+
     def _narrow(self, dataset: DataFrame, weights: list[float], constant: float) -> DataFrame:
         """The same as column expressions, added up in the same order."""
         held = "_vector" + "_" * max(map(len, dataset.columns))

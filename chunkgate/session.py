@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import SparkSession
@@ -20,6 +22,10 @@ _CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Where wide rows go to Python. Spark's own 64 MB take several times as much for each core, outside the heap.
+BATCH_BYTES = 1 << 22
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "12g", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -54,3 +60,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside hand rows to Python in batches of ``BATCH_BYTES``, or of one row; a session's own setting stays."""
+    own = spark.conf.get(_BATCH_CONF, None)
+    if own is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if own is None:
+            spark.conf.unset(_BATCH_CONF)

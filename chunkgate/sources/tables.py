@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,7 +14,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: Sequence[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
     """Write a result to the shared scratch folder once and read it from there.
 
     For results that several jobs use: each job then reads the columns and partitions
@@ -22,6 +22,6 @@ def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataF
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.options(**(options or {})).partitionBy(*partition_by).parquet(path)
     schema = df.schema
     return spark.read.schema(schema).parquet(path).select(df.columns)

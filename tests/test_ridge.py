@@ -2,11 +2,15 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from chunkgate.operators import models, ridge
+from chunkgate.session import BATCH_BYTES, small_batches
 
 
 def frame(spark, x, y, parts=5, sparse=True):
@@ -110,3 +114,90 @@ def test_narrow_vectors_do_not_go_to_python(spark):
         assert r.prediction == (None if want is None else pytest.approx(want, rel=1e-12))
     with pytest.raises(Exception, match="more than the 2 features"):
         ridge.LinearPredictor(weights=[1.0, 2.0]).transform(rows).collect()
+
+
+def test_workers_hold_little_at_once(spark):
+    """One task's slices are 39 MB: neither Parquet nor a batch holds many."""
+    x = F.transform(F.sequence(F.lit(1), F.lit(2048)), lambda i: i + F.col("id") * 0.5)
+    train = spark.range(0, 1600, 1, 1).select(array_to_vector(x).alias("features"), F.col("id").cast("double").alias("y"))
+    rows = ridge.Rows(ridge.to_slices(train, "features", "y"))
+    most = 2 * BATCH_BYTES
+    assert rows.slices.agg(F.max(F.length("numbers"))).first()[0] <= most // 8
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in rows.slices.inputFiles()]
+    assert all(f.row_group(k).total_byte_size <= 2 * most for f in files for k in range(f.num_row_groups))
+    n, numbers, large = rows.total(lambda s: np.array([len(s.y), len(s.numbers), s.numbers.nbytes > most], float))
+    assert (n, numbers, large) == (1600, 1600 * 2048, 0)
+
+
+def test_a_batch_of_slices_is_one(spark):
+    x, y = data(70, 30)
+    x[7:9] = 0  # rows without entries
+    stored = ridge.to_slices(frame(spark, x, y, 3), "features", "y").coalesce(1).toPandas()
+    three, one = pa.RecordBatch.from_pandas(stored), next(ridge._opened([pa.RecordBatch.from_pandas(stored)]))
+    parts = [next(ridge._opened([three.slice(k, 1)])) for k in range(three.num_rows)]
+    v = np.arange(30.0)
+    assert len(parts) == 3 and one.times(v).tolist() == np.concatenate([p.times(v) for p in parts]).tolist()
+    assert sorted(one.times(v).tolist()) == pytest.approx(sorted((x @ v).tolist()))
+    assert not list(ridge._opened([three.slice(0, 0)]))
+
+
+def test_few_tasks_make_a_long_sum(spark):
+    most = ridge.LONG_WAVES * spark.sparkContext.defaultParallelism
+    train = spark.range(0, 200, 1, 6 * most).select(array_to_vector(F.array(F.lit(1.0))).alias("features"), F.lit(2.0).alias("y"))
+    rows = ridge.Rows(ridge.to_slices(train, "features", "y"))
+    rows.slices, rows.tasks = rows.slices.repartition(6 * most), 6 * most
+
+    def work(s):
+        by_task = np.zeros(ridge.PIECE)
+        by_task[TaskContext.get().partitionId()] = len(s.y)
+        return by_task
+
+    short, long = (rows.total(work, length) for length in (1, ridge.PIECE))
+    assert short.sum() == long.sum() == 200 and np.count_nonzero(long) <= most < np.count_nonzero(short)
+
+
+@pytest.mark.parametrize("width", [256, 600])
+def test_the_matrix_is_summed_by_panels(spark, width):
+    x, y = data(160, width)
+    w, b, steps = ridge.solve_ridge(frame(spark, x, y), "features", "y", width, 2.0)
+    want, want_b = closed(x, y, 2.0)
+    assert steps <= 4 and np.abs(w - want).max() <= 1e-8 * np.abs(want).max() and b == pytest.approx(want_b, rel=1e-8)
+
+
+def test_wide_vectors_are_judged_without_python(spark):
+    x, y = data(60, 90)
+    weights = np.linspace(-3.0, 4.0, 90)
+    odd = spark.createDataFrame([(None, 0.0), (Vectors.sparse(90, {}), 0.0), (Vectors.sparse(90, {4: -2.5}), 0.0), (Vectors.dense([1.0, 2.0]), 0.0)], frame(spark, x, y).schema)
+    rows = frame(spark, x, y).union(odd)
+    judged = ridge.LinearPredictor(weights=weights.tolist(), constant=2.5).transform(rows)
+    assert "Python" not in judged._jdf.queryExecution().executedPlan().toString() and judged.columns == ["features", "y", "prediction"]
+    for r in judged.collect():
+        want = None if r.features is None else sum(float(v) * w for v, w in zip(r.features.toArray(), weights)) + 2.5
+        assert r.prediction == (None if want is None else pytest.approx(want, rel=1e-12))
+    with pytest.raises(Exception, match="more than the 70 features"):
+        ridge.LinearPredictor(weights=weights[:70].tolist()).transform(rows).collect()
+
+
+def test_widest_vectors_are_judged_in_parts(spark, monkeypatch):
+    x, y = data(60, 90)
+    rows = frame(spark, x, y, 1).union(spark.createDataFrame([(None, 0.0)], frame(spark, x, y).schema))
+    model = ridge.LinearPredictor(weights=np.linspace(-3.0, 4.0, 90).tolist(), constant=2.5)
+    want = {r.y: r.prediction for r in model.transform(rows).collect()}
+    monkeypatch.setattr(ridge, "WRITTEN", 80)
+    judged = model.transform(rows)
+    assert "ArrowEvalPython" in judged._jdf.queryExecution().executedPlan().toString()
+    assert {r.y: r.prediction for r in judged.collect()} == want
+
+
+def test_a_sessions_own_batches_stay(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    with small_batches(spark):
+        assert spark.conf.get(name) == str(BATCH_BYTES)
+    assert spark.conf.get(name, None) is None
+    spark.conf.set(name, "1000000")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(name) == "1000000"
+        assert spark.conf.get(name) == "1000000"
+    finally:
+        spark.conf.unset(name)
